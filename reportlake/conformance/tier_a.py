@@ -1 +1,580 @@
-"""Conformance cases."""
+"""Tier A: the logic the reference writes itself — ingest, append, maintenance, catalog,
+gateway paging, saved reports, export and chat-log shaping — checked on the given tables.
+
+Cases that load files first write the given tables to the shared scratch folder with
+Spark, then run the library on those files.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from reportlake.conformance import fixtures
+from reportlake.conformance.registry import case, t
+from reportlake.operators import append as ap
+from reportlake.operators import chatlog, relational as rel
+from reportlake.plans import gateway, lake as lk, reports as rp
+from reportlake.plans.catalog import catalog_rows, column_table, preview, profile
+from reportlake.session import scratch_dir
+from reportlake.sinks import export as ex
+from reportlake.sources import csv as csv_src
+from reportlake.sources import workbook as wb
+from reportlake.sources.files import read_file
+from reportlake.sources.headers import sanitize_header
+from reportlake.sources.parquet import TEST_TABLES, register_dir
+from reportlake.sources.route import route
+
+CONF_DB = "reportlake_conformance"
+
+
+def _lake(spark) -> lk.Lake:
+    return lk.Lake(spark, CONF_DB)
+
+
+def _write_csv(df: DataFrame, path: str, sep: str = ",") -> str:
+    df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+    return path
+
+
+def _ingest_one(spark, df: DataFrame, name: str, sep: str = ",") -> tuple[lk.Lake, dict]:
+    lake = _lake(spark)
+    path = _write_csv(df, f"{scratch_dir(spark, 'upload')}/{name}.csv", sep)
+    return lake, lake.ingest_file(path, "csv")[0]
+
+
+# ---- A: sources / ingest --------------------------------------------------------------------------
+@case("csv_ingest", "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, "
+                    "CAST(n_regionkey AS BIGINT) AS n_regionkey FROM nation")
+def csv_ingest(spark, d):
+    lake, info = _ingest_one(spark, t(spark, d, "nation"), "nation")
+    return lake.table(info["physical_name"])
+
+
+@case("csv_sniff", "SELECT CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name FROM region")
+def csv_sniff(spark, d):
+    path = _write_csv(t(spark, d, "region"), f"{scratch_dir(spark, 'upload')}/region.csv", sep=";")
+    return csv_src.read_csv(spark, path)
+
+
+@case("ctas_count", "SELECT * FROM orders")
+def ctas_count(spark, d):
+    lake, info = _ingest_one(spark, t(spark, d, "orders"), "orders")
+    return lake.table(info["physical_name"])
+
+
+@case("lenient_cast", """
+SELECT 'source_no' AS column_name, 'bigint' AS target_type, count(source) AS n_cells,
+       count(*) FILTER (WHERE try_cast(replace(source, 'src', '') AS BIGINT) IS NULL) AS n_bad FROM documents
+UNION ALL
+SELECT 'lang', 'bigint', count(lang), count(*) FILTER (WHERE try_cast(lang AS BIGINT) IS NULL) FROM documents
+UNION ALL
+SELECT 'n_chars', 'date', count(n_chars), count(*) FROM documents""")
+def lenient_cast(spark, d):
+    docs = t(spark, d, "documents").select(F.regexp_replace("source", "src", "").alias("source_no"), "lang",
+                                           F.col("n_chars").cast("string").alias("n_chars"))
+    return csv_src.bad_cell_counts(docs, {"source_no": "bigint", "lang": "bigint", "n_chars": "date"})
+
+
+_ROUTE_PATH = """concat('/uploads/', regexp_extract(url, '^https?://([^/]+)/', 1), '/',
+       regexp_extract(url, '/([^/?#]*)([?#].*)?$', 1),
+       CASE WHEN regexp_extract(url, '/([^/?#]*)([?#].*)?$', 1) LIKE '%.%' THEN ''
+            WHEN url LIKE '%/en/%' THEN '.csv' WHEN url LIKE '%/fr/%' THEN '.XLSX'
+            WHEN url LIKE '%/de/%' THEN '.Txt' WHEN url LIKE '%/es/%' THEN '.xls' ELSE '' END)"""
+
+
+@case("route_files", f"""
+WITH p AS (SELECT page_id, {_ROUTE_PATH} AS path FROM pages),
+     n AS (SELECT page_id, path, regexp_extract(path, '([^/\\\\]*)$', 1) AS file_name FROM p),
+     e AS (SELECT *, lower(regexp_extract(file_name, '\\.([^.]*)$', 1)) AS extension FROM n)
+SELECT page_id, path, file_name, extension,
+       CASE WHEN extension IN ('csv', 'txt') THEN 'csv' WHEN extension IN ('xls', 'xlsx') THEN 'excel' END AS file_type,
+       extension IN ('csv', 'txt', 'xls', 'xlsx') AS accepted,
+       CASE WHEN extension NOT IN ('csv', 'txt', 'xls', 'xlsx') THEN 'unsupported file type: .' || extension END
+         AS reason
+FROM e""")
+def route_files(spark, d):
+    pages = t(spark, d, "pages").select("page_id", F.expr(_ROUTE_PATH).alias("path"))
+    return route(pages)
+
+
+_SANITIZE_SQL = """CASE WHEN {c} IS NULL OR trim({c}) = '' THEN 'COL'
+  ELSE coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(trim({c}), '[^\\p{{L}}\\p{{N}}_]', '_', 'g'),
+                                                     '_+', '_', 'g'), '^_|_$', '', 'g'), ''), 'COL') END"""
+
+
+def _dedupe_oracle(table: str, key: str, col: str) -> str:
+    return f"""
+WITH s AS (SELECT {key}, {_SANITIZE_SQL.format(c=col)} AS name FROM {table}),
+     r AS (SELECT *, row_number() OVER (PARTITION BY lower(name) ORDER BY {key}) AS rn FROM s)
+SELECT {key}, name, CASE WHEN rn = 1 THEN name ELSE name || '_' || CAST(rn - 1 AS VARCHAR) END AS unique_name FROM r"""
+
+
+def _dedupe(df: DataFrame, key: str, col: str) -> DataFrame:
+    named = df.select(key, sanitize_header(col).alias("name"))
+    ranked = rel.ordinal_within(named, [F.lower("name")], key, "rn")
+    return ranked.select(key, "name", F.when(F.col("rn") == 1, F.col("name"))
+                         .otherwise(F.concat("name", F.lit("_"), (F.col("rn") - 1).cast("string"))).alias("unique_name"))
+
+
+@case("sanitize_header", _dedupe_oracle("pages", "page_id", "url"))
+def sanitize_header_q(spark, d):
+    return _dedupe(t(spark, d, "pages"), "page_id", "url")
+
+
+@case("dedupe_header", _dedupe_oracle("part", "p_partkey", "p_name"))
+def dedupe_header_q(spark, d):
+    return _dedupe(t(spark, d, "part"), "p_partkey", "p_name")
+
+
+@case("scan_table", "SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 1")
+def scan_table(spark, d):
+    register_dir(spark, d)
+    return spark.table("nation").where(F.col("n_regionkey") == 1).select("n_nationkey", "n_name")
+
+
+@case("read_parquet_file", "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 9000")
+def read_parquet_file(spark, d):
+    return (read_file(spark, f"{d}/customer.parquet", "parquet")
+            .where(F.col("c_acctbal") > 9000).select("c_custkey", "c_name", "c_acctbal"))
+
+
+@case("ingest_manifest", """
+SELECT 'customer.csv' AS file_name, 'csv' AS file_type, 'customer' AS display_name, count(*) AS rows,
+       CAST(5 AS BIGINT) AS n_columns FROM customer
+UNION ALL SELECT 'nation.csv', 'csv', 'nation', count(*), 3 FROM nation
+UNION ALL SELECT 'region.csv', 'csv', 'region', count(*), 2 FROM region
+UNION ALL SELECT 'notes.md', NULL, NULL, NULL, NULL""")
+def ingest_manifest(spark, d):
+    up = scratch_dir(spark, "upload")
+    paths = [_write_csv(t(spark, d, n), f"{up}/{n}.csv") for n in ("customer", "nation", "region")]
+    notes = f"{up}/notes.md"
+    t(spark, d, "region").select(F.concat_ws(" ", "r_name").alias("value")).write.text(notes)
+    man = _lake(spark).ingest(paths + [notes])
+    return man.select("file_name", "file_type", "display_name", "rows", "n_columns")
+
+
+# ---- A03/A04/B04: workbooks ------------------------------------------------------------------------
+def _customer_workbooks(spark, d) -> str:
+    out = scratch_dir(spark, "workbooks")
+    fixtures.write_customer_workbooks(t(spark, d, "customer"), out)
+    return out
+
+
+@case("workbook_ingest", "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, "
+                         "c_mktsegment FROM customer")
+def workbook_ingest(spark, d):
+    folder = _customer_workbooks(spark, d)
+    lake = _lake(spark)
+    man = lake.ingest_folder(folder).where(F.col("sheet") == "customers").select("physical_name").collect()
+    return reduce(DataFrame.unionByName, [lake.table(r["physical_name"]) for r in man])
+
+
+@case("workbook_sheets", """
+SELECT DISTINCT c_mktsegment || '.xlsx' AS file_name, 0 AS sheet_idx, 'customers' AS sheet FROM customer
+UNION ALL
+SELECT DISTINCT c_mktsegment || '.xlsx', 1, 'nations' FROM customer""")
+def workbook_sheets(spark, d):
+    folder = _customer_workbooks(spark, d)
+    s = wb.workbook_sheets(spark, folder)
+    return s.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("file_name"), "sheet_idx", "sheet")
+
+
+@case("workbook_to_csv", """
+SELECT 'customers' AS sheet, 'c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment' AS line
+FROM (SELECT DISTINCT c_mktsegment FROM customer)
+UNION ALL
+SELECT 'customers', CAST(c_custkey AS VARCHAR) || ',' || c_name || ',' || CAST(c_nationkey AS VARCHAR) || ','
+       || CAST(c_acctbal AS VARCHAR) || ',' || c_mktsegment FROM customer
+UNION ALL
+SELECT 'nations', 'c_nationkey,n_customers' FROM (SELECT DISTINCT c_mktsegment FROM customer)
+UNION ALL
+SELECT 'nations', CAST(c_nationkey AS VARCHAR) || ',' || CAST(count(*) AS VARCHAR)
+FROM customer GROUP BY c_mktsegment, c_nationkey""")
+def workbook_to_csv(spark, d):
+    folder = _customer_workbooks(spark, d)
+    out = scratch_dir(spark, "sheets-csv")
+    wb.workbook_to_csv(spark, folder, out)
+    return spark.read.text(out).select("sheet", F.col("value").alias("line"))
+
+
+# ---- B: export -------------------------------------------------------------------------------------
+def _csv_field_sql(v: str) -> str:
+    return (f"coalesce(CASE WHEN regexp_matches(CAST({v} AS VARCHAR), '[,\"\\n]') "
+            f"THEN '\"' || replace(CAST({v} AS VARCHAR), '\"', '\"\"') || '\"' ELSE CAST({v} AS VARCHAR) END, '')")
+
+
+_EV_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props", "tag"]
+
+
+@case("csv_export_lines", "WITH e AS (SELECT *, event_type || ',' || CAST(user_id AS VARCHAR) AS tag FROM events) "
+                          "SELECT " + " || ',' || ".join(_csv_field_sql(c) for c in _EV_COLS) + " AS line FROM e")
+def csv_export_lines(spark, d):
+    ev = t(spark, d, "events").withColumn("tag", F.concat_ws(",", "event_type", F.col("user_id").cast("string")))
+    return ex.csv_lines(ev.select(*_EV_COLS))
+
+
+@case("csv_export_page", "SELECT " + " || ',' || ".join(_csv_field_sql(c) for c in
+                                                         ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])
+      + " AS line FROM (SELECT * FROM supplier ORDER BY s_suppkey LIMIT 20 OFFSET 20)")
+def csv_export_page(spark, d):
+    page = gateway.Page(t(spark, d, "supplier").orderBy("s_suppkey"), page=1, size=20)
+    return ex.csv_lines(page.frame)
+
+
+@case("export_formats", """
+SELECT 'csv' AS fmt, CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name FROM region
+UNION ALL SELECT 'json', CAST(r_regionkey AS BIGINT), r_name FROM region
+UNION ALL SELECT 'parquet', CAST(r_regionkey AS BIGINT), r_name FROM region""")
+def export_formats(spark, d):
+    region = t(spark, d, "region")
+    base = scratch_dir(spark, "export")
+    parts = []
+    for fmt in ("csv", "json", "parquet"):
+        ex.export(region, f"{base}/{fmt}", fmt)
+        back = read_file(spark, f"{base}/{fmt}", fmt)
+        if fmt == "csv":  # the BOM belongs to the first header name only
+            back = back.toDF(*[c.lstrip(ex.BOM) for c in back.columns])
+        parts.append(back.select(F.lit(fmt).alias("fmt"), F.col("r_regionkey").cast("bigint").alias("r_regionkey"),
+                                 "r_name"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+# ---- C: append -------------------------------------------------------------------------------------
+@case("append_diff", """
+WITH s AS (SELECT upper(replace(column_name, 's_', 'c_')) AS name, ordinal_position AS o
+           FROM information_schema.columns WHERE table_name = 'supplier'),
+     t AS (SELECT column_name AS name, ordinal_position AS o FROM information_schema.columns
+           WHERE table_name = 'customer')
+SELECT (SELECT string_agg(name, ',' ORDER BY o) FROM s WHERE lower(name) NOT IN (SELECT lower(name) FROM t))
+         AS new_columns,
+       (SELECT string_agg(name, ',' ORDER BY o) FROM s WHERE lower(name) IN (SELECT lower(name) FROM t))
+         AS matched_columns,
+       (SELECT string_agg(name, ',' ORDER BY o) FROM t WHERE lower(name) NOT IN (SELECT lower(name) FROM s))
+         AS missing_columns""")
+def append_diff(spark, d):
+    sup = t(spark, d, "supplier")
+    src = column_table(spark, sup.toDF(*[c.replace("s_", "c_").upper() for c in sup.columns]))
+    tgt = column_table(spark, t(spark, d, "customer"))
+    diff = ap.column_diff_df(src, tgt)
+    return diff.select(*[F.array_join(c, ",").alias(c) for c in diff.columns])
+
+
+def _supplier_as_customer(spark, d) -> DataFrame:
+    return t(spark, d, "supplier").select(
+        F.col("s_suppkey").alias("C_CUSTKEY"), F.col("s_name").alias("c_name"),
+        F.col("s_nationkey").alias("c_nationkey"), F.col("s_acctbal").alias("c_acctbal"),
+        F.concat(F.lit("supplier of nation "), F.col("s_nationkey").cast("string")).alias("origin"))
+
+
+@case("append_new_cols", """
+SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment,
+       CAST(NULL AS VARCHAR) AS origin FROM customer
+UNION ALL
+SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT), s_acctbal, NULL, 'supplier of nation ' || s_nationkey
+FROM supplier""")
+def append_new_cols(spark, d):
+    lake, info = _ingest_one(spark, t(spark, d, "customer"), "customer")
+    path = _write_csv(_supplier_as_customer(spark, d), f"{scratch_dir(spark, 'upload')}/more.csv")
+    lake.append(info["source_id"], path).collect()
+    return lake.table(info["physical_name"])
+
+
+@case("append_by_name", "SELECT * FROM orders")
+def append_by_name(spark, d):
+    o = t(spark, d, "orders")
+    lake, info = _ingest_one(spark, o.where(F.col("o_orderstatus") == "F"), "orders")
+    rest = o.where(F.col("o_orderstatus") != "F")
+    reordered = rest.select(*[F.col(c).alias(c.upper()) for c in reversed(rest.columns)])
+    path = _write_csv(reordered, f"{scratch_dir(spark, 'upload')}/orders_rest.csv")
+    lake.append(info["source_id"], path).collect()
+    return lake.table(info["physical_name"])
+
+
+@case("append_pairing", """
+WITH tb AS (SELECT n_name AS tbl, row_number() OVER (ORDER BY n_nationkey) AS i FROM nation),
+     sh AS (SELECT r_name AS sheet, row_number() OVER (ORDER BY r_regionkey) AS i FROM region)
+SELECT tb.tbl AS "table", sh.sheet, sh.sheet IS NULL AS skipped,
+       CASE WHEN sh.sheet IS NULL THEN 'the new file has ' || (SELECT count(*) FROM region)
+            || ' sheets, fewer than the ' || (SELECT count(*) FROM nation) || ' target tables; skipped' END
+         AS skip_reason
+FROM tb LEFT JOIN sh ON tb.i = sh.i""")
+def append_pairing(spark, d):
+    tables = t(spark, d, "nation").select(F.col("n_nationkey").alias("position"), F.col("n_name").alias("table"))
+    sheets = t(spark, d, "region").select(F.col("r_regionkey").alias("position"), F.col("r_name").alias("sheet"))
+    return ap.pair_by_position(tables, sheets)
+
+
+@case("append_report", """
+WITH c AS (SELECT o_orderstatus AS s, count(*) AS n FROM orders GROUP BY 1)
+SELECT 1 AS step, (SELECT n FROM c WHERE s = 'F') AS rows_before, (SELECT n FROM c WHERE s = 'O') AS rows_appended,
+       (SELECT sum(n) FROM c WHERE s IN ('F', 'O'))::BIGINT AS rows_after, '' AS new_columns,
+       'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority' AS matched_columns,
+       '' AS missing_columns, false AS skipped
+UNION ALL
+SELECT 2, (SELECT sum(n) FROM c WHERE s IN ('F', 'O'))::BIGINT, (SELECT n FROM c WHERE s = 'P'),
+       (SELECT sum(n) FROM c)::BIGINT, 'note', 'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate',
+       'o_orderpriority', false""")
+def append_report(spark, d):
+    o = t(spark, d, "orders")
+    lake, info = _ingest_one(spark, o.where(F.col("o_orderstatus") == "F"), "orders_by_status")
+    up = scratch_dir(spark, "upload")
+    p1 = _write_csv(o.where(F.col("o_orderstatus") == "O"), f"{up}/o.csv")
+    p2 = _write_csv(o.where(F.col("o_orderstatus") == "P").drop("o_orderpriority")
+                    .withColumn("note", F.lit("late batch")), f"{up}/p.csv")
+    reps = []
+    for step, p in enumerate((p1, p2), start=1):
+        reps.append(lake.append(info["source_id"], p).withColumn("step", F.lit(step)))
+    rep = reduce(DataFrame.unionByName, reps)
+    return rep.select("step", F.col("rowsBefore").alias("rows_before"), F.col("rowsAppended").alias("rows_appended"),
+                      F.col("rowsAfter").alias("rows_after"), F.array_join("newColumns", ",").alias("new_columns"),
+                      F.array_join("matchedColumns", ",").alias("matched_columns"),
+                      F.array_join("missingColumns", ",").alias("missing_columns"), "skipped")
+
+
+# ---- D: maintenance ------------------------------------------------------------------------------
+@case("truncate_keep_schema", "SELECT CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name FROM region LIMIT 0")
+def truncate_keep_schema(spark, d):
+    lake, info = _ingest_one(spark, t(spark, d, "region"), "region_trunc")
+    lake.truncate(info["source_id"], info["physical_name"])
+    return lake.table(info["physical_name"])
+
+
+# ---- E: catalog / profile ------------------------------------------------------------------------
+_IN_TABLES = ", ".join(f"'{n}'" for n in TEST_TABLES)
+
+
+@case("list_tables", f"""
+SELECT t.table_name, count(*) AS n_columns FROM information_schema.tables t
+JOIN information_schema.columns c ON c.table_name = t.table_name
+WHERE t.table_name IN ({_IN_TABLES}) GROUP BY t.table_name ORDER BY t.table_name""")
+def list_tables(spark, d):
+    register_dir(spark, d)
+    names = sorted(tb.name for tb in spark.catalog.listTables() if tb.isTemporary and tb.name in TEST_TABLES)
+    return catalog_rows(spark, {n: spark.table(n) for n in names}).select("table_name", "n_columns") \
+        .orderBy("table_name")
+
+
+@case("table_columns", """
+SELECT CAST(ordinal_position AS INT) AS ordinal, column_name AS name, data_type AS type
+FROM information_schema.columns WHERE table_name = 'lineitem'""")
+def table_columns(spark, d):
+    c = column_table(spark, t(spark, d, "lineitem"))
+    return c.select((F.col("ordinal") + 1).cast("int").alias("ordinal"), "name", "type")
+
+
+@case("row_counts", " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}"
+                                       for n in TEST_TABLES))
+def row_counts(spark, d):
+    parts = [t(spark, d, n).agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
+             for n in TEST_TABLES]
+    return reduce(DataFrame.unionByName, parts)
+
+
+_STAR = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
+
+@case("catalog_tree", " UNION ALL ".join(
+    f"""SELECT 'tpch' AS source, '{n}' AS table_name, (SELECT count(*) FROM {n}) AS row_count,
+       (SELECT string_agg(column_name || ' ' || data_type, ', ' ORDER BY ordinal_position)
+        FROM information_schema.columns WHERE table_name = '{n}') AS columns""" for n in _STAR))
+def catalog_tree(spark, d):
+    rows = catalog_rows(spark, {n: t(spark, d, n) for n in _STAR}, source="tpch")
+    tree = rows.groupBy("source").agg(F.collect_list(F.struct("table_name", "row_count", "columns")).alias("tables"))
+    flat = tree.select("source", F.explode("tables").alias("x"))
+    return flat.select("source", "x.table_name", "x.row_count",
+                       F.array_join(F.transform("x.columns", lambda c: F.concat_ws(" ", c["name"], c["type"])),
+                                    ", ").alias("columns"))
+
+
+@case("preview", "SELECT * FROM customer ORDER BY c_custkey LIMIT 20")
+def preview_q(spark, d):
+    return preview(t(spark, d, "customer"), order_by=["c_custkey"])
+
+
+@case("preview_small", "SELECT * FROM part ORDER BY p_partkey LIMIT 10")
+def preview_small(spark, d):
+    return preview(t(spark, d, "part"), n=15, cap=10, order_by=["p_partkey"])
+
+
+@case("table_listing", " UNION ALL ".join(
+    f"SELECT '{n}' AS display_name, 'v_{n}' AS physical_name, (SELECT count(*) FROM {n}) AS row_count" for n in _STAR))
+def table_listing(spark, d):
+    rows = catalog_rows(spark, {n: t(spark, d, n) for n in _STAR}, physical_prefix="v_")
+    return rows.select(F.col("table_name").alias("display_name"), "physical_name", "row_count")
+
+
+@case("catalog_page", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 25 OFFSET 75")
+def catalog_page(spark, d):
+    return gateway.page_of(t(spark, d, "orders").orderBy("o_orderkey"), page=3, size=25)
+
+
+_PROFILE_COLS = ["l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate"]
+
+
+@case("profile_table", " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, count({c}) AS non_null, count(*) - count({c}) AS nulls,
+       CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value,
+       {"round(avg(" + c + "), 6)" if c not in ("l_returnflag", "l_shipdate") else "CAST(NULL AS DOUBLE)"} AS mean
+       FROM lineitem""" for c in _PROFILE_COLS))
+def profile_table(spark, d):
+    p = profile(t(spark, d, "lineitem").select(*_PROFILE_COLS))
+    return p.select("column_name", "non_null", "nulls", "min_value", "max_value", "mean")
+
+
+# ---- F: gateway screening ------------------------------------------------------------------------
+_SQL_TEXT = """concat(CASE lang WHEN 'en' THEN 'SELECT' WHEN 'fr' THEN '  with' WHEN 'de' THEN 'DELETE FROM'
+                              ELSE 'pragma' END,
+                     ' ', chr(39), replace(text, chr(39), concat(chr(39), chr(39))), chr(39), ' AS t -- ', source,
+                     chr(10), '/* ', lang, ' */;')"""
+
+
+@case("screen_sql", f"""
+WITH q AS (SELECT doc_id, {_SQL_TEXT} AS sql FROM documents)
+SELECT doc_id,
+       CASE WHEN sql IS NULL OR trim(sql) = '' THEN 'blank'
+            WHEN NOT regexp_matches(trim(sql), '^\\s*(SELECT|WITH|EXPLAIN|DESCRIBE|SHOW|PRAGMA)([^\\p{{L}}\\p{{N}}_].*)?$', 'is')
+              THEN 'prefix'
+            WHEN regexp_matches(trim(sql),
+                 '(^|[^\\p{{L}}\\p{{N}}_])(INSERT|UPDATE|DELETE|DROP|TRUNCATE|ALTER|CREATE|MERGE|REPLACE|GRANT|REVOKE)([^\\p{{L}}\\p{{N}}_]|$)',
+                 'i') THEN 'keyword' END AS reason
+FROM q""")
+def screen_sql(spark, d):
+    q = t(spark, d, "documents").select("doc_id", F.expr(_SQL_TEXT).alias("sql"))
+    return q.select("doc_id", gateway.screen_sql_col("sql")["reason"].alias("reason"))
+
+
+@case("strip_sql", f"""
+WITH q AS (SELECT doc_id, {_SQL_TEXT} AS sql FROM documents)
+SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(
+         regexp_replace(sql, '(''[^'']*(?:''''[^'']*)*''|"[^"]*(?:""[^"]*)*")|--[^\\n]*|/\\*[^*]*\\*+(?:[^/*][^*]*\\*+)*/',
+                        '\\1', 'g'),
+         '\\s+$', ''), ';$', ''), '\\s+$', '') AS stripped
+FROM q""")
+def strip_sql(spark, d):
+    q = t(spark, d, "documents").select("doc_id", F.expr(_SQL_TEXT).alias("sql"))
+    return q.select("doc_id", gateway.strip_sql_col("sql").alias("stripped"))
+
+
+# ---- G: paging and saved reports -----------------------------------------------------------------
+@case("capped_count", "SELECT least(count(*), 1000) AS total_rows FROM lineitem")
+def capped_count(spark, d):
+    return t(spark, d, "lineitem").limit(1000).agg(F.count("*").alias("total_rows"))
+
+
+@case("page_ordered", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 50 OFFSET 100")
+def page_ordered(spark, d):
+    register_dir(spark, d)
+    return gateway.run_sql(spark, "SELECT * FROM orders ORDER BY o_orderkey", page=2, size=50).frame
+
+
+@case("page_inner_order", """
+SELECT * FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem
+               ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey) LIMIT 30 OFFSET 60""")
+def page_inner_order(spark, d):
+    register_dir(spark, d)
+    return gateway.run_sql(spark, """
+        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem
+        ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey""", page=2, size=30).frame
+
+
+@case("label_alias", 'SELECT n_name AS "国家", n_regionkey AS "区域", n_nationkey AS "编号" FROM nation')
+def label_alias(spark, d):
+    register_dir(spark, d)
+    return gateway.sql(spark, 'SELECT n_name AS "国家", n_regionkey AS "区域", n_nationkey AS "编号" FROM nation')
+
+
+@case("digest_top20", """
+SELECT c_custkey, c_acctbal, (SELECT least(count(*), 100000) FROM customer) AS total_rows
+FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 20""")
+def digest_top20(spark, d):
+    register_dir(spark, d)
+    page = gateway.run_sql(spark, "SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey",
+                           0, 20)
+    return page.frame.withColumn("total_rows", F.lit(page.total_rows()).cast("bigint"))
+
+
+@case("page_count", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, CAST(ceil(least(count(*), 100000) / 50) AS BIGINT) AS pages FROM {n}"
+    for n in TEST_TABLES))
+def page_count(spark, d):
+    parts = [t(spark, d, n).limit(gateway.MAX_ROWS).agg(F.count("*").alias("c"))
+             .select(F.lit(n).alias("table_name"), gateway.page_count_col(F.col("c"), 50).alias("pages"))
+             for n in TEST_TABLES]
+    return reduce(DataFrame.unionByName, parts)
+
+
+_REPORT_SQL = """SELECT c.c_mktsegment, count(*) AS n_orders,
+       CAST(sum(CAST(o.o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS total
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY c.c_mktsegment"""
+
+
+@case("saved_report", _REPORT_SQL)
+def saved_report(spark, d):
+    register_dir(spark, d)
+    reports = rp.Reports(_lake(spark).spark, CONF_DB)
+    rid = reports.save("segment_revenue", _REPORT_SQL, "orders by market segment")
+    return gateway.sql(spark, reports.get(rid)["sql"])
+
+
+@case("run_report_page", _REPORT_SQL + " ORDER BY total DESC LIMIT 2 OFFSET 2")
+def run_report_page(spark, d):
+    register_dir(spark, d)
+    reports = rp.Reports(_lake(spark).spark, CONF_DB)
+    rid = reports.save("segment_revenue_sorted", _REPORT_SQL + " ORDER BY total DESC")
+    return reports.run(rid, page=1, size=2).frame
+
+
+_CHANGES = """SELECT c_custkey,
+       CASE WHEN c_nationkey < 5 THEN '' WHEN c_nationkey < 10 THEN '   ' ELSE upper(c_name) END AS c_name,
+       CASE WHEN c_acctbal < 0 THEN NULL ELSE lower(c_mktsegment) END AS c_mktsegment
+FROM customer WHERE c_nationkey < 20"""
+
+
+@case("merge_partial", f"""
+WITH ch AS ({_CHANGES})
+SELECT c.c_custkey, coalesce(nullif(trim(ch.c_name), ''), c.c_name) AS c_name,
+       coalesce(nullif(trim(ch.c_mktsegment), ''), c.c_mktsegment) AS c_mktsegment, c.c_nationkey, c.c_acctbal,
+       (coalesce(nullif(trim(ch.c_name), ''), c.c_name) IS DISTINCT FROM c.c_name)
+         OR (coalesce(nullif(trim(ch.c_mktsegment), ''), c.c_mktsegment) IS DISTINCT FROM c.c_mktsegment) AS changed
+FROM customer c LEFT JOIN ch ON ch.c_custkey = c.c_custkey""")
+def merge_partial(spark, d):
+    register_dir(spark, d)
+    changes = spark.sql(_CHANGES)
+    return rp.merge_partial(t(spark, d, "customer"), changes, "c_custkey", ["c_name", "c_mktsegment"])
+
+
+@case("batch_delete", """
+SELECT o.*, (SELECT count(*) FROM orders WHERE o_orderpriority = '5-LOW') AS deleted
+FROM orders o WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '5-LOW')""")
+def batch_delete(spark, d):
+    o = t(spark, d, "orders")
+    ids = o.where(F.col("o_orderpriority") == "5-LOW").select("o_orderkey")
+    remaining, deleted = rp.batch_delete(o, ids, "o_orderkey")
+    return remaining.withColumn("deleted", F.lit(deleted.first()["deleted"]).cast("bigint"))
+
+
+# ---- K: chat logs ------------------------------------------------------------------------------------
+@case("session_title", """
+SELECT conv_id, left(arg_min(text, turn), 50) AS title FROM conversations WHERE role = 'user' GROUP BY conv_id""")
+def session_title(spark, d):
+    return chatlog.session_titles(t(spark, d, "conversations"))
+
+
+@case("session_index", """
+WITH s AS (SELECT conv_id, count(*) AS n_messages, max(turn) AS last_turn FROM conversations GROUP BY conv_id),
+     u AS (SELECT conv_id, left(arg_min(text, turn), 50) AS title FROM conversations WHERE role = 'user'
+           GROUP BY conv_id)
+SELECT s.conv_id, s.n_messages, s.last_turn, u.title FROM s LEFT JOIN u ON s.conv_id = u.conv_id
+ORDER BY s.conv_id DESC""")
+def session_index(spark, d):
+    return chatlog.session_index(t(spark, d, "conversations"))
+
+
+@case("transcript_flatten", """
+SELECT conv_id, turn, role, text FROM conversations
+WHERE role = 'user' OR (role = 'assistant' AND coalesce(text <> '', false))""")
+def transcript_flatten(spark, d):
+    return chatlog.transcript_rows(t(spark, d, "conversations"))

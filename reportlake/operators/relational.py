@@ -83,3 +83,23 @@ def with_groups_frame(df: DataFrame, partition: Sequence[str], order: str, value
     ranked = df.withColumn("__grp", F.dense_rank().over(w_rank))
     w = Window.partitionBy(*partition).orderBy("__grp").rangeBetween(-preceding, following)
     return ranked.withColumn(name, fn(value).over(w)).drop("__grp")
+
+
+def ordinal_within(df: DataFrame, keys: Sequence[Column | str], order: str, name: str,
+                   bucket_width: int = 1 << 16) -> DataFrame:
+    """1-based position of each row among rows with equal ``keys`` by numeric ``order``
+    (``row_number() OVER (PARTITION BY keys ORDER BY order)``) without sending a hot key
+    to one task: rows are numbered inside (key, order bucket) and shifted by the row count
+    of the key's earlier buckets, taken from a per-(key, bucket) count table."""
+    kexprs = [_col(k) for k in keys]
+    kcols = [f"__k{i}" for i in range(len(kexprs))]
+    b = df.select("*", *[e.alias(k) for e, k in zip(kexprs, kcols)],
+                  F.floor(F.col(order) / F.lit(bucket_width)).cast("bigint").alias("__b"))
+    inner = b.withColumn("__i", F.row_number().over(Window.partitionBy(*kcols, "__b").orderBy(order)))
+    counts = b.groupBy(*kcols, "__b").agg(F.count("*").alias("__n"))
+    before = counts.withColumn(
+        "__off", F.coalesce(F.sum("__n").over(Window.partitionBy(*kcols).orderBy("__b")
+                                              .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return (inner.join(before.select(*kcols, "__b", "__off"), kcols + ["__b"])
+            .withColumn(name, (F.col("__off") + F.col("__i")).cast("bigint"))
+            .drop(*kcols, "__b", "__i", "__off"))

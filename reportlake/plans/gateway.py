@@ -35,7 +35,9 @@ FORBIDDEN_RE = r"(?i)(^|[^\p{L}\p{N}_])(" + "|".join(FORBIDDEN_WORDS) + r")([^\p
 
 # One alternation: literals and quoted identifiers are captured and put back,
 # comments match without a capture and vanish.
-_LITERAL_OR_COMMENT = r"""('(?:[^']|'')*'|"(?:[^"]|"")*")|--[^\n]*|/\*[\s\S]*?\*/"""
+# Written as "unrolled loops" (a character class repeated, then rare escapes) so Java's regex
+# engine matches long texts iteratively instead of recursing once per character.
+_LITERAL_OR_COMMENT = r"""('[^']*(?:''[^']*)*'|"[^"]*(?:""[^"]*)*")|--[^\n]*|/\*[^*]*\*+(?:[^/*][^*]*\*+)*/"""
 
 
 class QueryRejected(ValueError):
@@ -56,7 +58,7 @@ _ALLOWED_PY = _py(ALLOWED_RE)
 _FORBIDDEN_PY = _py(FORBIDDEN_RE)
 _SPARK_PREFIX_PY = re.compile(r"^\s*(" + "|".join(SPARK_READ_PREFIXES) + r")\b", re.I)
 _LITERAL_OR_COMMENT_PY = re.compile(_LITERAL_OR_COMMENT)
-_LITERAL_PY = re.compile(r"""'(?:[^']|'')*'|"(?:[^"]|"")*\"""")
+_LITERAL_PY = re.compile(r"""'[^']*(?:''[^']*)*'|"[^"]*(?:""[^"]*)*\"""")
 
 
 def strip_sql(sql: str) -> str:
