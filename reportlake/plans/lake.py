@@ -112,13 +112,14 @@ class Lake:
 
         return read_workbook(self.spark, path)
 
-    def ingest_file(self, path: str, file_type: str, file_size: int = -1) -> list[dict]:
+    def ingest_file(self, path: str, file_type: str, file_size: int = -1,
+                    sheets: list[tuple[str | None, DataFrame]] | None = None) -> list[dict]:
         """Load one file; all its tables appear, or none do (tables made so far are dropped)."""
         name = path.rstrip("/").rsplit("/", 1)[-1]
         sid = source_id_of(path)
         created, out = [], []
         try:
-            for pos, (sheet, df) in enumerate(self._sheets(path, file_type)):
+            for pos, (sheet, df) in enumerate(sheets if sheets is not None else self._sheets(path, file_type)):
                 phys = physical_name(path, sheet)
                 display = sheet if sheet is not None else display_name_of(name)
                 self._write_table(df, phys, {
@@ -143,6 +144,12 @@ class Lake:
         made, plus one row per rejected upload with its reason."""
         paths = [paths] if isinstance(paths, str) else list(paths)
         files = list_files(self.spark, paths).select("path", "file_size").collect()  # listing: metadata only
+        excel = [p for p in paths if route_name(_norm(p).rsplit("/", 1)[-1])[0] == "excel"]
+        books = {}
+        if excel:  # all workbooks parsed by one job, keyed by normalised path
+            from reportlake.sources.workbook import read_workbooks
+
+            books = {_norm(k): v for k, v in read_workbooks(self.spark, excel).items()}
         rows = []
         for p in paths:
             root = _norm(p)
@@ -154,7 +161,7 @@ class Lake:
                              "physical_name": None, "display_name": None, "sheet": None, "rows": None,
                              "n_columns": None, "rejected_reason": reason})
                 continue
-            for r in self.ingest_file(p, ftype, size):
+            for r in self.ingest_file(p, ftype, size, books.get(root) if ftype == "excel" else None):
                 rows.append({**r, "rejected_reason": None})
         return self.spark.createDataFrame(rows, MANIFEST_SCHEMA)
 

@@ -6,6 +6,7 @@ import contextlib
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -19,14 +20,47 @@ RUNTIME_CONF = {
 }
 
 
+_shipped: set[str] = set()
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings every reportlake job relies on."""
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``reportlake`` importable in the Python workers (what ``--py-files`` does).
+
+    The few Arrow/pandas helpers (workbook parsing, per-partition numbering) are defined
+    in this package, so workers must import it. Once per application the package is zipped
+    into the shared checkpoint folder and added with ``addPyFile``; when that folder is not
+    a local path the package is expected to be installed with the job (``--py-files``).
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    root = checkpoint_root(spark)
+    local = root[5:] if root.startswith("file:") else root
+    if not local.startswith("/"):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    os.makedirs(local, exist_ok=True)
+    zpath = f"{local}/reportlake-py-{app}-{uuid.uuid4().hex[:8]}.zip"
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+
+
 @contextlib.contextmanager
 def scoped_conf(spark: SparkSession, **conf: str):
     """Set SQL confs for the duration of a block (parse/analysis time) and restore them."""

@@ -30,6 +30,10 @@ DELIMITERS = (",", ";", "\t", "|")
 TYPE_LADDER = ("boolean", "bigint", "double", "date", "timestamp_ntz")
 SNIFF_LINES = 1000
 
+# Shape checks run before every cast: a failed string→number cast costs a JVM exception,
+# a regex mismatch does not.
+_INT_RE = r"^[+-]?\d{1,19}$"
+_NUM_RE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 _DATE_RE = r"^\d{4}-\d{2}-\d{2}$"
 _TS_RE = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?$"
 
@@ -89,39 +93,40 @@ def read_text_columns(spark: SparkSession, path: str, names: list[str], dialect:
             .csv(path))
 
 
-def _fails(c: Column, typ: str) -> Column:
-    """1 when a non-null text value does not parse as ``typ``."""
-    s = F.trim(c)
-    if typ == "boolean":
-        ok = F.lower(s).isin("true", "false")
-    elif typ == "bigint":
-        ok = s.try_cast("bigint").isNotNull()
-    elif typ == "double":
-        ok = s.try_cast("double").isNotNull() & ~F.lower(s).isin("nan", "infinity", "-infinity", "inf", "-inf")
-    elif typ == "date":
-        ok = s.rlike(_DATE_RE) & s.try_cast("date").isNotNull()
-    else:
-        ok = s.rlike(_TS_RE) & s.try_cast("timestamp_ntz").isNotNull()
-    return F.when(c.isNotNull() & ~ok, 1).otherwise(0)
+def _fits(c: Column, typ: str) -> Column:
+    """True when a text value parses as ``typ`` (NULL for a NULL cell)."""
+    return _cast_expr(c, typ).isNotNull()
+
+
+def fit_mask(c: Column) -> Column:
+    """Bit i set when the cell parses as ``TYPE_LADDER[i]``; NULL for an empty cell."""
+    mask = F.lit(0)
+    for i, typ in enumerate(TYPE_LADDER):
+        mask = mask + F.when(_fits(c, typ), F.lit(1 << i)).otherwise(F.lit(0))
+    return F.when(c.isNotNull(), mask)
 
 
 def detect_types(df: DataFrame) -> dict[str, str]:
-    """One aggregation over all rows → the narrowest type per text column."""
-    aggs = []
-    for i, name in enumerate(df.columns):
-        c = F.col(f"`{name}`")
-        aggs.append(F.count(c).alias(f"n{i}"))
-        for j, typ in enumerate(TYPE_LADDER):
-            aggs.append(F.sum(_fails(c, typ)).alias(f"f{i}_{j}"))
-    if not aggs:
+    """One pass over all rows → the narrowest type per text column.
+
+    Rows are unpivoted to ``(column index, text)`` so ONE mask expression (the bitmask of
+    ladder types a cell parses as) serves every column; ``bit_and`` per column index then
+    keeps the types every non-empty cell fits, and the first one still set wins. Partial
+    aggregation leaves one row per column per task before the shuffle, and the generated
+    code stays the same size however wide the file is.
+    """
+    if not df.columns:
         return {}
-    r = df.agg(*aggs).first()
+    cells = df.select(F.posexplode(F.array(*[F.col(f"`{n}`") for n in df.columns])).alias("i", "v"))
+    stats = cells.groupBy("i").agg(F.count("v").alias("n"), F.bit_and(fit_mask(F.col("v"))).alias("m")).collect()
+    by_i = {r["i"]: r for r in stats}
     out = {}
     for i, name in enumerate(df.columns):
         chosen = "string"
-        if r[f"n{i}"]:
+        r = by_i.get(i)
+        if r is not None and r["n"]:
             for j, typ in enumerate(TYPE_LADDER):
-                if r[f"f{i}_{j}"] == 0:
+                if r["m"] & (1 << j):
                     chosen = typ
                     break
         out[name] = chosen
@@ -152,7 +157,12 @@ def _cast_expr(c: Column, typ: str) -> Column:
         return c
     s = F.trim(c)
     if typ == "boolean":
-        return F.lower(s).try_cast("boolean")
+        low = F.lower(s)
+        return F.when(low.isin("true", "false"), low == F.lit("true"))
+    if typ in ("bigint", "int", "smallint", "tinyint"):
+        return F.when(s.rlike(_INT_RE), s.try_cast(typ))
+    if typ in ("double", "float") or typ.startswith("decimal"):
+        return F.when(s.rlike(_NUM_RE), s.try_cast(typ))
     if typ == "date":  # ISO dates only: a bare '2024' is not a date
         return F.when(s.rlike(_DATE_RE), s.try_cast("date"))
     if typ.startswith("timestamp"):

@@ -204,59 +204,68 @@ def typed_sheet(cells: DataFrame, header_names: list[str], col_ids: list[int], t
     return body.groupBy("row").agg(*aggs).orderBy("row").drop("row")
 
 
-def vote_types(cells: DataFrame, header_row: int) -> dict[int, str]:
-    """Per column: the narrowest type every non-empty body cell fits (one aggregation)."""
-    body = cells.where(F.col("row") > header_row)
-    stats = body.groupBy("col").agg(
+def _vote(n: int, num: int, dt: int, b: int, frac: int) -> str:
+    if num == n:
+        return "double" if frac else "bigint"
+    if dt == n:
+        return "timestamp_ntz" if frac else "date"
+    if b == n:
+        return "boolean"
+    return "string"
+
+
+def read_workbooks(spark: SparkSession, paths) -> dict[str, list[tuple[str, DataFrame]]]:
+    """Every sheet of every workbook as a typed DataFrame (first non-empty row = header).
+
+    A fixed number of jobs however many workbooks: one parse job writes the cell table to
+    the shared scratch folder (so workbooks are parsed once), then one aggregation finds
+    each sheet's header row and width, one collects the header cells and one votes the
+    type of every column of every sheet. Only that metadata reaches the driver.
+    """
+    from reportlake.session import scratch_dir
+
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    loc = scratch_dir(spark, "cells")
+    workbook_cells(spark, paths).write.mode("overwrite").parquet(loc)
+    cells = spark.read.parquet(loc)
+    sheets = workbook_sheets(spark, paths).collect()  # one row per sheet
+    keys = ["path", "sheet_idx"]
+    bounds = cells.groupBy(*keys).agg(F.min("row").alias("hdr"), F.max("col").alias("width"))
+    meta = {(r["path"], r["sheet_idx"]): (r["hdr"], r["width"]) for r in bounds.collect()}
+    with_hdr = cells.join(F.broadcast(bounds), keys) if len(meta) <= 100_000 else cells.join(bounds, keys)
+    heads: dict[tuple, dict[int, str]] = {}
+    for r in with_hdr.where(F.col("row") == F.col("hdr")).select(*keys, "col", "value").collect():
+        heads.setdefault((r["path"], r["sheet_idx"]), {})[r["col"]] = r["value"]
+    votes: dict[tuple, dict[int, str]] = {}
+    body = with_hdr.where(F.col("row") > F.col("hdr"))
+    dbl = F.col("value").try_cast("double")
+    stats = body.groupBy(*keys, "col").agg(
         F.count("*").alias("n"),
         F.sum(F.when(F.col("cell_type") == "n", 1).otherwise(0)).alias("num"),
         F.sum(F.when(F.col("cell_type") == "d", 1).otherwise(0)).alias("dt"),
         F.sum(F.when(F.col("cell_type") == "b", 1).otherwise(0)).alias("b"),
-        F.sum(F.when(F.col("cell_type").isin("n", "d") &
-                     (F.col("value").try_cast("double") != F.floor(F.col("value").try_cast("double"))), 1)
-              .otherwise(0)).alias("frac"),
-    ).collect()  # one row per column of one sheet
-    out = {}
-    for r in stats:
-        if r["num"] == r["n"]:
-            out[r["col"]] = "double" if r["frac"] else "bigint"
-        elif r["dt"] == r["n"]:
-            out[r["col"]] = "timestamp_ntz" if r["frac"] else "date"
-        elif r["b"] == r["n"]:
-            out[r["col"]] = "boolean"
-        else:
-            out[r["col"]] = "string"
+        F.sum(F.when(F.col("cell_type").isin("n", "d") & (dbl != F.floor(dbl)), 1).otherwise(0)).alias("frac"))
+    for r in stats.collect():
+        votes.setdefault((r["path"], r["sheet_idx"]), {})[r["col"]] = _vote(r["n"], r["num"], r["dt"], r["b"], r["frac"])
+    out: dict[str, list[tuple[str, DataFrame]]] = {}
+    for s in sorted(sheets, key=lambda x: (x["path"], x["sheet_idx"])):
+        k = (s["path"], s["sheet_idx"])
+        if k not in meta:
+            out.setdefault(s["path"], []).append((s["sheet"], spark.createDataFrame([], T.StructType([]))))
+            continue
+        hdr, width = meta[k]
+        col_ids = list(range(1, width + 1))
+        names = dedupe_names(blank_to_positional([heads.get(k, {}).get(c) for c in col_ids]))
+        types = {c: votes.get(k, {}).get(c, "string") for c in col_ids}
+        sc = cells.where((F.col("path") == s["path"]) & (F.col("sheet_idx") == s["sheet_idx"]))
+        out.setdefault(s["path"], []).append((s["sheet"], typed_sheet(sc, names, col_ids, types, hdr)))
     return out
 
 
-def read_workbook(spark: SparkSession, path: str, cells: DataFrame | None = None) -> list[tuple[str, DataFrame]]:
-    """Every sheet of one workbook as a typed DataFrame (first row = header).
-
-    The cell table is written once to the shared scratch folder and re-read, so the
-    workbook is parsed once however many sheets and passes follow."""
-    from reportlake.session import scratch_dir
-
-    if cells is None:
-        loc = scratch_dir(spark, "cells")
-        workbook_cells(spark, [path]).write.mode("overwrite").parquet(loc)
-        cells = spark.read.parquet(loc)
-    sheets = workbook_sheets(spark, [path]).orderBy("sheet_idx").collect()  # sheet names: metadata
-    out = []
-    for s in sheets:
-        sc = cells.where(F.col("sheet_idx") == s["sheet_idx"])
-        first = sc.agg(F.min("row").alias("r")).first()["r"]
-        if first is None:
-            out.append((s["sheet"], spark.createDataFrame([], T.StructType([]))))
-            continue
-        head = sc.where(F.col("row") == first).select("col", "value").orderBy("col").collect()  # header row only
-        max_col = sc.agg(F.max("col")).first()[0]
-        by_col = {r["col"]: r["value"] for r in head}
-        col_ids = list(range(1, max_col + 1))
-        names = dedupe_names(blank_to_positional([by_col.get(c) for c in col_ids]))
-        types = vote_types(sc, first)
-        types = {c: types.get(c, "string") for c in col_ids}
-        out.append((s["sheet"], typed_sheet(sc, names, col_ids, types, first)))
-    return out
+def read_workbook(spark: SparkSession, path: str) -> list[tuple[str, DataFrame]]:
+    """Every sheet of one workbook (see :func:`read_workbooks`)."""
+    got = read_workbooks(spark, [path])
+    return next(iter(got.values()), [(FALLBACK_SHEET, spark.createDataFrame([], T.StructType([])))])
 
 
 def workbook_to_csv(spark: SparkSession, paths, out_dir: str) -> None:
