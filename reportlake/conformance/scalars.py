@@ -165,3 +165,22 @@ FROM customer""")
 def mask_secret_q(spark, d):
     c = t(spark, d, "customer")
     return c.select("c_custkey", mask_secret("c_name").alias("masked"), mask_secret("c_mktsegment").alias("masked_seg"))
+
+
+@case("compat_functions", """
+SELECT p_partkey, strpos(p_name, 'e') AS pos, regexp_matches(p_name, 'o{2}') AS oo,
+       list_contains(string_split(p_name, ' '), 'red') AS has_red,
+       array_to_string(list_sort(list_distinct(string_split(p_name || ' ' || p_type, ' '))), '|') AS words
+FROM part""")
+def compat_functions(spark, d):
+    from reportlake.functions.compat import register_compat
+    from reportlake.plans import gateway
+    from reportlake.sources.parquet import register_dir
+
+    register_dir(spark, d)
+    register_compat(spark)
+    return gateway.sql(spark, """
+SELECT p_partkey, strpos(p_name, 'e') AS pos, regexp_matches(p_name, 'o{2}') AS oo,
+       list_contains(string_split(p_name, ' '), 'red') AS has_red,
+       array_join(list_sort(list_distinct(string_split(p_name || ' ' || p_type, ' '))), '|') AS words
+FROM part""")
