@@ -207,14 +207,29 @@ def page_count_col(total: Column, size: int) -> Column:
 
 
 def run_with_timeout(spark: SparkSession, action, seconds: float, tag: str = "reportlake-query"):
-    """Run ``action()`` and cancel its Spark jobs after ``seconds`` (the timeout the reference reads but never applies)."""
+    """Run ``action()`` and cancel its Spark jobs once ``seconds`` have passed (the timeout the
+    reference reads but never applies). Jobs started by this thread carry ``tag``; after the
+    deadline a watcher keeps cancelling jobs with that tag until the action gives up, so a job
+    submitted late (after planning) is cancelled too."""
     import threading
-
-    spark.addTag(tag)
-    timer = threading.Timer(seconds, lambda: spark.interruptTag(tag))
-    timer.start()
+    import uuid
+
+    sc = spark.sparkContext
+    tag = f"{tag}-{uuid.uuid4().hex[:8]}"
+    done = threading.Event()
+
+    def watch():
+        if done.wait(seconds):
+            return
+        while not done.is_set():
+            sc.cancelJobsWithTag(tag)
+            done.wait(0.5)
+
+    sc.addJobTag(tag)
+    watcher = threading.Thread(target=watch, daemon=True)
+    watcher.start()
     try:
         return action()
     finally:
-        timer.cancel()
-        spark.removeTag(tag)
+        done.set()
+        sc.removeJobTag(tag)

@@ -74,3 +74,25 @@ def test_append_property_counts_add_up(lake, workdir):
     t = lake.table(info["physical_name"])
     assert t.count() == total == 8
     assert t.where(F.col("id") <= 2).select("name").orderBy("id").collect()[0][0] == "a"  # old rows unchanged
+
+
+def test_load_is_all_or_nothing(spark, lake, workdir, monkeypatch):
+    from reportlake.conformance.fixtures import xlsx_bytes
+
+    path = f"{workdir}/two.xlsx"
+    with open(path, "wb") as fh:
+        fh.write(xlsx_bytes([("ok", ["k"], [[1]]), ("breaks", ["k"], [[2]])]))
+    real = type(lake)._write_table
+    calls = []
+
+    def flaky(self, df, physical, props):
+        calls.append(physical)
+        if len(calls) == 2:
+            raise RuntimeError("disk full")
+        return real(self, df, physical, props)
+
+    before = set(lake.table_names())
+    monkeypatch.setattr(type(lake), "_write_table", flaky)
+    with pytest.raises(LakeError):
+        lake.ingest([path])
+    assert set(lake.table_names()) == before  # the first sheet's table was dropped again

@@ -90,3 +90,15 @@ def test_digest_text(spark):
     register_dir(spark, SF)
     text = g.run_sql(spark, "SELECT n_name FROM nation ORDER BY n_name").digest()
     assert text.startswith("total rows: 25") and text.endswith("... (of 25 rows)")
+
+
+def test_timeout_cancels_running_job(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    slow = spark.range(0, 10**12, 1, 8).select(F.sum(F.sqrt("id")))
+    t0 = time.time()
+    with pytest.raises(Exception):
+        g.run_with_timeout(spark, lambda: slow.collect(), 2.0)
+    assert time.time() - t0 < 60
