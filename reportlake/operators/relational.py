@@ -75,14 +75,28 @@ def sample_fraction(df: DataFrame, percent: float, key: Sequence[str], seed: int
     return df.where(bucket < F.lit(int(round(percent * 100))))
 
 
+_FRAME_COMBINE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+
+
 def with_groups_frame(df: DataFrame, partition: Sequence[str], order: str, value: str,
-                      preceding: int, following: int, name: str, fn=F.sum) -> DataFrame:
-    """``fn(value) OVER (PARTITION BY p ORDER BY o GROUPS BETWEEN preceding AND following)``:
-    peer groups are numbered with ``dense_rank``, then a RANGE frame runs over that number."""
-    w_rank = Window.partitionBy(*partition).orderBy(order)
-    ranked = df.withColumn("__grp", F.dense_rank().over(w_rank))
+                      preceding: int, following: int, name: str, fn: str = "sum") -> DataFrame:
+    """``fn(value) OVER (PARTITION BY p ORDER BY o GROUPS BETWEEN preceding AND following)``
+    for ``fn`` in sum / count / min / max.
+
+    Rows of one peer group share the frame, so each (partition, order value) group is first
+    reduced to one partial (a hash aggregate: a hot key collapses map-side); peer groups are
+    numbered with ``dense_rank`` on that reduced table, a RANGE frame over the number combines
+    the partials, and the result is joined back on (partition, order value).
+    """
+    agg = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}[fn]
+    parts = df.groupBy(*partition, order).agg(agg(value).alias("__part"))
+    ranked = parts.withColumn("__grp", F.dense_rank().over(Window.partitionBy(*partition).orderBy(order)))
     w = Window.partitionBy(*partition).orderBy("__grp").rangeBetween(-preceding, following)
-    return ranked.withColumn(name, fn(value).over(w)).drop("__grp")
+    keys = [*partition, order]
+    framed = ranked.select(*[F.col(k).alias(f"__j{i}") for i, k in enumerate(keys)],
+                           _FRAME_COMBINE[fn]("__part").over(w).alias(name))
+    cond = [df[k].eqNullSafe(framed[f"__j{i}"]) for i, k in enumerate(keys)]  # NULL is a peer group too
+    return df.join(framed, cond).drop(*[f"__j{i}" for i in range(len(keys))])
 
 
 def ordinal_within(df: DataFrame, keys: Sequence[Column | str], order: str, name: str,

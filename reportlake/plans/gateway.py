@@ -30,7 +30,8 @@ SPARK_READ_PREFIXES = ("FROM", "VALUES", "TABLE")
 # A word boundary over Unicode letters and digits, written out so Java regex
 # (Spark ``rlike``) and RE2 agree on it.
 _WORD = r"[\p{L}\p{N}_]"
-ALLOWED_RE = r"(?is)^\s*(" + "|".join(ALLOWED_PREFIXES) + r")(?!" + _WORD + r").*"
+# prefix test only: the reference's trailing ".*" (whole-text match) adds nothing but a scan
+ALLOWED_RE = r"(?is)^\s*(" + "|".join(ALLOWED_PREFIXES) + r")(?!" + _WORD + r")"
 FORBIDDEN_RE = r"(?i)(^|[^\p{L}\p{N}_])(" + "|".join(FORBIDDEN_WORDS) + r")([^\p{L}\p{N}_]|$)"
 
 # One alternation: literals and quoted identifiers are captured and put back,

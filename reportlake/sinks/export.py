@@ -33,24 +33,30 @@ def header_line(df: DataFrame) -> str:
 
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False, bom: bool = True) -> None:
-    """Write the whole result as CSV text under ``path``.
+    """Write the whole result as CSV under ``path``; the header is written even when empty.
 
-    The header line (BOM-prefixed when ``bom``) is unioned in with sort key 0 and the data
-    lines keep their input order through (1, row id); a range-partitioned sort then writes
-    the header first and the rows in order across part files. ``single_file=True`` funnels
-    everything through one task and is meant for small results only. The header is written
-    even when the result is empty.
+    ``single_file=True`` (small results, the reference's download): one part with the
+    BOM-prefixed header first, then the rows in the input's order. Default, for results of
+    any size: every task writes its own part with the header on top (what Spark CSV
+    readers expect), values rendered as text exactly as in :func:`csv_lines` and quoted
+    only when they hold ``,`` ``"`` or a newline; no BOM, no shuffle.
     """
     spark = df.sparkSession
-    head = spark.createDataFrame([((BOM if bom else "") + header_line(df),)], "line string") \
-        .select(F.lit(0).alias("k"), F.lit(0).cast("bigint").alias("i"), "line")
-    body = csv_lines(df).select(F.lit(1).alias("k"), F.monotonically_increasing_id().alias("i"), "line")
-    lines = head.unionByName(body)
     if single_file:
-        lines = lines.coalesce(1).sortWithinPartitions("k", "i")
-    else:
-        lines = lines.orderBy("k", "i")
-    lines.select("line").write.mode("overwrite").text(path)
+        head = spark.createDataFrame([((BOM if bom else "") + header_line(df),)], "line string") \
+            .select(F.lit(0).alias("k"), F.lit(0).cast("bigint").alias("i"), "line")
+        body = csv_lines(df).select(F.lit(1).alias("k"), F.monotonically_increasing_id().alias("i"), "line")
+        # ids follow the input order (partition, then position); one partition, sorted by (k, i)
+        (head.unionByName(body).coalesce(1).sortWithinPartitions("k", "i").select("line")
+         .write.mode("overwrite").text(path))
+        return
+    as_text = df.select(*[df[f"`{c}`"].cast("string").alias(c) for c in df.columns])
+    (as_text.write.mode("overwrite").option("header", True).option("sep", ",").option("quote", '"')
+     .option("escape", '"').option("escapeQuotes", True).option("quoteAll", False)
+     .option("nullValue", "").option("emptyValue", "").option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).option("lineSep", "\n").csv(path))
+    if not as_text.take(1):  # Spark writes no header for an empty result: add one part that has it
+        spark.createDataFrame([(header_line(df),)], "line string").write.mode("append").text(path)
 
 
 def export(df: DataFrame, path: str, fmt: str = "csv", **kw) -> None:
