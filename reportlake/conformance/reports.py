@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reportlake.conformance.registry import case, t
-from reportlake.functions.columns import money, net_price, ntz_month
+from reportlake.functions.columns import money, net_price_units, ntz_month, units_total
 
 
 @case("sum_by_group", """
@@ -82,6 +82,9 @@ ORDER BY revenue DESC, r_name, o_year"""
 def region_revenue_df(spark, d):
     """Flagship: 5-way star join, filtered, aggregated, sorted.
 
+    Per-order revenue is summed as exact bigint units of 1e-4 (one order has few lines, so
+    no overflow); the cross-order total is decimal(38,0). Same value as decimal arithmetic.
+
     lineitem is first reduced to one row per order (partial aggregation before
     the shuffle on ``l_orderkey``); the join with orders then reuses that
     partitioning. nation and region are tiny dimension files that Spark's size
@@ -91,7 +94,7 @@ def region_revenue_df(spark, d):
     per_order = (t(spark, d, "lineitem")
                  .where(F.col("l_shipdate") >= F.lit("1996-01-01 00:00:00").cast("timestamp_ntz"))
                  .groupBy("l_orderkey")
-                 .agg(F.sum(net_price()).alias("rev"), F.count("*").alias("n")))
+                 .agg(F.sum(net_price_units()).alias("rev"), F.count("*").alias("n")))
     o = t(spark, d, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("o_year"))
     c = t(spark, d, "customer").select("c_custkey", "c_nationkey")
     n = t(spark, d, "nation").select("n_nationkey", "n_regionkey")
@@ -101,7 +104,7 @@ def region_revenue_df(spark, d):
               .join(n, c.c_nationkey == n.n_nationkey)
               .join(r, n.n_regionkey == r.r_regionkey))
     return (joined.groupBy("r_name", "o_year")
-            .agg(F.sum("rev").cast("double").alias("revenue"), F.sum("n").alias("n_lines"))
+            .agg(units_total(F.col("rev")).alias("revenue"), F.sum("n").alias("n_lines"))
             .orderBy(F.desc("revenue"), "r_name", "o_year"))
 
 

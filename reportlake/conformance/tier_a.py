@@ -18,7 +18,7 @@ from reportlake.operators import append as ap
 from reportlake.operators import chatlog, relational as rel
 from reportlake.plans import gateway, lake as lk, reports as rp
 from reportlake.plans.catalog import catalog_rows, column_table, preview, profile
-from reportlake.session import scratch_dir
+from reportlake.session import scratch_dir, spread
 from reportlake.sinks import export as ex
 from reportlake.sources import csv as csv_src
 from reportlake.sources import workbook as wb
@@ -442,7 +442,7 @@ SELECT doc_id,
                  'i') THEN 'keyword' END AS reason
 FROM q""")
 def screen_sql(spark, d):
-    q = t(spark, d, "documents").select("doc_id", F.expr(_SQL_TEXT).alias("sql"))
+    q = spread(t(spark, d, "documents")).select("doc_id", F.expr(_SQL_TEXT).alias("sql"))
     return q.select("doc_id", gateway.screen_sql_col("sql")["reason"].alias("reason"))
 
 
@@ -454,7 +454,7 @@ SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(
          '\\s+$', ''), ';$', ''), '\\s+$', '') AS stripped
 FROM q""")
 def strip_sql(spark, d):
-    q = t(spark, d, "documents").select("doc_id", F.expr(_SQL_TEXT).alias("sql"))
+    q = spread(t(spark, d, "documents")).select("doc_id", F.expr(_SQL_TEXT).alias("sql"))
     return q.select("doc_id", gateway.strip_sql_col("sql").alias("stripped"))
 
 

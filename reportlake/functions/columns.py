@@ -20,6 +20,22 @@ def net_price(price: Column | str = "l_extendedprice", discount: Column | str =
     return money(price) * (F.lit(1) - money(discount))
 
 
+def cents(col: Column | str) -> Column:
+    """A 2-decimal money value as exact integer hundredths (decimal(12,2) × 100 → bigint)."""
+    return (money(col) * F.lit(100)).cast("bigint")
+
+
+def net_price_units(price: Column | str = "l_extendedprice", discount: Column | str = "l_discount") -> Column:
+    """``price * (1 - discount)`` as an exact bigint in units of 1e-4: long arithmetic (fast,
+    codegen-friendly) with the same value as the decimal product."""
+    return cents(price) * (F.lit(100) - cents(discount))
+
+
+def units_total(units: Column, scale: int = 4) -> Column:
+    """Sum of 1e-4 units as a double; the running total is decimal(38,0), so no overflow."""
+    return (F.sum(units.cast("decimal(38,0)")) / F.lit(10 ** scale)).cast("double")
+
+
 def mask_secret(col: Column | str) -> Column:
     """NULL or empty → ``''``; up to 8 chars → ``****``; else first 4 + ``****`` + last 4."""
     c = _c(col)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reportlake.session import checkpoint_root
+from reportlake.session import checkpoint_root, spread
 
 
 def _cols(x: str | Sequence[str] | None) -> list[str]:
@@ -111,8 +111,8 @@ def range_join(left: DataFrame, right: DataFrame, start: str, end: str, point: s
     """
     keys = _cols(on)
     lb = left.withColumn("__s", _as_number(left, start)).withColumn("__e", _as_number(left, end))
-    lb = lb.withColumn("__b", F.explode(F.sequence(_bucket(F.col("__s"), bucket_width),
-                                                   _bucket(F.col("__e"), bucket_width))))
+    lb = spread(lb.withColumn("__b", F.explode(F.sequence(_bucket(F.col("__s"), bucket_width),
+                                                          _bucket(F.col("__e"), bucket_width)))))
     rb = right.withColumn("__p", _as_number(right, point))
     rb = rb.withColumn("__b", _bucket(F.col("__p"), bucket_width))
     rk = [F.col(f"r.{k}") == F.col(f"l.{k}") for k in keys]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reportlake.plans.lake import sql_type_name
+from reportlake.session import spread
 
 # Fixed values that must equal the reference behaviour.
 PREVIEW_DEFAULT, PREVIEW_MAX = 20, 200
@@ -70,4 +71,4 @@ def profile(df: DataFrame) -> DataFrame:
             (F.round(F.stddev_samp(c), 6) if numeric else F.lit(None).cast("double")).alias("std"),
             (F.approx_count_distinct(c) if comparable else F.lit(None).cast("bigint")).alias("approx_distinct"),
         ))
-    return df.agg(F.array(*aggs).alias("p")).select(F.explode("p").alias("p")).select("p.*")
+    return spread(df).agg(F.array(*aggs).alias("p")).select(F.explode("p").alias("p")).select("p.*")

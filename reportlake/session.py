@@ -114,3 +114,15 @@ def new_local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSessi
     )
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
+
+
+def spread(df):
+    """Round-robin ``df`` over the cluster's cores when it has fewer partitions than that.
+
+    A small input stored as one Parquet row group is read by a single task; CPU-heavy
+    per-row steps (regex over texts, band-join probing, profiling) then use one core. On
+    real inputs (many splits) the partition count already exceeds the parallelism and this
+    returns ``df`` unchanged, adding no shuffle.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
