@@ -181,11 +181,11 @@ FROM lineitem GROUP BY l_returnflag""")
 
 sql_case("agg_quantiles", """
 SELECT l_returnflag, median(l_quantity) AS med,
-       percentile_cont(0.25) WITHIN GROUP (ORDER BY l_extendedprice) AS p25,
+       round(percentile_cont(0.25) WITHIN GROUP (ORDER BY l_extendedprice), 6) AS p25,
        percentile_disc(0.9) WITHIN GROUP (ORDER BY l_quantity) AS p90
 FROM lineitem GROUP BY l_returnflag""", """
 SELECT l_returnflag, median(l_quantity) AS med,
-       quantile_cont(l_extendedprice, 0.25) AS p25,
+       round(quantile_cont(l_extendedprice, 0.25), 6) AS p25,
        quantile_disc(l_quantity, 0.9) AS p90
 FROM lineitem GROUP BY l_returnflag""")
 
