@@ -174,9 +174,11 @@ class Lake:
     def append(self, source_id: str, path: str, file_type: str | None = None) -> DataFrame:
         """Append a new file to the tables of a source, pairing sheets with tables by position.
 
-        Each paired table: the new rows are cast to the evolved schema and staged first (a bad
-        value fails here and changes nothing); then the new columns are added and the staged
-        rows inserted. Old data is never rewritten: the cost is O(new rows).
+        Each paired table: the new rows are shaped to the evolved schema (target types, new
+        columns as STRING). When a column changes type, those casts run first in a pass that
+        writes nothing, so a bad value fails the append before anything changes; then the new
+        columns are added and the rows inserted. Old data is never rewritten: the cost is
+        O(new rows).
         """
         targets = self.table_infos(source_id)
         if not targets:
@@ -199,19 +201,18 @@ class Lake:
     def _append_one(self, physical: str, new_rows: DataFrame, before: int) -> tuple:
         target = self.table(physical)
         shaped, diff = evolve(new_rows, target.schema)
-        stage = f"_stage_{physical}_{xxhash.xxh64(str(_dt.datetime.now().timestamp()).encode()).hexdigest()[:8]}"
-        try:
-            shaped.write.format("parquet").saveAsTable(self.qualified(stage))  # runs the casts
-        except Exception as exc:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(stage)}")
-            raise LakeError(f"append to {physical} failed, table unchanged: {exc}") from exc
-        try:
-            if diff.new:
-                cols = ", ".join(f"`{c}` STRING" for c in diff.new)
-                self.spark.sql(f"ALTER TABLE {self.qualified(physical)} ADD COLUMNS ({cols})")
-            self.spark.sql(f"INSERT INTO {self.qualified(physical)} BY NAME SELECT * FROM {self.qualified(stage)}")
-        finally:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(stage)}")
+        src_types = {f.name.lower(): f.dataType for f in new_rows.schema.fields}
+        risky = [f.name for f in target.schema.fields
+                 if f.name.lower() in src_types and src_types[f.name.lower()] != f.dataType]
+        if risky:  # some values change type: run those casts first, a bad value stops here
+            try:
+                shaped.select(*risky).write.format("noop").mode("overwrite").save()
+            except Exception as exc:
+                raise LakeError(f"append to {physical} failed, table unchanged: {exc}") from exc
+        if diff.new:
+            cols = ", ".join(f"`{c}` STRING" for c in diff.new)
+            self.spark.sql(f"ALTER TABLE {self.qualified(physical)} ADD COLUMNS ({cols})")
+        shaped.write.insertInto(self.qualified(physical))  # columns already in table order
         after = self.table(physical).count()
         return (physical, before, after - before, after, diff.new, diff.matched, diff.missing, False, None)
 

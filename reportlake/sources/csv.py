@@ -48,23 +48,22 @@ class Dialect:
 def sniff_csv(spark: SparkSession, path: str, sample_lines: int = SNIFF_LINES) -> Dialect:
     """Pick the delimiter whose count per line is the same on the most sample lines.
 
-    The sample is the first ``sample_lines`` lines (a bounded ``limit``); the vote is a
-    Spark aggregation over it. Lines with an odd number of quotes mean quoted newlines,
-    so the file is then read in multi-line mode.
+    The sample is the first ``sample_lines`` lines (a bounded ``limit``); one aggregation
+    over it counts lines per (delimiter, occurrences) and flags lines with an odd number of
+    quotes (quoted newlines: the file is then read in multi-line mode). Only those few
+    counts reach the driver.
     """
     lines = spark.read.text(path).limit(sample_lines)
-    votes = []
-    for i, d in enumerate(DELIMITERS):
-        n = (F.size(F.split(F.col("value"), _regex_quote(d), -1)) - 1)
-        votes.append(F.struct(F.lit(i).alias("d"), n.alias("n")))
-    per = lines.select(F.explode(F.array(*votes)).alias("v"),
-                       (F.size(F.split(F.col("value"), '"', -1)) - 1).alias("q"))
-    stats = (per.groupBy("v.d", "v.n").agg(F.count("*").alias("lines"))
-             .where(F.col("n") > 0)
-             .orderBy(F.desc("lines"), F.desc("n"), "d"))
-    best = stats.first()
-    odd_quotes = lines.where(((F.size(F.split(F.col("value"), '"', -1)) - 1) % 2) == 1).limit(1).count() > 0
-    delim = DELIMITERS[best["d"]] if best is not None else ","
+    votes = [F.struct(F.lit(i).alias("d"), (F.size(F.split(F.col("value"), _regex_quote(d), -1)) - 1).alias("n"))
+             for i, d in enumerate(DELIMITERS)]
+    odd = ((F.size(F.split(F.col("value"), '"', -1)) - 1) % 2).cast("int")
+    votes.append(F.struct(F.lit(-1).alias("d"), odd.alias("n")))  # d = -1: quote parity
+    stats = (lines.select(F.explode(F.array(*votes)).alias("v"))
+             .groupBy("v.d", "v.n").agg(F.count("*").alias("lines")).collect())
+    odd_quotes = any(r["d"] == -1 and r["n"] == 1 for r in stats)
+    cands = sorted((r for r in stats if r["d"] >= 0 and r["n"] > 0),
+                   key=lambda r: (-r["lines"], -r["n"], r["d"]))
+    delim = DELIMITERS[cands[0]["d"]] if cands else ","
     return Dialect(delimiter=delim, multiline=odd_quotes)
 
 
@@ -99,11 +98,28 @@ def _fits(c: Column, typ: str) -> Column:
 
 
 def fit_mask(c: Column) -> Column:
-    """Bit i set when the cell parses as ``TYPE_LADDER[i]``; NULL for an empty cell."""
-    mask = F.lit(0)
-    for i, typ in enumerate(TYPE_LADDER):
-        mask = mask + F.when(_fits(c, typ), F.lit(1 << i)).otherwise(F.lit(0))
-    return F.when(c.isNotNull(), mask)
+    """Bit i set when the cell parses as ``TYPE_LADDER[i]``; NULL for an empty cell.
+
+    Cheap shape tests gate the expensive ones (CASE branches are evaluated lazily): only
+    number-shaped text is cast to numbers, only text with dashes at positions 5 and 8 is
+    tried as a date or timestamp, only short text as a boolean.
+    """
+    s = F.trim(c)
+    n = F.length(s)
+    low = F.lower(s)
+    boolean = F.when((n <= 5) & low.isin("true", "false"), F.lit(1)).otherwise(F.lit(0))
+    number = F.when(
+        s.rlike(_NUM_RE),
+        F.when(s.rlike(_INT_RE) & s.try_cast("bigint").isNotNull(), F.lit(2)).otherwise(F.lit(0))
+        + F.when(s.try_cast("double").isNotNull(), F.lit(4)).otherwise(F.lit(0)),
+    ).otherwise(F.lit(0))
+    dated = (n >= 10) & (F.substring(s, 5, 1) == "-") & (F.substring(s, 8, 1) == "-")
+    temporal = F.when(
+        dated,
+        F.when((n == 10) & s.rlike(_DATE_RE) & s.try_cast("date").isNotNull(), F.lit(8 + 16)).otherwise(
+            F.when(s.rlike(_TS_RE) & s.try_cast("timestamp_ntz").isNotNull(), F.lit(16)).otherwise(F.lit(0))),
+    ).otherwise(F.lit(0))
+    return F.when(c.isNotNull(), boolean + number + temporal)
 
 
 def detect_types(df: DataFrame) -> dict[str, str]:
