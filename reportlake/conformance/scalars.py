@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from reportlake.conformance.registry import case, sql_case, t
 from reportlake.functions.columns import mask_secret

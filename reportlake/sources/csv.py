@@ -92,11 +92,6 @@ def read_text_columns(spark: SparkSession, path: str, names: list[str], dialect:
             .csv(path))
 
 
-def _fits(c: Column, typ: str) -> Column:
-    """True when a text value parses as ``typ`` (NULL for a NULL cell)."""
-    return _cast_expr(c, typ).isNotNull()
-
-
 def fit_mask(c: Column) -> Column:
     """Bit i set when the cell parses as ``TYPE_LADDER[i]``; NULL for an empty cell.
 
