@@ -77,7 +77,9 @@ def asof_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], left_t
     inside = (U.withColumn("__m", F.last("__right", ignorenulls=True).over(w_in))
               .where(F.col("__side") == 1))
 
-    # last right row of each earlier bucket: per (key, bucket) table, carried forward
+    # last right row of each earlier bucket: per (key, bucket) table, carried forward. This
+    # branch reads only keys, times and the right payload (column pruning) and aggregates
+    # map-side; sharing the window's shuffle instead would need a second sort of both sides.
     per_bucket = (U.groupBy(*kcols, "__b")
                   .agg(F.max(F.when(F.col("__side") == 0, F.struct("__t", "__right"))).alias("__last")))
     w_prev = (Window.partitionBy(*kcols).orderBy("__b")
