@@ -189,14 +189,21 @@ SELECT l_returnflag, median(l_quantity) AS med,
        quantile_disc(l_quantity, 0.9) AS p90
 FROM lineitem GROUP BY l_returnflag""")
 
-# approximate sketches differ by engine: checked on rows only
+# sketches differ by engine in their exact values: each is checked against the exact answer
+# within its error bound (HyperLogLog ~2% relative; percentile rank error 1/10000)
 sql_case("agg_approx", """
-SELECT l_returnflag, approx_count_distinct(l_partkey) AS approx_parts,
-       approx_percentile(l_extendedprice, 0.5) AS approx_median
+SELECT l_returnflag,
+       abs(approx_count_distinct(l_partkey) - count(DISTINCT l_partkey)) <= 0.05 * count(DISTINCT l_partkey)
+         AS distinct_ok,
+       abs(approx_percentile(l_extendedprice, 0.5) - median(l_extendedprice)) <= 0.01 * median(l_extendedprice)
+         AS median_ok
+FROM lineitem GROUP BY l_returnflag""", """
+SELECT l_returnflag,
+       abs(approx_count_distinct(l_partkey) - count(DISTINCT l_partkey)) <= 0.05 * count(DISTINCT l_partkey)
+         AS distinct_ok,
+       abs(approx_quantile(l_extendedprice, 0.5) - median(l_extendedprice)) <= 0.01 * median(l_extendedprice)
+         AS median_ok
 FROM lineitem GROUP BY l_returnflag""")
-from reportlake.conformance.registry import ORACLE as _ORACLE  # noqa: E402
-
-_ORACLE.pop("agg_approx")
 
 sql_case("agg_arg", """
 SELECT o_custkey, max_by(o_orderkey, o_totalprice) AS top_order, min_by(o_orderkey, o_totalprice) AS low_order,

@@ -31,4 +31,4 @@ def test_entry_and_contract(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "revenue" in df.columns
     q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q) and set(q) - set(o) == {"agg_approx"}
+    assert set(o) == set(q)
