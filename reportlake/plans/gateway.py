@@ -19,6 +19,7 @@ from reportlake.session import configure, scoped_conf
 # Fixed values that must equal the reference behaviour.
 MAX_ROWS = 100_000          # cap on counted rows and on the page size
 DEFAULT_PAGE_SIZE = 50
+DEFAULT_TIMEOUT_S = 60      # query timeout (the reference reads it but never applies it)
 ALLOWED_PREFIXES = ("SELECT", "WITH", "EXPLAIN", "DESCRIBE", "SHOW", "PRAGMA")
 FORBIDDEN_WORDS = (
     "INSERT", "UPDATE", "DELETE", "DROP", "TRUNCATE", "ALTER",
@@ -163,10 +164,16 @@ class Page:
     page: int = 0
     size: int = DEFAULT_PAGE_SIZE
     cap: int = MAX_ROWS
+    timeout_s: float | None = None
 
     def __post_init__(self):
         self.page, self.size = clamp(self.page, self.size, self.cap)
 
+    def _run(self, action):
+        if self.timeout_s is None:
+            return action()
+        return run_with_timeout(self.df.sparkSession, action, self.timeout_s)
+
     @property
     def columns(self) -> list[str]:
         return list(self.df.columns)
@@ -176,19 +183,19 @@ class Page:
         return page_of(self.df, self.page, self.size, self.cap)
 
     def total_rows(self) -> int:
-        return capped_count(self.df, self.cap)
+        return self._run(lambda: capped_count(self.df, self.cap))
 
     def total_pages(self) -> int:
         t = self.total_rows()
         return -(-t // self.size)
 
     def rows(self) -> list[tuple]:
-        return [tuple(r) for r in self.frame.collect()]
+        return [tuple(r) for r in self._run(self.frame.collect)]
 
     def digest(self, top: int = 20) -> str:
         """Short text digest: total, columns, the first ``top`` rows and "... of N"."""
         total = self.total_rows()
-        rows = [tuple(r) for r in page_of(self.df, 0, top, self.cap).collect()]
+        rows = [tuple(r) for r in self._run(page_of(self.df, 0, top, self.cap).collect)]
         lines = [f"total rows: {total}", "columns: " + ", ".join(self.columns), f"first {len(rows)} rows:"]
         lines += [f"  {list(r)}" for r in rows]
         if total > top:
@@ -197,9 +204,10 @@ class Page:
 
 
 def run_sql(spark: SparkSession, text: str, page: int = 0, size: int = DEFAULT_PAGE_SIZE,
-            mode: str = "default", cap: int = MAX_ROWS) -> Page:
-    """Guarded query → lazy page (the reference's execute endpoint)."""
-    return Page(sql(spark, text, mode), page, size, cap)
+            mode: str = "default", cap: int = MAX_ROWS, timeout_s: float | None = DEFAULT_TIMEOUT_S) -> Page:
+    """Guarded query → lazy page (the reference's execute endpoint). Collecting the page or the
+    total is cancelled after ``timeout_s`` seconds (None: no limit)."""
+    return Page(sql(spark, text, mode), page, size, cap, timeout_s)
 
 
 def page_count_col(total: Column, size: int) -> Column:

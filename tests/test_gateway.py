@@ -102,3 +102,13 @@ def test_timeout_cancels_running_job(spark):
     with pytest.raises(Exception):
         g.run_with_timeout(spark, lambda: slow.collect(), 2.0)
     assert time.time() - t0 < 60
+
+
+def test_page_timeout(spark):
+    import time
+
+    page = g.Page(spark.range(0, 10**12, 1, 8).selectExpr("sum(sqrt(id)) AS s"), timeout_s=2.0)
+    t0 = time.time()
+    with pytest.raises(Exception):
+        page.rows()
+    assert time.time() - t0 < 60
