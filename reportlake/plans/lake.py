@@ -171,14 +171,16 @@ class Lake:
         return self.ingest([f["path"] for f in files])
 
     # ---- append ---------------------------------------------------------------------------------
-    def append(self, source_id: str, path: str, file_type: str | None = None) -> DataFrame:
+    def append(self, source_id: str, path: str, file_type: str | None = None,
+               skip: set[str] | None = None, on_table_done=None) -> DataFrame:
         """Append a new file to the tables of a source, pairing sheets with tables by position.
 
         Each paired table: the new rows are shaped to the evolved schema (target types, new
         columns as STRING). When a column changes type, those casts run first in a pass that
         writes nothing, so a bad value fails the append before anything changes; then the new
         columns are added and the rows inserted. Old data is never rewritten: the cost is
-        O(new rows).
+        O(new rows). ``skip`` names tables to leave out (a replayed stream batch);
+        ``on_table_done(physical)`` is called after each table's insert.
         """
         targets = self.table_infos(source_id)
         if not targets:
@@ -190,12 +192,17 @@ class Lake:
         reports = []
         for i, info in enumerate(targets):
             before = self.table(info.physical_name).count()
+            if skip and info.physical_name in skip:
+                reports.append((info.physical_name, before, 0, before, [], [], [], True, "already applied"))
+                continue
             if i >= len(sheets):
                 reports.append((info.physical_name, before, 0, before, [], [], [], True,
                                 f"the new file has {len(sheets)} sheets, fewer than the "
                                 f"{len(targets)} target tables; skipped"))
                 continue
             reports.append(self._append_one(info.physical_name, sheets[i][1], before))
+            if on_table_done is not None:
+                on_table_done(info.physical_name)
         return self.spark.createDataFrame(reports, REPORT_SCHEMA)
 
     def _append_one(self, physical: str, new_rows: DataFrame, before: int) -> tuple:

@@ -4,8 +4,9 @@ A Structured Streaming query lists new files with the ``binaryFile`` source (onl
 paths and sizes are selected, so contents are not read by the stream) and hands each
 micro-batch to ``foreachBatch``, which runs the normal schema-evolving append for every
 new file in path order. The streaming checkpoint remembers which files were seen; each
-table also records the last applied batch id as a table property, so a batch replayed
-after a failure is not appended twice.
+table also records, right after its insert, the (batch id, file number) it has applied as
+a table property, so a batch replayed after a driver failure skips the table/file pairs
+already appended (only a crash between an insert and its marker can repeat that one insert).
 """
 
 from __future__ import annotations
@@ -17,21 +18,19 @@ from pyspark.sql.streaming import StreamingQuery
 from reportlake.plans.lake import Lake, P
 from reportlake.session import scratch_dir
 
-EPOCH_PROP = "stream_epoch"
+PROGRESS_PROP = "stream_progress"
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def _applied_epoch(lake: Lake, source_id: str) -> int:
-    infos = lake.table_infos(source_id)
-    if not infos:
-        return -1
-    return min(int(lake.properties(t.physical_name).get(EPOCH_PROP, "-1")) for t in infos)
+def _progress(lake: Lake, physical: str) -> tuple[int, int]:
+    raw = lake.properties(physical).get(PROGRESS_PROP, "-1:-1")
+    e, f = raw.split(":")
+    return int(e), int(f)
 
 
-def _mark_epoch(lake: Lake, source_id: str, epoch: int) -> None:
-    for t in lake.table_infos(source_id):
-        lake.spark.sql(f"ALTER TABLE {lake.qualified(t.physical_name)} "
-                       f"SET TBLPROPERTIES ('{P}{EPOCH_PROP}'='{epoch}')")
+def _mark(lake: Lake, physical: str, epoch: int, file_idx: int) -> None:
+    lake.spark.sql(f"ALTER TABLE {lake.qualified(physical)} "
+                   f"SET TBLPROPERTIES ('{P}{PROGRESS_PROP}'='{epoch}:{file_idx}')")
 
 
 def append_stream(lake: Lake, source_id: str, folder: str, checkpoint: str | None = None,
@@ -46,13 +45,16 @@ def append_stream(lake: Lake, source_id: str, folder: str, checkpoint: str | Non
              .load(folder).select("path", "length"))
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        if epoch_id <= _applied_epoch(lake, source_id):
-            return  # replay of a batch that was already appended
-        for row in batch.select("path").orderBy("path").collect():  # new file names only
-            rep = lake.append(source_id, row["path"])
+        tables = [t.physical_name for t in lake.table_infos(source_id)]
+        paths = [r["path"] for r in batch.select("path").orderBy("path").collect()]  # new file names only
+        for fi, path in enumerate(paths):
+            done = {t for t in tables if _progress(lake, t) >= (epoch_id, fi)}  # replayed batch
+            if done == set(tables):
+                continue
+            rep = lake.append(source_id, path, skip=done,
+                              on_table_done=lambda phys, fi=fi: _mark(lake, phys, epoch_id, fi))
             if reports is not None:
-                reports.append(rep.withColumn("file", F.lit(row["path"])).collect())
-        _mark_epoch(lake, source_id, epoch_id)
+                reports.append(rep.withColumn("file", F.lit(path)).collect())
 
     writer = files.writeStream.foreachBatch(apply).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

@@ -19,3 +19,17 @@ def test_drop_folder_append(spark, lake, workdir):
     append_stream(lake, base["source_id"], drop, ckpt).awaitTermination()  # only the new file
     append_stream(lake, base["source_id"], drop, ckpt).awaitTermination()  # nothing new
     assert lake.table(base["physical_name"]).count() == 4
+
+
+def test_replayed_batch_skips_applied_tables(spark, lake, workdir):
+    from reportlake.streaming import dropfolder as D
+
+    base = lake.ingest_file(write(workdir, "base.csv", "id\n1\n"), "csv")[0]
+    phys = base["physical_name"]
+    f = write(workdir, "f.csv", "id\n2\n")
+    lake.append(base["source_id"], f, on_table_done=lambda p: D._mark(lake, p, 7, 0))
+    assert D._progress(lake, phys) == (7, 0)
+    done = {t for t in [phys] if D._progress(lake, t) >= (7, 0)}
+    rep = lake.append(base["source_id"], f, skip=done).first()  # the replay appends nothing
+    assert rep["skipped"] and rep["skipReason"] == "already applied"
+    assert lake.table(phys).count() == 2
