@@ -93,16 +93,22 @@ def xlsx_bytes(sheets: list[tuple[str, list[str], list[list]]], shared_strings:
     return buf.getvalue()
 
 
+KEYS_PER_WORKBOOK = 50_000  # bounded workbook size (Excel itself stops at 1 048 576 rows)
+
+
 def write_customer_workbooks(customer: DataFrame, out_dir: str) -> None:
-    """One workbook per market segment: sheet ``customers`` (the segment's rows) and sheet
-    ``nations`` (customers per nation). Written by the tasks, one group per file."""
+    """One workbook per market segment and block of 50 000 customer keys: sheet ``customers``
+    (the rows) and sheet ``nations`` (customers per nation). Each pandas group is bounded
+    by the key block, whatever the skew of segments."""
+    from pyspark.sql import functions as F
+
     cols = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
     root = out_dir.replace("file:", "")
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         import os
 
-        seg = str(pdf["c_mktsegment"].iloc[0])
+        seg, block = str(pdf["c_mktsegment"].iloc[0]), int(pdf["block"].iloc[0])
         pdf = pdf.sort_values("c_custkey")
         rows = [[int(r.c_custkey), r.c_name, int(r.c_nationkey), float(r.c_acctbal), r.c_mktsegment]
                 for r in pdf.itertuples()]
@@ -111,8 +117,10 @@ def write_customer_workbooks(customer: DataFrame, out_dir: str) -> None:
                            ("nations", ["c_nationkey", "n_customers"],
                             [[int(a), int(b)] for a, b in zip(nat["c_nationkey"], nat["n"])])])
         os.makedirs(root, exist_ok=True)
-        with open(f"{root}/{seg}.xlsx", "wb") as fh:
+        name = f"{seg}-{block}.xlsx"
+        with open(f"{root}/{name}", "wb") as fh:
             fh.write(data)
-        return pd.DataFrame({"file": [f"{seg}.xlsx"], "rows": [len(rows)]})
+        return pd.DataFrame({"file": [name], "rows": [len(rows)]})
 
-    customer.select(*cols).groupBy("c_mktsegment").applyInPandas(one, "file string, rows long").collect()
+    blocks = customer.select(*cols).withColumn("block", F.floor(F.col("c_custkey") / KEYS_PER_WORKBOOK).cast("long"))
+    blocks.groupBy("c_mktsegment", "block").applyInPandas(one, "file string, rows long").collect()

@@ -173,9 +173,10 @@ def workbook_ingest(spark, d):
 
 
 @case("workbook_sheets", """
-SELECT DISTINCT c_mktsegment || '.xlsx' AS file_name, 0 AS sheet_idx, 'customers' AS sheet FROM customer
+SELECT DISTINCT c_mktsegment || '-' || CAST(c_custkey // 50000 AS VARCHAR) || '.xlsx' AS file_name,
+       0 AS sheet_idx, 'customers' AS sheet FROM customer
 UNION ALL
-SELECT DISTINCT c_mktsegment || '.xlsx', 1, 'nations' FROM customer""")
+SELECT DISTINCT c_mktsegment || '-' || CAST(c_custkey // 50000 AS VARCHAR) || '.xlsx', 1, 'nations' FROM customer""")
 def workbook_sheets(spark, d):
     folder = _customer_workbooks(spark, d)
     s = wb.workbook_sheets(spark, folder)
@@ -184,15 +185,15 @@ def workbook_sheets(spark, d):
 
 @case("workbook_to_csv", """
 SELECT 'customers' AS sheet, 'c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment' AS line
-FROM (SELECT DISTINCT c_mktsegment FROM customer)
+FROM (SELECT DISTINCT c_mktsegment, c_custkey // 50000 FROM customer)
 UNION ALL
 SELECT 'customers', CAST(c_custkey AS VARCHAR) || ',' || c_name || ',' || CAST(c_nationkey AS VARCHAR) || ','
        || CAST(c_acctbal AS VARCHAR) || ',' || c_mktsegment FROM customer
 UNION ALL
-SELECT 'nations', 'c_nationkey,n_customers' FROM (SELECT DISTINCT c_mktsegment FROM customer)
+SELECT 'nations', 'c_nationkey,n_customers' FROM (SELECT DISTINCT c_mktsegment, c_custkey // 50000 FROM customer)
 UNION ALL
 SELECT 'nations', CAST(c_nationkey AS VARCHAR) || ',' || CAST(count(*) AS VARCHAR)
-FROM customer GROUP BY c_mktsegment, c_nationkey""")
+FROM customer GROUP BY c_mktsegment, c_custkey // 50000, c_nationkey""")
 def workbook_to_csv(spark, d):
     folder = _customer_workbooks(spark, d)
     out = scratch_dir(spark, "sheets-csv")

@@ -142,13 +142,20 @@ def parse_cells(path: str, content: bytes):
                 yield si, sheet, rnum, col, val, kind
 
 
+CELL_CHUNK = 100_000  # cells per emitted pandas frame: memory stays bounded for any workbook size
+
+
 def _cells_batches(batches):
     for pdf in batches:
-        rows = []
         for path, content in zip(pdf["path"], pdf["content"]):
+            rows = []
             for si, sheet, r, c, v, k in parse_cells(path, bytes(content)):
                 rows.append((path, si, sheet, r, c, v, k))
-        yield pd.DataFrame(rows, columns=CELL_SCHEMA.names)
+                if len(rows) >= CELL_CHUNK:
+                    yield pd.DataFrame(rows, columns=CELL_SCHEMA.names)
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=CELL_SCHEMA.names)
 
 
 def _sheet_batches(batches):
@@ -226,7 +233,9 @@ def read_workbooks(spark: SparkSession, paths) -> dict[str, list[tuple[str, Data
 
     paths = [paths] if isinstance(paths, str) else list(paths)
     loc = scratch_dir(spark, "cells")
-    workbook_cells(spark, paths).write.mode("overwrite").parquet(loc)
+    # one directory per (workbook, sheet): each sheet's reshape below reads only its own files
+    (workbook_cells(spark, paths).withColumn("book", F.xxhash64("path"))
+     .write.mode("overwrite").partitionBy("book", "sheet_idx").parquet(loc))
     cells = spark.read.parquet(loc)
     sheets = workbook_sheets(spark, paths).collect()  # one row per sheet
     keys = ["path", "sheet_idx"]
@@ -257,7 +266,8 @@ def read_workbooks(spark: SparkSession, paths) -> dict[str, list[tuple[str, Data
         col_ids = list(range(1, width + 1))
         names = dedupe_names(blank_to_positional([heads.get(k, {}).get(c) for c in col_ids]))
         types = {c: votes.get(k, {}).get(c, "string") for c in col_ids}
-        sc = cells.where((F.col("path") == s["path"]) & (F.col("sheet_idx") == s["sheet_idx"]))
+        sc = cells.where((F.col("book") == F.xxhash64(F.lit(s["path"]))) & (F.col("sheet_idx") == s["sheet_idx"])
+                         & (F.col("path") == s["path"]))
         out.setdefault(s["path"], []).append((s["sheet"], typed_sheet(sc, names, col_ids, types, hdr)))
     return out
 
