@@ -22,28 +22,34 @@ def qualify(df: DataFrame, condition: Column | str) -> DataFrame:
 def distinct_on(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, bool]]) -> DataFrame:
     """``SELECT DISTINCT ON (keys) * ... ORDER BY keys, order``: the first row of each key.
 
-    ``order`` is ``[(column, ascending), ...]``. Written as a hash aggregate picking the
-    row with the smallest sort key (``min_by`` over a struct), so partial aggregation
-    collapses a hot key map-side before the shuffle instead of sorting the whole key in
-    one task. Descending numeric keys are negated; other descending keys fall back to a
-    ``row_number`` window.
+    ``order`` is ``[(column, ascending), ...]``. Written as an aggregate picking the row with
+    the smallest (``min_by``) or largest (``max_by``) struct sort key, so partial aggregation
+    collapses a hot key map-side before the shuffle instead of sorting the whole key in one
+    task. Columns that run against the chosen direction are negated (numbers, dates, times);
+    only when a text column runs against it does this fall back to a ``row_number`` window.
     """
     types = dict(df.dtypes)
-    numeric = ("int", "bigint", "smallint", "tinyint", "double", "float")
+
+    def negatable(t: str) -> bool:
+        return t in ("int", "bigint", "smallint", "tinyint", "double", "float", "date") or \
+            t.startswith("decimal") or t.startswith("timestamp")
+
+    text_dirs = {asc for name, asc in order if not negatable(types[name])}
+    if len(text_dirs) > 1:
+        w = Window.partitionBy(*keys).orderBy(*[F.col(n).asc() if a else F.col(n).desc() for n, a in order])
+        return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    ascending = text_dirs.pop() if text_dirs else True
     parts = []
     for name, asc in order:
-        if asc:
-            parts.append(F.col(name))
-        elif types[name] in numeric or types[name].startswith("decimal"):
-            parts.append(-F.col(name))
-        elif types[name] in ("date",) or types[name].startswith("timestamp"):
-            parts.append(-F.unix_micros(F.col(name).cast("timestamp")))
-        else:
-            w = Window.partitionBy(*keys).orderBy(*[F.col(n).asc() if a else F.col(n).desc() for n, a in order])
-            return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+        c = F.col(name)
+        if asc != ascending:
+            t = types[name]
+            c = -F.unix_micros(c.cast("timestamp")) if (t == "date" or t.startswith("timestamp")) else -c
+        parts.append(c)
     sort_key = F.struct(*[p.alias(f"o{i}") for i, p in enumerate(parts)])
     row = F.struct(*[F.col(c) for c in df.columns])
-    picked = df.groupBy(*keys).agg(F.min_by(row, sort_key).alias("__row"))
+    pick = F.min_by if ascending else F.max_by
+    picked = df.groupBy(*keys).agg(pick(row, sort_key).alias("__row"))
     return picked.select(*[F.col(f"__row.{c}").alias(c) for c in df.columns])
 
 

@@ -71,3 +71,16 @@ def test_groups_frame(spark):
     df = spark.createDataFrame([(1, "a", 1), (1, "a", 2), (1, "b", 4), (1, "c", 8)], "k int, g string, v int")
     got = [r["s"] for r in rel.with_groups_frame(df, ["k"], "g", "v", 1, 0, "s").orderBy("v").collect()]
     assert got == [3, 3, 7, 12]
+
+
+def test_distinct_on_directions(spark):
+    from pyspark.sql import Window
+
+    o = table(spark, SF, "orders")
+    for order in ([("o_orderpriority", False), ("o_orderkey", True)],
+                  [("o_orderstatus", True), ("o_totalprice", False), ("o_orderkey", False)],
+                  [("o_orderstatus", True), ("o_orderpriority", False), ("o_orderkey", True)]):
+        got = rel.distinct_on(o, ["o_custkey"], order)
+        w = Window.partitionBy("o_custkey").orderBy(*[F.col(n).asc() if a else F.col(n).desc() for n, a in order])
+        want = o.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
