@@ -104,6 +104,12 @@ class Lake:
         df.write.format("parquet").mode("errorifexists").saveAsTable(self.qualified(physical))
         kv = ", ".join(f"'{P}{k}'='{_esc(str(v))}'" for k, v in props.items())
         self.spark.sql(f"ALTER TABLE {self.qualified(physical)} SET TBLPROPERTIES ({kv})")
+        self.analyze(physical)
+
+    def analyze(self, physical: str) -> None:
+        """Record row count and size in the catalog so join planning (broadcast threshold,
+        cost-based join order) sees the table's real size."""
+        self.spark.sql(f"ANALYZE TABLE {self.qualified(physical)} COMPUTE STATISTICS")
 
     def _sheets(self, path: str, file_type: str) -> list[tuple[str | None, DataFrame]]:
         if file_type == "csv":
@@ -220,6 +226,7 @@ class Lake:
             cols = ", ".join(f"`{c}` STRING" for c in diff.new)
             self.spark.sql(f"ALTER TABLE {self.qualified(physical)} ADD COLUMNS ({cols})")
         shaped.write.insertInto(self.qualified(physical))  # columns already in table order
+        self.analyze(physical)
         after = self.table(physical).count()
         return (physical, before, after - before, after, diff.new, diff.matched, diff.missing, False, None)
 
