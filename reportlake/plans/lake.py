@@ -100,8 +100,13 @@ class Lake:
         return sorted(out, key=lambda t: (t.source_id, t.position))
 
     # ---- ingest ---------------------------------------------------------------------------------
-    def _write_table(self, df: DataFrame, physical: str, props: dict[str, str]) -> None:
-        df.write.format("parquet").mode("errorifexists").saveAsTable(self.qualified(physical))
+    def _write_table(self, df: DataFrame, physical: str, props: dict[str, str],
+                     partition_by: Sequence[str] | None = None) -> None:
+        w = df.write.format("parquet").mode("errorifexists")
+        cols = [c for c in (partition_by or []) if c in df.columns]
+        if cols:  # e.g. a date column: reports filtering on it read only matching directories
+            w = w.partitionBy(*cols)
+        w.saveAsTable(self.qualified(physical))
         kv = ", ".join(f"'{P}{k}'='{_esc(str(v))}'" for k, v in props.items())
         self.spark.sql(f"ALTER TABLE {self.qualified(physical)} SET TBLPROPERTIES ({kv})")
         self.analyze(physical)
@@ -119,7 +124,8 @@ class Lake:
         return read_workbook(self.spark, path)
 
     def ingest_file(self, path: str, file_type: str, file_size: int = -1,
-                    sheets: list[tuple[str | None, DataFrame]] | None = None) -> list[dict]:
+                    sheets: list[tuple[str | None, DataFrame]] | None = None,
+                    partition_by: Sequence[str] | None = None) -> list[dict]:
         """Load one file; all its tables appear, or none do (tables made so far are dropped)."""
         name = path.rstrip("/").rsplit("/", 1)[-1]
         sid = source_id_of(path)
@@ -132,7 +138,7 @@ class Lake:
                     "source_id": sid, "source_file": name, "source_type": file_type,
                     "source_size": file_size, "display": display, "sheet": sheet or "",
                     "position": pos, "created_at": _dt.datetime.now(_dt.timezone.utc).isoformat(),
-                })
+                }, partition_by)
                 created.append(phys)
                 t = self.table(phys)
                 out.append({"source_id": sid, "file_name": name, "file_type": file_type,
@@ -144,7 +150,7 @@ class Lake:
             raise LakeError(f"load of {name} failed, nothing kept: {exc}") from exc
         return out
 
-    def ingest(self, paths: Sequence[str] | str) -> DataFrame:
+    def ingest(self, paths: Sequence[str] | str, partition_by: Sequence[str] | None = None) -> DataFrame:
         """Bulk load: each given path (a file, or a folder of parts such as Spark writes) is one
         upload, routed by the extension of its name. Returns the manifest: one row per table
         made, plus one row per rejected upload with its reason."""
@@ -167,7 +173,7 @@ class Lake:
                              "physical_name": None, "display_name": None, "sheet": None, "rows": None,
                              "n_columns": None, "rejected_reason": reason})
                 continue
-            for r in self.ingest_file(p, ftype, size, books.get(root) if ftype == "excel" else None):
+            for r in self.ingest_file(p, ftype, size, books.get(root) if ftype == "excel" else None, partition_by):
                 rows.append({**r, "rejected_reason": None})
         return self.spark.createDataFrame(rows, MANIFEST_SCHEMA)
 
@@ -225,7 +231,10 @@ class Lake:
         if diff.new:
             cols = ", ".join(f"`{c}` STRING" for c in diff.new)
             self.spark.sql(f"ALTER TABLE {self.qualified(physical)} ADD COLUMNS ({cols})")
-        shaped.write.insertInto(self.qualified(physical))  # columns already in table order
+        view = f"__append_{physical}"
+        shaped.createOrReplaceTempView(view)  # by name: partition columns may sit last in the table
+        self.spark.sql(f"INSERT INTO {self.qualified(physical)} BY NAME SELECT * FROM `{view}`")
+        self.spark.catalog.dropTempView(view)
         self.analyze(physical)
         after = self.table(physical).count()
         return (physical, before, after - before, after, diff.new, diff.matched, diff.missing, False, None)

@@ -96,3 +96,17 @@ def test_load_is_all_or_nothing(spark, lake, workdir, monkeypatch):
     with pytest.raises(LakeError):
         lake.ingest([path])
     assert set(lake.table_names()) == before  # the first sheet's table was dropped again
+
+
+def test_partitioned_table_prunes_and_appends(spark, lake, workdir):
+    from conftest import plan_text
+
+    text = "id,day,amount\n1,2024-01-01,10\n2,2024-01-02,20\n3,2024-01-02,30\n"
+    info = lake.ingest([write(workdir, "p.csv", text)], partition_by=["day"]).first()
+    t = lake.table(info["physical_name"])
+    q = t.where(F.col("day") == F.lit("2024-01-02").cast("date"))
+    assert "PartitionFilters: [isnotnull(day" in plan_text(q) and q.count() == 2
+    rep = lake.append(info["source_id"], write(workdir, "p2.csv", "day,id,note\n2024-01-03,4,x\n")).first()
+    assert rep["rowsAfter"] == 4 and rep["newColumns"] == ["note"]
+    got = lake.table(info["physical_name"]).where("id = 4").first()
+    assert str(got["day"]) == "2024-01-03" and got["note"] == "x" and got["amount"] is None
