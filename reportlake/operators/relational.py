@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reportlake.session import spread
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -71,7 +73,7 @@ def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> Da
     Planned as TakeOrderedAndProject: every task keeps its own top ``n``, the driver merges
     ``tasks * n`` rows at most. The limit is the feature here.
     """
-    return df.withColumn("__h", sample_key(seed, *key)).orderBy("__h", *key).limit(n).drop("__h")
+    return spread(df).withColumn("__h", sample_key(seed, *key)).orderBy("__h", *key).limit(n).drop("__h")
 
 
 def sample_fraction(df: DataFrame, percent: float, key: Sequence[str], seed: int = 42) -> DataFrame:

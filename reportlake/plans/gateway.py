@@ -165,14 +165,23 @@ class Page:
     size: int = DEFAULT_PAGE_SIZE
     cap: int = MAX_ROWS
     timeout_s: float | None = None
+    pool: str | None = None  # FAIR scheduler pool for this page's jobs (concurrent users)
 
     def __post_init__(self):
         self.page, self.size = clamp(self.page, self.size, self.cap)
 
     def _run(self, action):
-        if self.timeout_s is None:
-            return action()
-        return run_with_timeout(self.df.sparkSession, action, self.timeout_s)
+        sc = self.df.sparkSession.sparkContext
+        old = sc.getLocalProperty("spark.scheduler.pool")
+        if self.pool is not None:
+            sc.setLocalProperty("spark.scheduler.pool", self.pool)
+        try:
+            if self.timeout_s is None:
+                return action()
+            return run_with_timeout(self.df.sparkSession, action, self.timeout_s)
+        finally:
+            if self.pool is not None:
+                sc.setLocalProperty("spark.scheduler.pool", old)
 
     @property
     def columns(self) -> list[str]:
@@ -204,10 +213,12 @@ class Page:
 
 
 def run_sql(spark: SparkSession, text: str, page: int = 0, size: int = DEFAULT_PAGE_SIZE,
-            mode: str = "default", cap: int = MAX_ROWS, timeout_s: float | None = DEFAULT_TIMEOUT_S) -> Page:
+            mode: str = "default", cap: int = MAX_ROWS, timeout_s: float | None = DEFAULT_TIMEOUT_S,
+            pool: str | None = None) -> Page:
     """Guarded query → lazy page (the reference's execute endpoint). Collecting the page or the
-    total is cancelled after ``timeout_s`` seconds (None: no limit)."""
-    return Page(sql(spark, text, mode), page, size, cap, timeout_s)
+    total is cancelled after ``timeout_s`` seconds (None: no limit); with ``pool`` its jobs run
+    in that FAIR scheduler pool, so one user's large query does not starve the others."""
+    return Page(sql(spark, text, mode), page, size, cap, timeout_s, pool)
 
 
 def page_count_col(total: Column, size: int) -> Column:
