@@ -117,6 +117,6 @@ def test_page_timeout(spark):
 def test_page_pool_is_restored(spark):
     register_dir(spark, SF)
     page = g.run_sql(spark, "SELECT r_name FROM region ORDER BY r_name", 0, 2, pool="reports")
-    names = sorted(r[0] for r in spark.table("region").collect())
+    names = sorted(r["r_name"] for r in spark.table("region").collect())
     assert [r[0] for r in page.rows()] == names[:2]
     assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") in (None, "default")
