@@ -150,10 +150,14 @@ class Lake:
             raise LakeError(f"load of {name} failed, nothing kept: {exc}") from exc
         return out
 
-    def ingest(self, paths: Sequence[str] | str, partition_by: Sequence[str] | None = None) -> DataFrame:
+    def ingest(self, paths: Sequence[str] | str, partition_by: Sequence[str] | None = None,
+               parallel: int = 4) -> DataFrame:
         """Bulk load: each given path (a file, or a folder of parts such as Spark writes) is one
         upload, routed by the extension of its name. Returns the manifest: one row per table
-        made, plus one row per rejected upload with its reason."""
+        made, plus one row per rejected upload with its reason.
+
+        Up to ``parallel`` uploads are loaded at once from driver threads (Spark runs their jobs
+        concurrently), so many small files do not queue behind each other's job overheads."""
         paths = [paths] if isinstance(paths, str) else list(paths)
         files = list_files(self.spark, paths).select("path", "file_size").collect()  # listing: metadata only
         excel = [p for p in paths if route_name(_norm(p).rsplit("/", 1)[-1])[0] == "excel"]
@@ -162,19 +166,26 @@ class Lake:
             from reportlake.sources.workbook import read_workbooks
 
             books = {_norm(k): v for k, v in read_workbooks(self.spark, excel).items()}
-        rows = []
-        for p in paths:
+        def load(p: str) -> list[dict]:
             root = _norm(p)
             size = sum(f["file_size"] for f in files if _norm(f["path"]) == root or _norm(f["path"]).startswith(root + "/"))
             name = root.rsplit("/", 1)[-1]
             ftype, reason = route_name(name)
             if ftype is None:
-                rows.append({"source_id": None, "file_name": name, "file_type": None, "file_size": size,
-                             "physical_name": None, "display_name": None, "sheet": None, "rows": None,
-                             "n_columns": None, "rejected_reason": reason})
-                continue
-            for r in self.ingest_file(p, ftype, size, books.get(root) if ftype == "excel" else None, partition_by):
-                rows.append({**r, "rejected_reason": None})
+                return [{"source_id": None, "file_name": name, "file_type": None, "file_size": size,
+                         "physical_name": None, "display_name": None, "sheet": None, "rows": None,
+                         "n_columns": None, "rejected_reason": reason}]
+            made = self.ingest_file(p, ftype, size, books.get(root) if ftype == "excel" else None, partition_by)
+            return [{**r, "rejected_reason": None} for r in made]
+
+        if parallel > 1 and len(paths) > 1:
+            from concurrent.futures import ThreadPoolExecutor
+
+            with ThreadPoolExecutor(max_workers=parallel) as pool:
+                results = list(pool.map(load, paths))  # input order kept
+        else:
+            results = [load(p) for p in paths]
+        rows = [r for rs in results for r in rs]
         return self.spark.createDataFrame(rows, MANIFEST_SCHEMA)
 
     def ingest_folder(self, folder: str) -> DataFrame:
