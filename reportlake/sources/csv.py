@@ -181,10 +181,23 @@ def _cast_expr(c: Column, typ: str) -> Column:
     return s.try_cast(typ)
 
 
+def has_quoted_newlines(spark: SparkSession, path: str) -> bool:
+    """Whether any line of the whole file has an odd number of quotes (a quoted field goes on
+    to the next line). A splittable text scan that stops at the first such line."""
+    odd = ((F.size(F.split(F.col("value"), '"', -1)) - 1) % 2) == 1
+    return spark.read.text(path).where(F.col("value").contains('"') & odd).limit(1).count() > 0
+
+
 def read_csv(spark: SparkSession, path: str, dialect: Dialect | None = None,
              types: dict[str, str] | None = None) -> DataFrame:
-    """CSV/TXT file (or a directory of same-header parts) → typed DataFrame."""
+    """CSV/TXT file (or a directory of same-header parts) → typed DataFrame.
+
+    Multi-line mode (one task per file) is used only when some quoted field really spans
+    lines: the sniffed sample decides first, and when it saw none the whole file is checked,
+    so a quoted newline deep in a large file cannot split rows."""
     d = dialect or sniff_csv(spark, path)
+    if dialect is None and not d.multiline and has_quoted_newlines(spark, path):
+        d = Dialect(d.delimiter, d.quote, True)
     names = read_header(spark, path, d)
     raw = read_text_columns(spark, path, names, d)
     found = types or detect_types(raw)

@@ -82,3 +82,11 @@ def _raw_lines(folder):
         with open(f, encoding="utf-8") as fh:
             out += fh.read().splitlines()
     return out
+
+
+def test_quoted_newline_beyond_the_sample(spark, workdir):
+    body = "".join(f"{i},plain{i}\n" for i in range(1500))
+    path = write(workdir, "late.csv", "id,text\n" + body + '1500,"two\nlines"\n')
+    assert not C.sniff_csv(spark, path).multiline
+    df = C.read_csv(spark, path)
+    assert df.count() == 1501 and df.where("id = 1500").first()["text"] == "two\nlines"
