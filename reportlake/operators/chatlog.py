@@ -59,3 +59,8 @@ def flatten_messages(sessions: DataFrame, session_col: str = "session_id",
     plain = user.unionByName(text).withColumn("tool_name", F.lit(None).cast("string")) \
         .withColumn("tool_args", F.lit(None).cast("string"))
     return plain.unionByName(tools)
+
+
+# names of the planned API
+index = session_index
+flatten = flatten_messages

@@ -228,6 +228,11 @@ class Lake:
                 on_table_done(info.physical_name)
         return self.spark.createDataFrame(reports, REPORT_SCHEMA)
 
+    def append_many(self, source_id: str, paths: Sequence[str]) -> DataFrame:
+        """Append several files in the given order; one report row per (file, table)."""
+        reps = [self.append(source_id, p).withColumn("file", F.lit(p)) for p in paths]
+        return reduce(DataFrame.unionByName, reps)
+
     def _append_one(self, physical: str, new_rows: DataFrame, before: int) -> tuple:
         target = self.table(physical)
         shaped, diff = evolve(new_rows, target.schema)
