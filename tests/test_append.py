@@ -110,3 +110,10 @@ def test_partitioned_table_prunes_and_appends(spark, lake, workdir):
     assert rep["rowsAfter"] == 4 and rep["newColumns"] == ["note"]
     got = lake.table(info["physical_name"]).where("id = 4").first()
     assert str(got["day"]) == "2024-01-03" and got["note"] == "x" and got["amount"] is None
+
+
+def test_append_many_in_order(lake, workdir):
+    info = _load(lake, workdir)
+    paths = [write(workdir, f"m{i}.csv", f"id,name\n{10 + i},n{i}\n") for i in range(3)]
+    rep = lake.append_many(info["source_id"], paths).collect()
+    assert [r["rowsAfter"] for r in rep] == [3, 4, 5] and [r["file"] for r in rep] == paths
