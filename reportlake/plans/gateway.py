@@ -127,7 +127,10 @@ def sql(spark: SparkSession, text: str, mode: str = "default") -> DataFrame:
     configure(spark)
     clean = check_sql(text, mode)
     try:
-        with scoped_conf(spark, **{"spark.sql.ansi.doubleQuotedIdentifiers": "true"}):
+        # double quotes name columns (as users of the reference expect); SQL on raw file
+        # paths stays off, files come in through ``sources.files.read_file``
+        with scoped_conf(spark, **{"spark.sql.ansi.doubleQuotedIdentifiers": "true",
+                                   "spark.sql.runSQLOnFiles": "false"}):
             return spark.sql(clean)
     except Exception as exc:  # ParseException / AnalysisException
         if exc.__class__.__name__ in ("ParseException", "AnalysisException"):

@@ -120,3 +120,9 @@ def test_page_pool_is_restored(spark):
     names = sorted(r["r_name"] for r in spark.table("region").collect())
     assert [r[0] for r in page.rows()] == names[:2]
     assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") in (None, "default")
+
+
+def test_sql_on_raw_files_is_off(spark):
+    with pytest.raises(g.QuerySyntaxError):
+        g.sql(spark, f"SELECT * FROM parquet.`{SF}/region.parquet`")
+    assert spark.sql(f"SELECT count(*) FROM parquet.`{SF}/region.parquet`").first()[0] == 5  # outside the gateway
