@@ -354,8 +354,8 @@ SELECT c_custkey, part FROM customer LATERAL VIEW explode(split(c_name, '#')) p
 SELECT c_custkey, unnest(string_split(c_name, '#')) AS part FROM customer""")
 
 sql_case("values_join", """
-SELECT r.r_name, v.label FROM region r
-JOIN (VALUES (0, 'zero'), (1, 'one'), (2, 'two')) AS v(k, label) ON r.r_regionkey = v.k""")
+SELECT c.c_custkey, v.label FROM customer c
+JOIN (VALUES (0, 'zero'), (1, 'one'), (2, 'two')) AS v(k, label) ON c.c_nationkey = v.k""")
 
 
 @case("sample_hash", f"""

@@ -46,16 +46,16 @@ def _ingest_one(spark, df: DataFrame, name: str, sep: str = ",") -> tuple[lk.Lak
 
 
 # ---- A: sources / ingest --------------------------------------------------------------------------
-@case("csv_ingest", "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, "
-                    "CAST(n_regionkey AS BIGINT) AS n_regionkey FROM nation")
+@case("csv_ingest", "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, "
+                    "c_mktsegment FROM customer")
 def csv_ingest(spark, d):
-    lake, info = _ingest_one(spark, t(spark, d, "nation"), "nation")
+    lake, info = _ingest_one(spark, t(spark, d, "customer"), "customer")
     return lake.table(info["physical_name"])
 
 
-@case("csv_sniff", "SELECT CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name FROM region")
+@case("csv_sniff", "SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier")
 def csv_sniff(spark, d):
-    path = _write_csv(t(spark, d, "region"), f"{scratch_dir(spark, 'upload')}/region.csv", sep=";")
+    path = _write_csv(t(spark, d, "supplier"), f"{scratch_dir(spark, 'upload')}/supplier.csv", sep=";")
     return csv_src.read_csv(spark, path)
 
 
@@ -129,10 +129,10 @@ def dedupe_header_q(spark, d):
     return _dedupe(t(spark, d, "part"), "p_partkey", "p_name")
 
 
-@case("scan_table", "SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 1")
+@case("scan_table", "SELECT s_suppkey, s_name FROM supplier WHERE s_nationkey = 1")
 def scan_table(spark, d):
     register_dir(spark, d)
-    return spark.table("nation").where(F.col("n_regionkey") == 1).select("n_nationkey", "n_name")
+    return spark.table("supplier").where(F.col("s_nationkey") == 1).select("s_suppkey", "s_name")
 
 
 @case("read_parquet_file", "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 9000")
@@ -226,11 +226,11 @@ def csv_export_page(spark, d):
 
 
 @case("export_formats", """
-SELECT 'csv' AS fmt, CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name FROM region
-UNION ALL SELECT 'json', CAST(r_regionkey AS BIGINT), r_name FROM region
-UNION ALL SELECT 'parquet', CAST(r_regionkey AS BIGINT), r_name FROM region""")
+SELECT 'csv' AS fmt, s_suppkey, s_name FROM supplier
+UNION ALL SELECT 'json', s_suppkey, s_name FROM supplier
+UNION ALL SELECT 'parquet', s_suppkey, s_name FROM supplier""")
 def export_formats(spark, d):
-    region = t(spark, d, "region")
+    region = t(spark, d, "supplier").select("s_suppkey", "s_name")
     base = scratch_dir(spark, "export")
     parts = []
     for fmt in ("csv", "json", "parquet"):
@@ -238,8 +238,8 @@ def export_formats(spark, d):
         back = read_file(spark, f"{base}/{fmt}", fmt)
         if fmt == "csv":  # the BOM belongs to the first header name only
             back = back.toDF(*[c.lstrip(ex.BOM) for c in back.columns])
-        parts.append(back.select(F.lit(fmt).alias("fmt"), F.col("r_regionkey").cast("bigint").alias("r_regionkey"),
-                                 "r_name"))
+        parts.append(back.select(F.lit(fmt).alias("fmt"), F.col("s_suppkey").cast("bigint").alias("s_suppkey"),
+                                 "s_name"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -295,16 +295,16 @@ def append_by_name(spark, d):
 
 
 @case("append_pairing", """
-WITH tb AS (SELECT n_name AS tbl, row_number() OVER (ORDER BY n_nationkey) AS i FROM nation),
-     sh AS (SELECT r_name AS sheet, row_number() OVER (ORDER BY r_regionkey) AS i FROM region)
+WITH tb AS (SELECT c_name AS tbl, row_number() OVER (ORDER BY c_custkey) AS i FROM customer),
+     sh AS (SELECT s_name AS sheet, row_number() OVER (ORDER BY s_suppkey) AS i FROM supplier)
 SELECT tb.tbl AS "table", sh.sheet, sh.sheet IS NULL AS skipped,
-       CASE WHEN sh.sheet IS NULL THEN 'the new file has ' || (SELECT count(*) FROM region)
-            || ' sheets, fewer than the ' || (SELECT count(*) FROM nation) || ' target tables; skipped' END
+       CASE WHEN sh.sheet IS NULL THEN 'the new file has ' || (SELECT count(*) FROM supplier)
+            || ' sheets, fewer than the ' || (SELECT count(*) FROM customer) || ' target tables; skipped' END
          AS skip_reason
 FROM tb LEFT JOIN sh ON tb.i = sh.i""")
 def append_pairing(spark, d):
-    tables = t(spark, d, "nation").select(F.col("n_nationkey").alias("position"), F.col("n_name").alias("table"))
-    sheets = t(spark, d, "region").select(F.col("r_regionkey").alias("position"), F.col("r_name").alias("sheet"))
+    tables = t(spark, d, "customer").select(F.col("c_custkey").alias("position"), F.col("c_name").alias("table"))
+    sheets = t(spark, d, "supplier").select(F.col("s_suppkey").alias("position"), F.col("s_name").alias("sheet"))
     return ap.pair_by_position(tables, sheets)
 
 
@@ -336,9 +336,10 @@ def append_report(spark, d):
 
 
 # ---- D: maintenance ------------------------------------------------------------------------------
-@case("truncate_keep_schema", "SELECT CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name FROM region LIMIT 0")
+@case("truncate_keep_schema", "SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, "
+                              "p_retailprice FROM part LIMIT 0")
 def truncate_keep_schema(spark, d):
-    lake, info = _ingest_one(spark, t(spark, d, "region"), "region_trunc")
+    lake, info = _ingest_one(spark, t(spark, d, "part"), "part_trunc")
     lake.truncate(info["source_id"], info["physical_name"])
     return lake.table(info["physical_name"])
 
@@ -348,14 +349,16 @@ _IN_TABLES = ", ".join(f"'{n}'" for n in TEST_TABLES)
 
 
 @case("list_tables", f"""
-SELECT t.table_name, count(*) AS n_columns FROM information_schema.tables t
-JOIN information_schema.columns c ON c.table_name = t.table_name
-WHERE t.table_name IN ({_IN_TABLES}) GROUP BY t.table_name ORDER BY t.table_name""")
+WITH c AS (SELECT t.table_name, count(*) AS n_columns FROM information_schema.tables t
+           JOIN information_schema.columns c ON c.table_name = t.table_name
+           WHERE t.table_name IN ({_IN_TABLES}) GROUP BY t.table_name),
+     r AS ({" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in TEST_TABLES)})
+SELECT c.table_name, c.n_columns, r.row_count FROM c JOIN r USING (table_name) ORDER BY c.table_name""")
 def list_tables(spark, d):
     register_dir(spark, d)
     names = sorted(tb.name for tb in spark.catalog.listTables() if tb.isTemporary and tb.name in TEST_TABLES)
-    return catalog_rows(spark, {n: spark.table(n) for n in names}).select("table_name", "n_columns") \
-        .orderBy("table_name")
+    return (catalog_rows(spark, {n: spark.table(n) for n in names})
+            .select("table_name", "n_columns", "row_count").orderBy("table_name"))
 
 
 @case("table_columns", """
@@ -482,10 +485,10 @@ def page_inner_order(spark, d):
         ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey""", page=2, size=30).frame
 
 
-@case("label_alias", 'SELECT n_name AS "国家", n_regionkey AS "区域", n_nationkey AS "编号" FROM nation')
+@case("label_alias", 'SELECT c_name AS "客户", c_nationkey AS "国家", c_acctbal AS "余额" FROM customer')
 def label_alias(spark, d):
     register_dir(spark, d)
-    return gateway.sql(spark, 'SELECT n_name AS "国家", n_regionkey AS "区域", n_nationkey AS "编号" FROM nation')
+    return gateway.sql(spark, 'SELECT c_name AS "客户", c_nationkey AS "国家", c_acctbal AS "余额" FROM customer')
 
 
 @case("digest_top20", """

@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,10 +88,13 @@ def pair_by_position(tables: DataFrame, sheets: DataFrame) -> DataFrame:
     """i-th sheet ↔ i-th table. ``tables(position, table)``, ``sheets(position, sheet)`` →
     one row per table: ``table, sheet, skipped, skip_reason``; surplus sheets are dropped.
 
-    Both inputs are small (one row per table / per sheet of one upload)."""
+    A positional left join: both sides are numbered in ``position`` order with the scalable
+    row index (range-partitioned sort, no single-partition window) and joined on it."""
+    from reportlake.operators.joins import row_index
+
     n_sheets, n_tables = sheets.count(), tables.count()
-    t = tables.withColumn("i", F.row_number().over(Window.orderBy("position")))
-    s = sheets.withColumn("i", F.row_number().over(Window.orderBy("position"))).select("i", "sheet")
+    t = row_index(tables.select("position", "table"), ["position"], "i")
+    s = row_index(sheets.select("position", "sheet"), ["position"], "i").select("i", "sheet")
     j = t.join(s, "i", "left")
     reason = F.lit(f"the new file has {n_sheets} sheets, fewer than the {n_tables} target tables; skipped")
     return j.select("table", "sheet", F.col("sheet").isNull().alias("skipped"),
