@@ -284,11 +284,11 @@ def qualify(spark, d):
 # ---- order / limit ----------------------------------------------------------------------------
 @case("sort_nulls", """
 SELECT c_custkey, nullif(c_mktsegment, 'BUILDING') AS seg FROM customer
-ORDER BY seg DESC NULLS LAST, c_custkey DESC LIMIT 100""")
+ORDER BY seg NULLS LAST, c_custkey DESC LIMIT 100""")
 def sort_nulls(spark, d):
     c = t(spark, d, "customer").select("c_custkey", F.expr("nullif(c_mktsegment, 'BUILDING')").alias("seg"))
-    # first page: with NULLS FIRST the page would be all NULL segments instead
-    return rel.order_nulls_last(c, "seg", "c_custkey", ascending=[False, False]).limit(100)
+    # first page: with Spark's default (ascending NULLS FIRST) it would be all NULL segments
+    return rel.order_nulls_last(c, "seg", "c_custkey", ascending=[True, False]).limit(100)
 
 
 sql_case("topk", """
