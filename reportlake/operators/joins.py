@@ -143,8 +143,8 @@ def row_index(df: DataFrame, order: Sequence[Column | str], name: str = "row_idx
               partitions: int | None = None) -> DataFrame:
     """Dense 0-based position of every row in a total ``order``, computed without a
     single-partition window: range-partition and sort, freeze that layout with a reliable
-    checkpoint, number rows inside each partition, then add per-partition offsets from a
-    table with one row per partition (its size is bounded by the partition count).
+    checkpoint, number rows inside each partition, then add per-partition offsets computed
+    from one count per partition (bounded by the partition count) and broadcast back.
     """
     checkpoint_root(df.sparkSession)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -152,11 +152,14 @@ def row_index(df: DataFrame, order: Sequence[Column | str], name: str = "row_idx
             .withColumn("__pid", F.spark_partition_id())).checkpoint(eager=True)
     schema = T.StructType(laid.schema.fields + [T.StructField("__local", T.LongType())])
     local = laid.mapInPandas(_local_index, schema)
-    counts = laid.groupBy("__pid").agg(F.count("*").alias("__n"))
-    offsets = counts.withColumn(
-        "__off", F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
-                            F.lit(0)))
-    return (local.join(F.broadcast(offsets.select("__pid", "__off")), "__pid")
+    # one count per partition (bounded by the partition count) → running offsets
+    counts = sorted((r["__pid"], r["__n"]) for r in laid.groupBy("__pid").agg(F.count("*").alias("__n")).collect())
+    offsets, run = [], 0
+    for pid, cnt in counts:
+        offsets.append((pid, run))
+        run += cnt
+    off_df = df.sparkSession.createDataFrame(offsets, "__pid int, __off long")
+    return (local.join(F.broadcast(off_df), "__pid")
             .withColumn(name, (F.col("__off") + F.col("__local")).cast("bigint"))
             .drop("__pid", "__local", "__off"))
 

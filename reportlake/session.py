@@ -82,13 +82,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Only when the session has none (local tests) do we create one and register it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root:  # ``spark.checkpoint.dir`` is a core setting: register a folder on the context instead
         root = tempfile.mkdtemp(prefix="reportlake-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(root)
+    elif not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

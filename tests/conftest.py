@@ -19,8 +19,8 @@ def spark():
          .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", "8").getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):  # tests only: the cluster names its own
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="rl-test-ckpt-"))
+    if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rl-test-ckpt-"))  # tests only
     configure(s)
     yield s
 
