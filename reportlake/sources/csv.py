@@ -43,6 +43,7 @@ class Dialect:
     delimiter: str = ","
     quote: str = '"'
     multiline: bool = False
+    whole_file_sampled: bool = False  # the sniff sample was the entire file
 
 
 def sniff_csv(spark: SparkSession, path: str, sample_lines: int = SNIFF_LINES) -> Dialect:
@@ -61,10 +62,11 @@ def sniff_csv(spark: SparkSession, path: str, sample_lines: int = SNIFF_LINES) -
     stats = (lines.select(F.explode(F.array(*votes)).alias("v"))
              .groupBy("v.d", "v.n").agg(F.count("*").alias("lines")).collect())
     odd_quotes = any(r["d"] == -1 and r["n"] == 1 for r in stats)
+    seen = sum(r["lines"] for r in stats if r["d"] == -1)  # one parity vote per sampled line
     cands = sorted((r for r in stats if r["d"] >= 0 and r["n"] > 0),
                    key=lambda r: (-r["lines"], -r["n"], r["d"]))
     delim = DELIMITERS[cands[0]["d"]] if cands else ","
-    return Dialect(delimiter=delim, multiline=odd_quotes)
+    return Dialect(delimiter=delim, multiline=odd_quotes, whole_file_sampled=seen < sample_lines)
 
 
 def _regex_quote(d: str) -> str:
@@ -193,10 +195,11 @@ def read_csv(spark: SparkSession, path: str, dialect: Dialect | None = None,
     """CSV/TXT file (or a directory of same-header parts) → typed DataFrame.
 
     Multi-line mode (one task per file) is used only when some quoted field really spans
-    lines: the sniffed sample decides first, and when it saw none the whole file is checked,
-    so a quoted newline deep in a large file cannot split rows."""
+    lines: the sniffed sample decides first, and when it saw none in a file longer than the
+    sample the whole file is checked, so a quoted newline deep in a large file cannot split
+    rows."""
     d = dialect or sniff_csv(spark, path)
-    if dialect is None and not d.multiline and has_quoted_newlines(spark, path):
+    if dialect is None and not d.multiline and not d.whole_file_sampled and has_quoted_newlines(spark, path):
         d = Dialect(d.delimiter, d.quote, True)
     names = read_header(spark, path, d)
     raw = read_text_columns(spark, path, names, d)
