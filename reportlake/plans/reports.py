@@ -106,3 +106,9 @@ class Reports:
 
     def run(self, rid: int, page: int = 0, size: int = gateway.DEFAULT_PAGE_SIZE) -> gateway.Page:
         return gateway.run_sql(self.spark, self.get(rid)["sql"], page, size)
+
+    def export(self, rid: int, path: str, fmt: str = "csv", **kw) -> None:
+        """Write the report's whole result (no row cap) as csv, parquet or json."""
+        from reportlake.sinks.export import export
+
+        export(gateway.sql(self.spark, self.get(rid)["sql"]), path, fmt, **kw)

@@ -32,3 +32,13 @@ def test_entry_and_contract(spark):
     assert df.count() > 0 and "revenue" in df.columns
     q, o = E.queries(), E.oracle_sql()
     assert set(o) == set(q)
+
+
+def test_export_saved_report(spark, lake, workdir):
+    register_dir(spark, SF)
+    reg = rp.Reports(spark, lake.db)
+    rid = reg.save("nations_by_region", "SELECT n_regionkey, count(*) AS n FROM nation GROUP BY n_regionkey")
+    reg.export(rid, f"{workdir}/r.parquet", "parquet")
+    assert spark.read.parquet(f"{workdir}/r.parquet").count() == 5
+    reg.export(rid, f"{workdir}/r.csv", "csv", single_file=True)
+    assert spark.read.option("header", True).csv(f"{workdir}/r.csv").count() == 5
