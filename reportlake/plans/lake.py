@@ -47,13 +47,18 @@ def _norm(path: str) -> str:
     return p.rstrip("/")
 
 
-def physical_name(path: str, sheet: str | None) -> str:
-    """Reproducible table name: ``t_`` + 8 hex of xxhash64(path, sheet)."""
-    return "t_" + xxhash.xxh64(f"{path}\x00{sheet or ''}".encode()).hexdigest()[:8]
+def _path_hash(path: str) -> str:
+    return xxhash.xxh64(path.encode()).hexdigest()[:8]
+
+
+def physical_name(path: str, position: int) -> str:
+    """Reproducible table name ``t_<8 hex of xxhash64(path)>_<sheet position>``: the tables of
+    one upload share a name prefix, so they are found by one catalog lookup."""
+    return f"t_{_path_hash(path)}_{position}"
 
 
 def source_id_of(path: str) -> str:
-    return "s_" + xxhash.xxh64(path.encode()).hexdigest()[:8]
+    return "s_" + _path_hash(path)
 
 
 def display_name_of(file_name: str) -> str:
@@ -90,8 +95,14 @@ class Lake:
         return sorted(t.name for t in self.spark.catalog.listTables(self.db) if not t.isTemporary)
 
     def table_infos(self, source_id: str | None = None) -> list[TableInfo]:
+        """Tables of one source (one catalog lookup by name prefix) or of all sources."""
         out = []
-        for name in self.table_names():
+        if source_id is not None and source_id.startswith("s_"):
+            names = sorted(t.name for t in self.spark.catalog.listTables(self.db, pattern=f"t_{source_id[2:]}_*")
+                           if not t.isTemporary)
+        else:
+            names = self.table_names()
+        for name in names:
             p = self.properties(name)
             if "source_id" not in p or (source_id is not None and p["source_id"] != source_id):
                 continue
@@ -132,7 +143,7 @@ class Lake:
         created, out = [], []
         try:
             for pos, (sheet, df) in enumerate(sheets if sheets is not None else self._sheets(path, file_type)):
-                phys = physical_name(path, sheet)
+                phys = physical_name(path, pos)
                 display = sheet if sheet is not None else display_name_of(name)
                 self._write_table(df, phys, {
                     "source_id": sid, "source_file": name, "source_type": file_type,
