@@ -8,10 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from reportlake import conformance
 from reportlake.sources.parquet import TEST_TABLES
 from conftest import SF
 
-KEYS = sorted(E.queries())
+KEYS = sorted(conformance.queries())
 
 
 @pytest.fixture(scope="module")
