@@ -32,9 +32,9 @@ _RULES = {
     "phone": r"\+[0-9][\x20().0-9\-]+[0-9]",
 }
 _TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
-#: What a token must look like to become an entity of a kind.
-_SHAPE = {"email": r"\S@\S", "ip": r"[0-9]+[.:][0-9]+[.:][0-9]+", "card": r"[0-9](?:-?[0-9]){8,}",
-          "phone": r"[0-9](?:[().\-]*[0-9]){5,}"}
+#: What a whole token must look like to become an entity of a kind.
+_SHAPE = {"email": r"^\S+@\S+$", "ip": r"^[0-9]+(?:[.:][0-9]+){2,}$", "card": r"^[0-9](?:-?[0-9]){11,18}$",
+          "phone": r"^[+(]*[0-9](?:[().\-]*[0-9]){5,12}[).,;]*$"}
 
 
 def _luhn(digits: Column) -> Column:

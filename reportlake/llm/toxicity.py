@@ -28,10 +28,12 @@ from pyspark.sql import functions as F
 
 from reportlake.llm.common import documents, ready, stored
 
-#: Bounds of the fit: labelled documents looked at, candidate entries weighed, toxic documents an entry must add.
-SAMPLE_DOCS, CANDIDATES, MIN_ADDED = 20_000, 5_000, 3
-#: Letters of a word-start entry, least share of toxic documents among those with an entry.
-STEM_LETTERS, MIN_PRECISION = (4, 5, 6, 7, 8), 0.8
+#: Bounds of the fit: labelled documents looked at, candidate entries weighed, toxic documents an entry must add
+#: (a number and a share of them; one is enough for an entry found in the common share).
+SAMPLE_DOCS, CANDIDATES, MIN_ADDED, MIN_SHARE, COMMON_SHARE = 20_000, 5_000, 3, 0.005, 0.1
+#: Letters of a word-start entry; least share of toxic documents among those with an entry, were both labels
+#: equally frequent.
+STEM_LETTERS, MIN_PRECISION = (4, 5, 6, 7, 8), 0.98
 
 # Letters of other scripts, digits and signs that stand for Latin letters.
 _LOOKALIKES = {
@@ -161,7 +163,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS,
              .filter("term IS NOT NULL").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
     share = n_clean / n_toxic if n_clean else 1.0  # precision as if both labels were equally frequent
     precise = F.col("toxic") * share / (F.col("toxic") * share + F.col("clean"))
-    chosen = (terms.filter((F.col("toxic") >= MIN_ADDED) & (precise >= MIN_PRECISION + (1 - MIN_PRECISION) * 0.75))
+    chosen = (terms.filter((F.col("toxic") >= MIN_ADDED) & (precise >= MIN_PRECISION))
               .orderBy(F.desc("toxic"), "clean", F.length("term"), "term").limit(CANDIDATES).collect())
     weight = {r["term"]: math.log((r["toxic"] + .5) / (n_toxic + 1)) - math.log((r["clean"] + .5) / (n_clean + 1))
               for r in chosen}
@@ -202,12 +204,15 @@ def _cover(rows: DataFrame, weight: dict[str, float]) -> dict[str, float]:
     for d, ts in enumerate(held):
         for t in ts:
             docs_of.setdefault(t, set()).add(d)
-    entries, open_docs = {}, set(range(len(held)))
+    entries, open_docs, least = {}, set(range(len(held))), max(MIN_ADDED, MIN_SHARE * len(held))
     while docs_of:
-        best = max(docs_of, key=lambda t: (len(docs_of[t] & open_docs), weight[terms[t]], -len(terms[t]), terms[t]))
+        best = max(docs_of, key=lambda t: (len(docs_of[t] & open_docs) * weight[terms[t]], -len(terms[t]), terms[t]))
+        common = len(docs_of[best]) >= COMMON_SHARE * len(held)
         gain = docs_of.pop(best) & open_docs
-        if len(gain) < MIN_ADDED:
+        if not gain:
             break
+        if len(gain) < least and not common:
+            continue
         entries[terms[best]] = weight[terms[best]]
         open_docs -= gain
     return entries
