@@ -4,10 +4,14 @@ A document's set holds its distinct word shingles (64-bit hashes). Equal sets ar
 copies of any number cost one row each. Classes then branch down independent trees: at every level a
 class follows two chosen minwise tokens of its set into two child nodes. A pair of similarity s follows
 at least one common path of a tree with the probability p = 1 - (1 - s*p')^2, whose fixed point at 0.8 is
-0.94; four trees miss a pair at the threshold once in 65,000. Nodes of one class vanish, small nodes are
-compared exhaustively on their full sets, and a node whose classes are already one component is skipped:
-a large group of near copies joins its component in the first tree and costs nothing after that. A node
-that stays large at the last level is compared in blocks, exactly, with nothing dropped.
+0.94; four trees miss a pair at the threshold once in 65,000. Nodes of one class vanish; small nodes are
+compared exhaustively on sketches of 32 minwise bytes (a pair at the threshold agrees in fewer than 14 of
+them once in 200,000); a node that hardly shrinks any more holds texts that are alike, and is taken whole.
+What these comparisons connect is one candidate group, whichever and however many nodes found it. So every
+full set travels once, to its group, where links are confirmed exactly: groups of up to 64 classes whole,
+larger ones in random blocks, each with the group's pivot, and then, where several components are left, all
+classes outside the largest component against all blocks. Nothing is dropped, and no pairs are written down
+but those that join two components.
 
 Nulls and ties: a null text or one without words has the empty set (0 shingles) and links with nothing; a
 null id keeps its row, with a null component; rows that share an id count as one document; extra columns
@@ -25,9 +29,12 @@ from pyspark.sql import functions as F
 from reportlake.llm.common import documents, grouped, ready, stored
 from reportlake.llm.components import components
 
-#: Independent trees, levels of a tree, paths chosen at a node, classes compared exhaustively in a node.
-TREES, LEVELS, PATHS, SMALL = 4, 4, 2, 64
-COORDINATES = TREES * LEVELS * PATHS
+#: Independent trees, levels of a tree at most, paths chosen at a node, minwise tokens of a class.
+TREES, LEVELS, PATHS, COORDINATES = 4, 12, 2, 32
+#: Classes compared exhaustively, random passes over larger groups, classes of a block in the exact rest.
+SMALL, PASSES, BLOCK = 64, 2, 256
+#: Least number of equal sketch bytes of a candidate pair.
+AGREE = 14
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 _RNG = np.random.RandomState(20240501)
@@ -71,7 +78,8 @@ def _signed(a: np.ndarray) -> np.ndarray:
 
 
 def _summaries(width: int):
-    fields = [("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("sig", pa.list_(pa.int64()))]
+    fields = [("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("sig", pa.list_(pa.int64())),
+              ("sketch", pa.binary())]
 
     def run(batches):
         seen = _WordHash()
@@ -87,64 +95,111 @@ def _summaries(width: int):
                     starts = np.concatenate(([0], np.cumsum(n[n > 0])[:-1]))
                     for c in range(COORDINATES):
                         sig[:, c] = _signed(np.minimum.reduceat(_mix(flat * _MUL[c] + _ADD[c]), starts))
-                rows = iter(sig)
+                rows, sketches = iter(sig), iter(sig.astype(np.uint8))
                 yield pa.RecordBatch.from_arrays([
                     b.column(0).slice(i, 250), pa.array(n),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([next(rows) if len(s) else None for s in sets], pa.list_(pa.int64()))],
+                    pa.array([next(rows) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                    pa.array([next(sketches).tobytes() if len(s) else None for s in sets], pa.binary())],
                     schema=pa.schema(fields))
 
-    return run, "doc_id long, n long, key binary, sig array<long>"
+    return run, "doc_id long, n long, key binary, sig array<long>, sketch binary"
 
 
 def _full_sets(width: int):
+    names = ["rep", "grp", "size", "pivot", "members"]
+
     def run(batches):
         seen = _WordHash()
         for b in batches:
             for i in range(0, b.num_rows, 250):
-                sets = [shingles(t, width, seen) for t in b.column(1).slice(i, 250).to_pylist()]
-                yield pa.RecordBatch.from_arrays([
-                    b.column(0).slice(i, 250),
-                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                    pa.array([s.tobytes() for s in sets], pa.binary())],
-                    schema=pa.schema([("rep", pa.int64()), ("key", pa.binary()), ("members", pa.binary())]))
+                sets = [shingles(t, width, seen) for t in b.column(4).slice(i, 250).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*(b.column(c).slice(i, 250) for c in range(4)), pa.array([x.tobytes() for x in sets], pa.binary())],
+                    names=names)
+
+    return run, "rep long, grp long, size long, pivot long, members binary"
 
-    return run, "rep long, key binary, members binary"
 
+def _coordinate(tree: int, depth: int, path: int) -> int:
+    """Trees start at different minwise tokens; along a path none comes twice."""
+    return (tree * (COORDINATES // TREES) + depth * PATHS + path) % COORDINATES
 
-def _leaves(classes: DataFrame) -> DataFrame:
-    """``(tree, node, size, pivot, rep, key)`` for nodes of two classes or more."""
-    level, out = classes.select("rep", "key", "sig", F.lit(-1).alias("tree"), F.lit(0).cast("long").alias("node")), []
+
+def _candidates(classes: DataFrame) -> DataFrame:
+    """Edges (a, b) between classes that a node has together; they connect every candidate group."""
+    level, found = None, []
     for depth in range(LEVELS):
         def child(tree, path, depth=depth):
-            c = (tree * LEVELS + depth) * PATHS + path
-            return F.struct(F.lit(tree).alias("tree"),
-                            F.xxhash64("node", F.lit(c), F.col("sig")[c]).alias("node"))
+            c = _coordinate(tree, depth, path)
+            node = F.lit(0).cast("long") if depth == 0 else F.col("node")
+            return F.struct(F.lit(tree).alias("tree"), F.xxhash64(node, F.lit(tree), F.lit(c), F.col("sig")[c]).alias("node"))
 
         if depth == 0:
             children = F.array(*[child(t, p) for t in range(TREES) for p in range(PATHS)])
-            paths = level.select("rep", "key", F.explode(children).alias("c")).select("rep", "key", "c.*")
+            paths = classes.select("rep", F.lit(0).cast("long").alias("above"), F.explode(children).alias("c"))
         else:
-            with_sig = level.select("rep", "key", "tree", "node").join(classes.select("rep", "key", "sig"), ["rep", "key"])
-            branches = None
-            for t in range(TREES):
-                here = F.array(*[child(t, p) for p in range(PATHS)])
-                branches = (F.when(F.col("tree") == t, here) if branches is None
-                            else branches.when(F.col("tree") == t, here))
-            paths = with_sig.select("rep", "key", F.explode(branches).alias("c")).select("rep", "key", "c.*")
+            branches = F.element_at(F.array(*[F.array(*[child(t, p) for p in range(PATHS)]) for t in range(TREES)]),
+                                    F.col("tree") + 1)
+            paths = (level.join(classes.select("rep", "sig"), "rep")
+                     .select("rep", F.col("size").alias("above"), F.explode(branches).alias("c")))
+        paths = paths.select("rep", "above", "c.*")
         sizes = (paths.groupBy("tree", "node").agg(F.count("*").alias("size"), F.min("rep").alias("pivot"))
                  .filter("size > 1"))
         nodes = stored(paths.join(sizes, ["tree", "node"]), "paths")
+        small = nodes.filter(F.col("size") <= SMALL).select("tree", "node", "rep")
+        pairs = grouped(small.join(classes.select("rep", "sketch"), "rep").select("tree", "node", "rep", "sketch"),
+                        ["tree", "node"], _alike, _EDGE, "a long, b long")
+        found.append(stored(pairs.distinct(), "alike"))
         large = nodes.filter(F.col("size") > SMALL)
-        last = depth == LEVELS - 1 or large.isEmpty()
-        out.append(nodes if last else nodes.filter(F.col("size") <= SMALL))
-        if last:
+        if depth == LEVELS - 1:
+            dense = F.lit(True)
+        elif depth == 0:
+            dense = F.lit(False)
+        else:  # a child with half of its parent's classes or more
+            dense = 2 * F.col("size") >= F.col("above")
+        found.append(large.filter(dense & (F.col("rep") != F.col("pivot")))
+                     .select(F.col("rep").alias("a"), F.col("pivot").alias("b")))
+        level = large.filter(~dense).select("rep", "tree", "node", "size")
+        if depth == LEVELS - 1 or level.isEmpty():
             break
-        level = large.select("rep", "key", "tree", "node")
-    leaves = out[0]
-    for o in out[1:]:
-        leaves = leaves.unionByName(o)
-    return leaves
+    edges = found[0]
+    for f in found[1:]:
+        edges = edges.union(f)
+    return edges
+
+
+def _alike(g):
+    """Classes of one node whose sketches agree, as a spanning forest."""
+    reps = g["rep"]
+    m = len(reps)
+    if m < 2:
+        return None
+    grid = np.frombuffer(b"".join(g["sketch"]), np.uint8).reshape(m, COORDINATES)
+    if m == 2:
+        near = (grid[0] == grid[1]).sum() >= AGREE
+        return {"a": [reps[1]], "b": [reps[0]]} if near and reps[0] != reps[1] else None
+    ok = (grid[:, None, :] == grid[None, :, :]).sum(2) >= AGREE
+    return _forest(ok, reps, reps)
+
+
+def _forest(ok: np.ndarray, reps: list, comps: list) -> dict:
+    """Pairs of ``ok`` that join two components."""
+    root: dict = {}
+
+    def find(x):
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    a, b = [], []
+    for i, j in zip(*np.nonzero(np.triu(ok, 1))):
+        x, y = find(comps[i]), find(comps[j])
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            a.append(reps[i])
+            b.append(reps[j])
+    return {"a": a, "b": b}
 
 
 def _linker(percent: int):
@@ -165,21 +220,7 @@ def _linker(percent: int):
         else:
             inter = _intersections(sets, n)
         ok = 100 * inter >= percent * (n[:, None] + n[None, :] - inter)
-        root = {}
-
-        def find(x):
-            while root.get(x, x) != x:
-                x = root[x]
-            return x
-
-        a, b = [], []
-        for i, j in zip(*np.nonzero(np.triu(ok, 1))):
-            x, y = find(comps[i]), find(comps[j])
-            if x != y:
-                root[max(x, y)] = min(x, y)
-                a.append(reps[i])
-                b.append(reps[j])
-        return {"a": a, "b": b}
+        return _forest(ok, reps, comps)
 
     return run
 
@@ -211,43 +252,41 @@ def _with_components(members: DataFrame, comp: DataFrame) -> DataFrame:
             .withColumn("comp", F.coalesce("component", "rep")).drop("component"))
 
 
-def _open_nodes(members: DataFrame) -> DataFrame:
-    """Members of nodes that still hold two components or more."""
-    still = (members.groupBy("tree", "node").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .filter("lo < hi").select("tree", "node"))
-    return members.join(still, ["tree", "node"])
+def _open_groups(members: DataFrame) -> DataFrame:
+    """Members of groups that still hold two components or more."""
+    still = (members.groupBy("grp").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+             .filter("lo < hi").select("grp"))
+    return members.join(still, "grp")
 
 
-def _compare(members: DataFrame, sets: DataFrame, percent: int, salt: int) -> DataFrame:
-    """One pass over nodes: small ones whole, large ones in blocks that each also hold the pivot."""
+def _compare(members: DataFrame, percent: int, salt: int) -> DataFrame:
+    """One pass over groups: small ones whole, large ones in random blocks that each also hold the pivot."""
     blocks = F.ceil(F.col("size") / SMALL).cast("long")
-    own = F.when(F.col("size") <= SMALL, F.lit(0).cast("long")).otherwise(
-        F.pmod(F.xxhash64("rep", F.lit(salt)), blocks))
+    own = F.when(F.col("size") <= SMALL, F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64("rep", F.lit(salt)), blocks))
     placed = members.withColumn("block", F.when(
         (F.col("size") > SMALL) & (F.col("rep") == F.col("pivot")),
         F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array(own)))
-    placed = placed.select("tree", "node", F.explode("block").alias("block"), "rep", "key", "comp")
-    rows = placed.join(sets, ["rep", "key"]).select("tree", "node", "block", "rep", "comp", "members")
-    return grouped(rows, ["tree", "node", "block"], _linker(percent), _EDGE, "a long, b long", ["rep"])
-
-
-def _compare_rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Large nodes that still hold several components: every class outside a node's largest component
-    meets every block of the node, so all pairs across components are compared."""
-    by = members.groupBy("tree", "node", "comp").agg(F.count("*").alias("k"))
-    main = by.groupBy("tree", "node").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"))
-    blocks = F.ceil(F.col("size") / SMALL).cast("long")
-    m = members.join(main, ["tree", "node"]).withColumn("minor", F.col("comp") != F.col("main"))
-    # the minor classes come in blocks too; a cell holds one block of the node and one of the minor ones
-    minor = m.filter("minor").withColumn("row", F.pmod(F.xxhash64("rep", F.lit(7)), blocks))
-    rows_of = minor.groupBy("tree", "node").agg(F.collect_set("row").alias("rows"))
-    left = (minor.withColumn("col", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-            .select("tree", "node", "row", "col", "rep", "key", "comp"))
-    right = (m.withColumn("col", F.pmod(F.xxhash64("rep", F.lit(11)), blocks)).join(rows_of, ["tree", "node"])
-             .withColumn("row", F.explode("rows")).select("tree", "node", "row", "col", "rep", "key", "comp"))
-    cells = left.unionByName(right).distinct().join(sets, ["rep", "key"])
-    return grouped(cells.select("tree", "node", "row", "col", "rep", "comp", "members"),
-                   ["tree", "node", "row", "col"], _linker(percent), _EDGE, "a long, b long", ["rep"])
+    rows = placed.select("grp", F.explode("block").alias("block"), "rep", "comp", "members")
+    return grouped(rows, ["grp", "block"], _linker(percent), _EDGE, "a long, b long")
+
+
+def _compare_rest(members: DataFrame, percent: int) -> DataFrame:
+    """All pairs across components of the groups given: blocks of the classes outside a group's largest
+    component meet every block of the group."""
+    by = members.groupBy("grp", "comp").agg(F.count("*").alias("k"))
+    main = by.groupBy("grp").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"),
+                                 (F.sum("k") - F.max("k")).alias("n_minor"))
+    m = members.join(main, "grp").withColumn("minor", F.col("comp") != F.col("main"))
+    zero = F.lit(0).cast("long")
+    cols = F.ceil(F.col("size") / BLOCK).cast("long")
+    rows = F.ceil(F.col("n_minor") / BLOCK).cast("long")
+    left = (m.filter("minor").withColumn("row", F.pmod(F.xxhash64("rep", F.lit(7)), rows))
+            .withColumn("col", F.explode(F.sequence(zero, cols - 1))))
+    right = (m.withColumn("col", F.pmod(F.xxhash64("rep", F.lit(11)), cols))
+             .withColumn("row", F.explode(F.sequence(zero, rows - 1))))
+    names = ["grp", "row", "col", "rep", "comp", "members"]
+    return grouped(left.select(*names).union(right.select(*names)), ["grp", "row", "col"], _linker(percent), _EDGE,
+                   "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80,
@@ -262,33 +301,34 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80,
     run, schema = _summaries(width)
     rows = stored(docs.mapInArrow(run, schema), "shingles")
     linked = rows.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = stored(linked.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
-                     .select("rep", "key", "sig"), "classes")
-    leaves = _leaves(classes)
-    wanted = leaves.select("rep", "key").distinct()
-    run, schema = _full_sets(width)
-    texts = docs.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sets = stored(texts.select("doc_id", "text").mapInArrow(run, schema), "sets")
+    classes = stored(linked.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"),
+                                               F.first("sketch").alias("sketch")), "classes")
     # rows that share an id are one document: their classes meet at it
     shared = (linked.groupBy("doc_id").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
               .filter("lo <> hi").select("doc_id"))
-    same_id = (linked.join(shared, "doc_id", "left_semi").join(classes.select("rep", "key"), "key")
-               .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-
-    members = leaves.withColumn("comp", F.col("rep"))
-    edges = stored(same_id.unionByName(_compare(members.filter("tree = 0"), sets, percent, 1)), "links")
-    comp = components(edges)
-    more = _open_nodes(_with_components(leaves, comp))
-    edges = stored(edges.unionByName(_compare(more, sets, percent, 2)), "links")
+    same_id = stored(linked.join(shared, "doc_id", "left_semi").join(classes.select("rep", "key"), "key")
+                     .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")), "same-id")
+
+    group = components(_candidates(classes.select("rep", "sig", "sketch")))
+    group = group.union(group.select(F.col("component").alias("id"), "component").distinct())
+    sizes = group.groupBy("component").agg(F.count("*").alias("size"))
+    group = group.join(sizes, "component").select(
+        F.col("id").alias("doc_id"), F.col("component").alias("grp"), "size", F.col("component").alias("pivot"))
+    run, schema = _full_sets(width)
+    # the candidates grow with the corpus, so they are never broadcast: the join has one plan at every size
+    sets = stored(docs.join(stored(group, "candidates").hint("merge"), "doc_id").select("doc_id", "grp", "size", "pivot", "text")
+                  .mapInArrow(run, schema), "sets")
+    edges = stored(same_id.union(_compare(sets.withColumn("comp", F.col("rep")), percent, 1)), "links")
     comp = components(edges)
-    if not leaves.filter(F.col("size") > SMALL).isEmpty():
-        rest = stored(_open_nodes(_with_components(leaves.filter(F.col("size") > SMALL), comp)), "rest")
-        if not rest.isEmpty():
-            comp = components(edges.unionByName(_compare_rest(rest, sets, percent)))
+    large = sets.filter(F.col("size") > SMALL)
+    if not large.isEmpty():
+        for salt in range(2, PASSES + 1):
+            edges = stored(edges.union(_compare(_open_groups(_with_components(large, comp)), percent, salt)), "links")
+            comp = components(edges)
+        comp = components(edges.union(_compare_rest(_open_groups(_with_components(large, comp)), percent)))
 
     of_class = (_with_components(classes.select("rep", "key"), comp)
                 .select("key", F.col("comp").alias("component_id")))
-    of_class = of_class.filter("key IS NOT NULL")
     out = rows.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
     out = out.join(of_class, "key", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"),
