@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -193,10 +194,16 @@ class WordBpe:
         return b"".join(out)[:-1]
 
 
+@lru_cache(maxsize=2)
+def word_bpe(path: str) -> WordBpe:
+    """One encoder for all tasks of a Python worker, with the pre-tokens it has met."""
+    return WordBpe(path)
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids`` (ids as little-endian unsigned 32-bit integers) for every document."""
     def run(batches):
-        bpe = WordBpe(path)
+        bpe = word_bpe(path)
         for b in batches:
             ids = [bpe.encode(x) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -210,7 +217,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` with the column ``decoded``, the text of its ``ids``."""
     def run(batches):
-        bpe = WordBpe(path)
+        bpe = word_bpe(path)
         for b in batches:
             text = [bpe.decode(x or b"") for x in b.column(b.schema.get_field_index("ids")).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(text, pa.binary()).cast(pa.string())],

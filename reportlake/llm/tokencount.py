@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import math
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from reportlake.llm.common import documents, ready
 from reportlake.llm.pretokens import pieces
 
-TRIE_NODES, TRIE_BYTES = 2_000_000, 1024
+TRIE_NODES, TRIE_BYTES = 1_000_000, 1024
 
 
 def rank_costs(path: str) -> dict[bytes, int]:
@@ -90,11 +91,17 @@ class Trie:
         return scores[-1][1]
 
 
+@lru_cache(maxsize=2)
+def shared_trie(ranks_path: str) -> Trie:
+    """One trie for all tasks of a Python worker."""
+    return Trie(rank_costs(ranks_path))
+
+
 def count_tokens(docs: DataFrame, ranks_path: str, pattern: str,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_pretokens, n_tokens`` for every document."""
     def run(batches):
-        trie = Trie(rank_costs(ranks_path))
+        trie = shared_trie(ranks_path)
         find = regex.compile(pattern).findall
         for b in batches:
             n_pre, n_tok = [], []
