@@ -9,7 +9,7 @@ import regex
 #: Characters after which a long text is cut, before a white-space character that follows a visible one.
 PIECE_CHARS = 1_000_000
 #: Distinct pre-tokens kept by a worker before its table starts anew (a memory bound; results don't change).
-KEPT = 600_000
+KEPT = 1_000_000
 
 _BREAK = regex.compile(r"(?<=\S)\s")
 

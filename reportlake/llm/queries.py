@@ -11,6 +11,12 @@ from reportlake.llm.common import ready
 from reportlake.session import scratch_dir
 
 
+#: The public pre-token pattern with its contractions written as one branch, and the same for ASCII texts.
+BYTE_PATTERN = r"'(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+BYTE_PATTERN_ASCII = (r"'(?:[stmd]|re|ve|ll)| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|"
+                      r"[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -22,7 +28,7 @@ def op1_voronoi_topk(spark, sf_dir):
 
 def op2_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
-                        public_tokenizers.PATTERN).drop("ids")
+                        BYTE_PATTERN, ascii_pattern=BYTE_PATTERN_ASCII).drop("ids")
 
 
 def op3_license_scan(spark, sf_dir):
