@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reportlake.llm import nearset, packing, pii, toxicity
+from reportlake.llm import nearset, packing, pii, queries, toxicity
 from reportlake.llm.common import ready, stored
 
 
@@ -39,7 +39,8 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences of at most 1024 tokens."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN).drop("ids")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), queries.BYTE_PATTERN,
+                        ascii_pattern=queries.BYTE_PATTERN_ASCII).drop("ids")
 
 
 STAGES = [
