@@ -15,6 +15,7 @@ columns are ignored.
 from __future__ import annotations
 
 import json
+import sys
 import unicodedata
 from functools import lru_cache
 
@@ -23,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from reportlake.llm.common import documents, ready
 from reportlake.llm.pretokens import Kept, pieces
@@ -46,15 +48,19 @@ class WordBpe:
         vocab: dict[str, int] = model["vocab"]
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.find = regex.compile(split.replace(r"\s", r"\p{White_Space}")).findall
+        # Characters assigned after the Unicode tables of unicodedata: texts with them are cut by the library.
+        known = regex.compile(r"\P{Cn}").match
+        self.newer = frozenset(c for c in map(chr, range(0x80, sys.maxunicode + 1))
+                               if unicodedata.category(c) == "Cn" and known(c))
+        self.library = Tokenizer.from_file(path)
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.added = added
         letters = _byte_letters()
-        self.letters = letters
         # A symbol is a byte, or a byte that ends a word; the latter is a letter of its own from U+0400 on.
         self.plain = {b: chr(0x10000 + b) for b in letters}
         self.final = {b: chr(0x10400 + b) for b in letters}
-        byte_of = {c: b for b, c in letters.items()}
+        byte_of = self.byte_of = {c: b for b, c in letters.items()}
 
         def inner(token: str) -> str:
             ends = bool(self.suffix) and token.endswith(self.suffix)
@@ -177,11 +183,17 @@ class WordBpe:
                 out.append(np.array([self.added[part]], "<u4").tobytes())
                 continue
             for piece in pieces(part):
-                # composed, then lower-cased letter by letter: a final sigma gets no form of its own
-                piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
-                out.append(b"".join(map(self.kept.__getitem__, self.find(piece))))
+                out.append(b"".join(map(self.kept.__getitem__, self._split(piece))))
         return b"".join(out)
 
+    def _split(self, piece: str) -> list[str]:
+        """Normalised pre-tokens. Text is composed, then lower-cased letter by letter: a final sigma gets no
+        form of its own."""
+        if not piece.isascii() and not self.newer.isdisjoint(piece):
+            cut = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(piece))
+            return [bytes(map(self.byte_of.__getitem__, word)).decode("utf-8") for word, _ in cut]
+        return self.find(unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower())
+
     def decode(self, data: bytes) -> bytes:
         """Text of ids in UTF-8: the tokens' own texts with single spaces between."""
         ids = np.frombuffer(data, "<u4").astype(np.int64)
