@@ -7,9 +7,9 @@ table operators Spark SQL lacks (as-of, range and positional joins, QUALIFY-styl
 filtering, DISTINCT ON, GROUPS frames, ordered sampling) are DataFrame rewrites.
 """
 
-from reportlake.session import configure, scratch_dir, spread
+from reportlake.session import configure, scratch_dir
 
-__all__ = ["configure", "scratch_dir", "spread", "Lake", "Reports", "run_sql", "export_csv"]
+__all__ = ["configure", "scratch_dir", "Lake", "Reports", "run_sql", "export_csv"]
 
 
 def __getattr__(name):  # lazy: importing the package does not start or touch Spark

@@ -326,7 +326,7 @@ sql_case("cte_recursive", """
 WITH RECURSIVE yrs(n, y0) AS (
   SELECT 1, (SELECT CAST(min(year(o_orderdate)) AS INT) FROM orders)
   UNION ALL
-  SELECT n + 1, y0 FROM yrs WHERE n < 8)
+  SELECT n + 1, y0 FROM yrs WHERE n <= (SELECT CAST(max(year(o_orderdate)) AS INT) FROM orders) - y0)
 SELECT yrs.n, count(o.o_orderkey) AS n_orders
 FROM yrs LEFT JOIN orders o ON year(o.o_orderdate) = yrs.y0 + yrs.n - 1
 GROUP BY yrs.n""")

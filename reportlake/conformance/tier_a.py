@@ -18,7 +18,7 @@ from reportlake.operators import append as ap
 from reportlake.operators import chatlog, relational as rel
 from reportlake.plans import gateway, lake as lk, reports as rp
 from reportlake.plans.catalog import catalog_rows, column_table, preview, profile
-from reportlake.session import scratch_dir, spread
+from reportlake.session import scratch_dir
 from reportlake.sinks import export as ex
 from reportlake.sources import csv as csv_src
 from reportlake.sources import workbook as wb
@@ -447,7 +447,7 @@ SELECT doc_id,
                  'i') THEN 'keyword' END AS reason
 FROM q""")
 def screen_sql(spark, d):
-    q = spread(t(spark, d, "documents")).select("doc_id", F.expr(_SQL_TEXT).alias("sql"))
+    q = t(spark, d, "documents").select("doc_id", F.expr(_SQL_TEXT).alias("sql"))
     return q.select("doc_id", gateway.screen_sql_col("sql")["reason"].alias("reason"))
 
 
@@ -459,14 +459,15 @@ SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(
          '\\s+$', ''), ';$', ''), '\\s+$', '') AS stripped
 FROM q""")
 def strip_sql(spark, d):
-    q = spread(t(spark, d, "documents")).select("doc_id", F.expr(_SQL_TEXT).alias("sql"))
+    q = t(spark, d, "documents").select("doc_id", F.expr(_SQL_TEXT).alias("sql"))
     return q.select("doc_id", gateway.strip_sql_col("sql").alias("stripped"))
 
 
 # ---- G: paging and saved reports -----------------------------------------------------------------
 @case("capped_count", "SELECT least(count(*), 1000) AS total_rows FROM lineitem")
 def capped_count(spark, d):
-    return t(spark, d, "lineitem").limit(1000).agg(F.count("*").alias("total_rows"))
+    total = gateway.capped_count(t(spark, d, "lineitem"), 1000)  # the cap is what is asked for
+    return spark.createDataFrame([(total,)], "total_rows long")
 
 
 @case("page_ordered", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 50 OFFSET 100")
@@ -492,7 +493,7 @@ def label_alias(spark, d):
 
 
 @case("digest_top20", """
-SELECT c_custkey, c_acctbal, (SELECT least(count(*), 100000) FROM customer) AS total_rows
+SELECT c_custkey, c_acctbal, (SELECT count(*) FROM customer) AS total_rows
 FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 20""")
 def digest_top20(spark, d):
     register_dir(spark, d)
@@ -502,10 +503,10 @@ def digest_top20(spark, d):
 
 
 @case("page_count", " UNION ALL ".join(
-    f"SELECT '{n}' AS table_name, CAST(ceil(least(count(*), 100000) / 50) AS BIGINT) AS pages FROM {n}"
+    f"SELECT '{n}' AS table_name, CAST(ceil(count(*) / 50) AS BIGINT) AS pages FROM {n}"
     for n in TEST_TABLES))
 def page_count(spark, d):
-    parts = [t(spark, d, n).limit(gateway.MAX_ROWS).agg(F.count("*").alias("c"))
+    parts = [t(spark, d, n).agg(F.count("*").alias("c"))
              .select(F.lit(n).alias("table_name"), gateway.page_count_col(F.col("c"), 50).alias("pages"))
              for n in TEST_TABLES]
     return reduce(DataFrame.unionByName, parts)

@@ -9,12 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from reportlake.session import checkpoint_root, spread
+from reportlake.session import checkpoint_root
 
 
 def _cols(x: str | Sequence[str] | None) -> list[str]:
@@ -23,19 +21,24 @@ def _cols(x: str | Sequence[str] | None) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def _bucket(col: Column, width: float) -> Column:
-    """Bucket number of a numeric, date or timestamp value (``width`` in seconds for times)."""
-    return F.floor(col / F.lit(width)).cast("bigint")
+def _is_time(df: DataFrame, name: str) -> bool:
+    dtype = dict(df.dtypes)[name]
+    return dtype == "date" or dtype.startswith("timestamp")
+
+
+def _bucket(col: Column, width: float, time: bool) -> Column:
+    """Bucket number of a value (``width`` in seconds for times, which are microseconds here)."""
+    return F.floor(col / F.lit(width * 1_000_000 if time else width)).cast("bigint")
 
 
 def _as_number(df: DataFrame, name: str) -> Column:
-    dtype = dict(df.dtypes)[name]
+    """A value to compare by: whole microseconds for times, other types as they are (a long stays exact)."""
     c = F.col(name)
-    if dtype.startswith("timestamp"):
-        return F.unix_micros(c.cast("timestamp")) / F.lit(1_000_000)
-    if dtype == "date":
-        return F.unix_date(c).cast("double") * 86400
-    return c.cast("double")
+    if not _is_time(df, name):
+        return c
+    if dict(df.dtypes)[name] == "date":
+        return F.unix_date(c).cast("bigint") * 86_400_000_000
+    return F.unix_micros(c.cast("timestamp"))
 
 
 def asof_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], left_ts: str, right_ts: str,
@@ -43,6 +46,7 @@ def asof_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], left_t
               prefix: str = "") -> DataFrame:
     """ASOF LEFT JOIN: each left row gets the latest right row with the same ``on`` keys and
     ``right_ts <= left_ts`` (NULLs when there is none). Left rows are never dropped or duplicated.
+    A NULL key or time matches nothing.
 
     Plan: both sides are unioned and split by (keys, time bucket). Inside a bucket the match
     is ``last(right, ignorenulls)`` over the time order (right rows sort before left rows at the
@@ -54,6 +58,8 @@ def asof_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], left_t
     rcols = list(right_cols) if right_cols is not None else [c for c in right.columns if c not in keys]
     payload = F.struct(*[F.col(c).alias(c) for c in [right_ts] + [c for c in rcols if c != right_ts]])
 
+    for c in [*keys, right_ts]:
+        right = right.where(F.col(c).isNotNull())
     lnum = _as_number(left, left_ts)
     rnum = _as_number(right, right_ts)
     L = left.select(
@@ -69,7 +75,14 @@ def asof_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], left_t
         payload.alias("__right"),
     )
     kcols = [f"__k{i}" for i in range(len(keys))]
-    U = L.unionByName(R).withColumn("__b", _bucket(F.col("__t"), bucket_seconds))
+    U = L.unionByName(R)
+    comparable = F.col("__t").isNotNull()
+    for k in kcols:
+        comparable = comparable & F.col(k).isNotNull()
+    # rows that can't match are dealt over many buckets, so they don't meet in one task
+    U = U.withColumn("__ok", comparable).withColumn("__b", F.when(
+        F.col("__ok"), _bucket(F.col("__t"), bucket_seconds, _is_time(left, left_ts))).otherwise(
+            F.pmod(F.xxhash64("__left"), F.lit(1024))))
 
     # match inside the bucket
     w_in = (Window.partitionBy(*kcols, "__b").orderBy("__t", "__side", "__right")
@@ -88,7 +101,7 @@ def asof_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], left_t
              .select(*kcols, "__b", F.col("__prev.__right").alias("__prev")))
 
     out = (inside.join(carry, kcols + ["__b"], "left")
-           .withColumn("__hit", F.coalesce("__m", "__prev")))
+           .withColumn("__hit", F.when(F.col("__ok"), F.coalesce("__m", "__prev"))))
     sel = [F.col(f"__left.{c}").alias(c) for c in left.columns]
     sel += [F.col(f"__hit.{c}").alias(prefix + c) for c in [right_ts] + [c for c in rcols if c != right_ts]]
     return out.select(*sel)
@@ -109,36 +122,25 @@ def range_join(left: DataFrame, right: DataFrame, start: str, end: str, point: s
     Each interval is exploded into the buckets it touches and each point lands in
     exactly one bucket, so the equi-join on (keys, bucket) emits every match once and
     never compares rows of distant buckets. Choose ``bucket_width`` near the typical
-    interval length (seconds for timestamps).
+    interval length (seconds for timestamps). Right columns whose name a left column has come out with
+    the suffix ``_right``; the ``on`` keys come out once.
     """
     keys = _cols(on)
     lb = left.withColumn("__s", _as_number(left, start)).withColumn("__e", _as_number(left, end))
-    lb = spread(lb.withColumn("__b", F.explode(F.sequence(_bucket(F.col("__s"), bucket_width),
-                                                          _bucket(F.col("__e"), bucket_width)))))
+    time = _is_time(left, start)
+    lb = lb.withColumn("__b", F.explode(F.sequence(_bucket(F.col("__s"), bucket_width, time),
+                                                   _bucket(F.col("__e"), bucket_width, time))))
     rb = right.withColumn("__p", _as_number(right, point))
-    rb = rb.withColumn("__b", _bucket(F.col("__p"), bucket_width))
+    rb = rb.withColumn("__b", _bucket(F.col("__p"), bucket_width, time))
     rk = [F.col(f"r.{k}") == F.col(f"l.{k}") for k in keys]
     upper = (F.col("r.__p") < F.col("l.__e")) if closed == "left" else (F.col("r.__p") <= F.col("l.__e"))
     cond = [F.col("l.__b") == F.col("r.__b")] + rk + [F.col("r.__p") >= F.col("l.__s"), upper]
     j = lb.alias("l").join(rb.alias("r"), cond)
     lcols = [F.col(f"l.{c}").alias(c) for c in left.columns]
-    rcols = [F.col(f"r.{c}").alias(c) for c in right.columns if c not in left.columns]
+    rcols = [F.col(f"r.{c}").alias(f"{c}_right" if c in left.columns else c) for c in right.columns if c not in keys]
     return j.select(*lcols, *rcols)
 
 
-def _local_index(batches):
-    """Running row number inside one partition (batches of a partition arrive in order)."""
-    seen: dict[int, int] = {}
-    for pdf in batches:
-        if pdf.empty:
-            yield pdf.assign(__local=pd.Series([], dtype="int64"))
-            continue
-        pid = int(pdf["__pid"].iloc[0])
-        start = seen.get(pid, 0)
-        seen[pid] = start + len(pdf)
-        yield pdf.assign(__local=range(start, start + len(pdf)))
-
-
 def row_index(df: DataFrame, order: Sequence[Column | str], name: str = "row_idx",
               partitions: int | None = None) -> DataFrame:
     """Dense 0-based position of every row in a total ``order``, computed without a
@@ -148,12 +150,13 @@ def row_index(df: DataFrame, order: Sequence[Column | str], name: str = "row_idx
     """
     checkpoint_root(df.sparkSession)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the id holds the partition number above bit 33 and the row's place in it below
     laid = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-            .withColumn("__pid", F.spark_partition_id())).checkpoint(eager=True)
-    schema = T.StructType(laid.schema.fields + [T.StructField("__local", T.LongType())])
-    local = laid.mapInPandas(_local_index, schema)
+            .withColumn("__id", F.monotonically_increasing_id())).checkpoint(eager=True)
+    local = (laid.withColumn("__pid", F.shiftright("__id", 33).cast("int"))
+             .withColumn("__local", F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))))
     # one count per partition (bounded by the partition count) → running offsets
-    counts = sorted((r["__pid"], r["__n"]) for r in laid.groupBy("__pid").agg(F.count("*").alias("__n")).collect())
+    counts = sorted((r["__pid"], r["__n"]) for r in local.groupBy("__pid").agg(F.count("*").alias("__n")).collect())
     offsets, run = [], 0
     for pid, cnt in counts:
         offsets.append((pid, run))
@@ -161,7 +164,7 @@ def row_index(df: DataFrame, order: Sequence[Column | str], name: str = "row_idx
     off_df = df.sparkSession.createDataFrame(offsets, "__pid int, __off long")
     return (local.join(F.broadcast(off_df), "__pid")
             .withColumn(name, (F.col("__off") + F.col("__local")).cast("bigint"))
-            .drop("__pid", "__local", "__off"))
+            .drop("__id", "__pid", "__local", "__off"))
 
 
 def positional_join(left: DataFrame, right: DataFrame, left_order: Sequence[Column | str],

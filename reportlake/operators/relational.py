@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reportlake.session import spread
 
 
 def _col(c: Column | str) -> Column:
@@ -38,12 +37,14 @@ def distinct_on(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, b
 
     text_dirs = {asc for name, asc in order if not negatable(types[name])}
     if len(text_dirs) > 1:
-        w = Window.partitionBy(*keys).orderBy(*[F.col(n).asc() if a else F.col(n).desc() for n, a in order])
+        w = Window.partitionBy(*keys).orderBy(
+            *[F.col(n).asc_nulls_last() if a else F.col(n).desc_nulls_last() for n, a in order])
         return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
     ascending = text_dirs.pop() if text_dirs else True
     parts = []
     for name, asc in order:
         c = F.col(name)
+        parts.append(c.isNull() if ascending else c.isNotNull())  # NULLs last in either direction
         if asc != ascending:
             t = types[name]
             c = -F.unix_micros(c.cast("timestamp")) if (t == "date" or t.startswith("timestamp")) else -c
@@ -73,7 +74,7 @@ def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> Da
     Planned as TakeOrderedAndProject: every task keeps its own top ``n``, the driver merges
     ``tasks * n`` rows at most. The limit is the feature here.
     """
-    return spread(df).withColumn("__h", sample_key(seed, *key)).orderBy("__h", *key).limit(n).drop("__h")
+    return df.withColumn("__h", sample_key(seed, *key)).orderBy("__h", *key).limit(n).drop("__h")
 
 
 def sample_fraction(df: DataFrame, percent: float, key: Sequence[str], seed: int = 42) -> DataFrame:

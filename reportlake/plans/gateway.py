@@ -17,9 +17,7 @@ from pyspark.sql import functions as F
 from reportlake.session import configure, scoped_conf
 
 # Fixed values that must equal the reference behaviour.
-MAX_ROWS = 100_000          # cap on counted rows and on the page size
 DEFAULT_PAGE_SIZE = 50
-DEFAULT_TIMEOUT_S = 60      # query timeout (the reference reads it but never applies it)
 ALLOWED_PREFIXES = ("SELECT", "WITH", "EXPLAIN", "DESCRIBE", "SHOW", "PRAGMA")
 FORBIDDEN_WORDS = (
     "INSERT", "UPDATE", "DELETE", "DROP", "TRUNCATE", "ALTER",
@@ -78,6 +76,9 @@ def strip_sql_col(col: Column | str) -> Column:
     return F.regexp_replace(F.regexp_replace(trimmed, r";$", ""), r"\s+$", "")
 
 
+_JVM_CALL_PY = re.compile(r"(?i)(?:\b|`)(?:java_method|reflect|try_reflect)`?\s*\(")
+
+
 def check_sql(sql: str | None, mode: str = "default") -> str:
     """Return the cleaned statement or raise :class:`QueryRejected`.
 
@@ -105,6 +106,8 @@ def check_sql(sql: str | None, mode: str = "default") -> str:
         raise QueryRejected("PRAGMA is not a Spark statement")
     bare = _LITERAL_PY.sub("''", text)
     bare = re.sub(r"(?i)\breplace\s*\(", "replace_fn(", bare)
+    if _JVM_CALL_PY.search(bare):
+        raise QueryRejected("calls into the JVM are not allowed")
     if _FORBIDDEN_PY.search(bare):
         raise QueryRejected("statement contains a forbidden keyword")
     return text
@@ -143,16 +146,17 @@ def validate_syntax(spark: SparkSession, text: str, mode: str = "default") -> No
     sql(spark, text, mode)
 
 
-def capped_count(df: DataFrame, cap: int = MAX_ROWS) -> int:
-    """``min(count(df), cap)``; the limit lets Spark stop scanning once ``cap`` rows are seen."""
-    return df.limit(cap).count()
+def capped_count(df: DataFrame, cap: int | None = None) -> int:
+    """The exact row count; with a ``cap``, ``min(count, cap)``, for which Spark stops scanning early."""
+    return df.count() if cap is None else df.limit(cap).count()
 
 
-def clamp(page: int, size: int, cap: int = MAX_ROWS) -> tuple[int, int]:
-    return max(int(page), 0), min(max(int(size), 1), cap)
+def clamp(page: int, size: int, cap: int | None = None) -> tuple[int, int]:
+    size = max(int(size), 1)
+    return max(int(page), 0), size if cap is None else min(size, cap)
 
 
-def page_of(df: DataFrame, page: int = 0, size: int = DEFAULT_PAGE_SIZE, cap: int = MAX_ROWS) -> DataFrame:
+def page_of(df: DataFrame, page: int = 0, size: int = DEFAULT_PAGE_SIZE, cap: int | None = None) -> DataFrame:
     """Rows ``[page*size, page*size+size)``; with an ORDER BY Spark plans TakeOrderedAndProject."""
     p, s = clamp(page, size, cap)
     off = p * s
@@ -166,7 +170,7 @@ class Page:
     df: DataFrame
     page: int = 0
     size: int = DEFAULT_PAGE_SIZE
-    cap: int = MAX_ROWS
+    cap: int | None = None  # on counted rows and the page size, where the caller wants one
     timeout_s: float | None = None
     pool: str | None = None  # FAIR scheduler pool for this page's jobs (concurrent users)
 
@@ -197,6 +201,10 @@ class Page:
     def total_rows(self) -> int:
         return self._run(lambda: capped_count(self.df, self.cap))
 
+    def total_is_capped(self) -> bool:
+        """Whether the total stopped at the cap the caller set."""
+        return self.cap is not None and not self._run(lambda: self.df.offset(self.cap).limit(1).isEmpty())
+
     def total_pages(self) -> int:
         t = self.total_rows()
         return -(-t // self.size)
@@ -216,10 +224,10 @@ class Page:
 
 
 def run_sql(spark: SparkSession, text: str, page: int = 0, size: int = DEFAULT_PAGE_SIZE,
-            mode: str = "default", cap: int = MAX_ROWS, timeout_s: float | None = DEFAULT_TIMEOUT_S,
+            mode: str = "default", cap: int | None = None, timeout_s: float | None = None,
             pool: str | None = None) -> Page:
     """Guarded query → lazy page (the reference's execute endpoint). Collecting the page or the
-    total is cancelled after ``timeout_s`` seconds (None: no limit); with ``pool`` its jobs run
+    total is cancelled after ``timeout_s`` seconds (default: no limit), counts stop at ``cap`` (default: exact); with ``pool`` its jobs run
     in that FAIR scheduler pool, so one user's large query does not starve the others."""
     return Page(sql(spark, text, mode), page, size, cap, timeout_s, pool)
 

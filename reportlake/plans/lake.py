@@ -48,11 +48,11 @@ def _norm(path: str) -> str:
 
 
 def _path_hash(path: str) -> str:
-    return xxhash.xxh64(path.encode()).hexdigest()[:8]
+    return xxhash.xxh3_128_hexdigest(path.encode())
 
 
 def physical_name(path: str, position: int) -> str:
-    """Reproducible table name ``t_<8 hex of xxhash64(path)>_<sheet position>``: the tables of
+    """Reproducible table name ``t_<128-bit hash of the path>_<sheet position>``: the tables of
     one upload share a name prefix, so they are found by one catalog lookup."""
     return f"t_{_path_hash(path)}_{position}"
 

@@ -80,10 +80,13 @@ def scoped_conf(spark: SparkSession, **conf: str):
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) do we create one and register it.
+    Only a session on one machine (``local[...]``, as in tests) may do without: then one is created and
+    registered. On a cluster a missing folder is an error, since a driver-local one can't be shared.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root and not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:  # ``spark.checkpoint.dir`` is a core setting: register a folder on the context instead
         root = tempfile.mkdtemp(prefix="reportlake-ckpt-")
         sc.setCheckpointDir(root)
@@ -114,15 +117,3 @@ def new_local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSessi
     )
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
-
-
-def spread(df):
-    """Round-robin ``df`` over the cluster's cores when it has fewer partitions than that.
-
-    A small input stored as one Parquet row group is read by a single task; CPU-heavy
-    per-row steps (regex over texts, band-join probing, profiling) then use one core. On
-    real inputs (many splits) the partition count already exceeds the parallelism and this
-    returns ``df`` unchanged, adding no shuffle.
-    """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

@@ -71,7 +71,7 @@ def test_page_clamps_and_plan(spark):
     p = g.run_sql(spark, "SELECT * FROM orders ORDER BY o_orderkey", page=-3, size=0)
     assert (p.page, p.size) == (0, 1)
     big = g.Page(spark.table("orders"), 0, 10**9)
-    assert big.size == g.MAX_ROWS
+    assert big.size == 10**9 and g.Page(spark.table("orders"), 0, 10**9, cap=100).size == 100
     page = g.run_sql(spark, "SELECT * FROM orders ORDER BY o_orderkey", page=2, size=7)
     plan = plan_text(page.frame)
     assert "TakeOrderedAndProject" in plan
@@ -126,3 +126,17 @@ def test_sql_on_raw_files_is_off(spark):
     with pytest.raises(g.QuerySyntaxError):
         g.sql(spark, f"SELECT * FROM parquet.`{SF}/region.parquet`")
     assert spark.sql(f"SELECT count(*) FROM parquet.`{SF}/region.parquet`").first()[0] == 5  # outside the gateway
+
+
+def test_total_is_exact_unless_a_cap_is_asked_for(spark):
+    df = spark.range(250_000)
+    assert g.Page(df).total_rows() == 250_000 and not g.Page(df).total_is_capped()
+    assert g.Page(df, cap=100).total_rows() == 100 and g.Page(df, cap=100).total_is_capped()
+    assert not g.Page(df, cap=250_000).total_is_capped()
+
+
+@pytest.mark.parametrize("text", ["SELECT java_method('java.lang.System', 'getProperty', 'x')", "SELECT `reflect`('a', 'b')",
+                                  "SELECT try_reflect ('a', 'b')"])
+def test_no_jvm_calls(text):
+    with pytest.raises(g.QueryRejected):
+        g.check_sql(text)

@@ -1,4 +1,4 @@
-"""Golden cases T1–T8 of the reference's manual test plan, on its sample uploads."""
+"""Golden cases T1–T8 of the reference's manual test plan, on uploads of the same shape."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +9,8 @@ from reportlake.plans.reports import Reports
 from reportlake.sinks.export import BOM, export_csv
 from samples import SALARY, SALES, write
 
-JOIN_SQL = """SELECT s."姓名", s."部门", s."销售额", s."日期", y."基本工资"
-FROM sales s JOIN salary y ON s."姓名" = y."员工姓名" AND s."部门" = y."部门" ORDER BY s."姓名" """
+JOIN_SQL = """SELECT s."店员", s."片区", s."成交额", s."成交日", y."月薪"
+FROM sales s JOIN salary y ON s."店员" = y."店员名" AND s."片区" = y."片区" ORDER BY s."店员" """
 
 
 @pytest.fixture()
@@ -33,13 +33,13 @@ def test_t1_t2_load(loaded):
 def test_t3_preview(loaded):
     lake, rows = loaded
     df = lake.table(rows["test_sales"]["physical_name"])
-    assert preview(df, 3, order_by=["日期"]).count() == 3
+    assert preview(df, 3, order_by=["成交日"]).count() == 3
     assert gateway.capped_count(df) == 8
     assert preview(df, -4).count() == 0 and preview(df, 500).count() == 8
 
 
 def test_t4_page(spark, loaded):
-    page = gateway.run_sql(spark, 'SELECT * FROM sales ORDER BY "销售额" DESC', page=0, size=5)
+    page = gateway.run_sql(spark, 'SELECT * FROM sales ORDER BY "成交额" DESC', page=0, size=5)
     assert len(page.rows()) == 5 and page.total_rows() == 8 and page.total_pages() == 2
 
 
@@ -47,19 +47,19 @@ def test_t5_join_report_and_t6_export(spark, loaded, workdir):
     reports = Reports(spark, loaded[0].db)
     rid = reports.save("sales_with_salary", JOIN_SQL, "two-key join")
     page = reports.run(rid, 0, 50)
-    assert page.columns == ["姓名", "部门", "销售额", "日期", "基本工资"]
+    assert page.columns == ["店员", "片区", "成交额", "成交日", "月薪"]
     assert page.total_rows() == 8
     out = f"{workdir}/export"
     export_csv(spark.table("sales_with_salary"), out, single_file=True)
     from test_csv import _raw_lines
 
     lines = _raw_lines(out)
-    assert len(lines) == 9 and lines[0] == BOM + "姓名,部门,销售额,日期,基本工资"
+    assert len(lines) == 9 and lines[0] == BOM + "店员,片区,成交额,成交日,月薪"
 
 
 def test_sum_by_department(spark, loaded):
-    df = gateway.sql(spark, 'SELECT "部门", sum("销售额") AS total FROM sales GROUP BY "部门" ORDER BY total DESC')
-    assert [tuple(r) for r in df.collect()] == [("销售部", 31700), ("市场部", 24800), ("技术部", 18500)]
+    df = gateway.sql(spark, 'SELECT "片区", sum("成交额") AS total FROM sales GROUP BY "片区" ORDER BY total DESC')
+    assert [tuple(r) for r in df.collect()] == [("西区", 14600), ("南区", 13800), ("东区", 12700)]
 
 
 @pytest.mark.parametrize("text", ["DROP TABLE sales", "INSERT INTO sales VALUES (1)", "delete from sales",
@@ -82,7 +82,7 @@ def test_truncate_keeps_schema(loaded):
     info = rows["test_salary"]
     lake.truncate(info["source_id"], info["physical_name"])
     t = lake.table(info["physical_name"])
-    assert t.count() == 0 and t.columns == ["员工姓名", "部门", "基本工资"]
+    assert t.count() == 0 and t.columns == ["店员名", "片区", "月薪"]
     with pytest.raises(Exception):
         lake.truncate("s_other", info["physical_name"])
 
