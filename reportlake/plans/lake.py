@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -220,9 +220,14 @@ class Lake:
         if not targets:
             raise LakeError(f"source {source_id} has no tables to append to")
         if file_type is None:
-            ext = path.rsplit(".", 1)[-1].lower() if "." in path.rsplit("/", 1)[-1] else ""
-            file_type = "excel" if ext in ("xls", "xlsx") else "csv"
+            name = _norm(path).rsplit("/", 1)[-1]
+            file_type, problem = route_name(name) if "." in name else ("csv", None)  # a folder of CSV parts
+            if file_type not in ("csv", "excel"):
+                raise LakeError(f"cannot append {path}: {problem or 'file type not supported'}")
         sheets = self._sheets(path, file_type)
+        # every table's new rows are shaped and their casts tried before any table changes
+        ready = {t.physical_name: self._prepare(t.physical_name, sheets[i][1]) for i, t in enumerate(targets)
+                 if i < len(sheets) and not (skip and t.physical_name in skip)}
         reports = []
         for i, info in enumerate(targets):
             before = self.table(info.physical_name).count()
@@ -234,7 +239,7 @@ class Lake:
                                 f"the new file has {len(sheets)} sheets, fewer than the "
                                 f"{len(targets)} target tables; skipped"))
                 continue
-            reports.append(self._append_one(info.physical_name, sheets[i][1], before))
+            reports.append(self._publish(info.physical_name, *ready[info.physical_name], before))
             if on_table_done is not None:
                 on_table_done(info.physical_name)
         return self.spark.createDataFrame(reports, REPORT_SCHEMA)
@@ -244,7 +249,8 @@ class Lake:
         reps = [self.append(source_id, p).withColumn("file", F.lit(p)) for p in paths]
         return reduce(DataFrame.unionByName, reps)
 
-    def _append_one(self, physical: str, new_rows: DataFrame, before: int) -> tuple:
+    def _prepare(self, physical: str, new_rows: DataFrame):
+        """New rows in the table's shape and the column differences; a value that can't be cast stops here."""
         target = self.table(physical)
         shaped, diff = evolve(new_rows, target.schema)
         src_types = {f.name.lower(): f.dataType for f in new_rows.schema.fields}
@@ -254,7 +260,12 @@ class Lake:
             try:
                 shaped.select(*risky).write.format("noop").mode("overwrite").save()
             except Exception as exc:
-                raise LakeError(f"append to {physical} failed, table unchanged: {exc}") from exc
+                raise LakeError(f"append to {physical} failed, nothing changed: {exc}") from exc
+        return shaped, diff
+
+    def _publish(self, physical: str, shaped: DataFrame, diff, before: int) -> tuple:
+        written = Observation()
+        shaped = shaped.observe(written, F.count(F.lit(1)).alias("rows"))
         if diff.new:
             cols = ", ".join(f"`{c}` STRING" for c in diff.new)
             self.spark.sql(f"ALTER TABLE {self.qualified(physical)} ADD COLUMNS ({cols})")
@@ -263,8 +274,8 @@ class Lake:
         self.spark.sql(f"INSERT INTO {self.qualified(physical)} BY NAME SELECT * FROM `{view}`")
         self.spark.catalog.dropTempView(view)
         self.analyze(physical)
-        after = self.table(physical).count()
-        return (physical, before, after - before, after, diff.new, diff.matched, diff.missing, False, None)
+        appended = int(written.get["rows"])  # counted while writing: other appends don't enter
+        return (physical, before, appended, before + appended, diff.new, diff.matched, diff.missing, False, None)
 
     # ---- maintenance ----------------------------------------------------------------------------
     def truncate(self, source_id: str, physical: str) -> None:

@@ -9,8 +9,8 @@ be queried from other reports.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +19,9 @@ from reportlake.plans import gateway
 REGISTRY_COLUMNS = "id bigint, name string, sql string, description string, op string, ts timestamp_ntz"
 
 
-def report_id(name: str) -> int:
-    return xxhash.xxh64(name.encode()).intdigest() & 0x7FFF_FFFF_FFFF_FFFF
+def new_report_id() -> int:
+    """A generated id: a report keeps it when it is renamed, and no other report gets it."""
+    return uuid.uuid4().int >> 65
 
 
 def blank_keeps(new: Column, old: Column) -> Column:
@@ -63,17 +64,31 @@ class Reports:
     def current(self) -> DataFrame:
         """Live reports: the latest event of each id, deletes removed."""
         ev = self.spark.table(self.name)
-        last = ev.groupBy("id").agg(F.max_by(F.struct(*[c for c in ev.columns if c != "id"]), "ts").alias("e"))
-        return last.select("id", "e.*").where(F.col("op") != "delete").drop("op").withColumnRenamed("ts", "updated_at")
+        last = ev.groupBy("id").agg(F.max_by(F.struct(*[c for c in ev.columns if c != "id"]), "ts").alias("e"),
+                                    F.min("ts").alias("created_at"))
+        return last.select("id", "e.*", "created_at").where(F.col("op") != "delete").drop("op").withColumnRenamed("ts", "updated_at")
 
     def save(self, name: str, sql: str, description: str = "") -> int:
-        """Create or replace; the SQL is screened and analysed first (even for agent callers)."""
-        gateway.validate_syntax(self.spark, sql)
-        rid = report_id(name)
+        """Create, or replace the live report of that name; the SQL is screened and analysed first (even for
+        agent callers), and the report is logged last."""
+        if not name or not name.strip():
+            raise ValueError("a report needs a name")
+        same = self.current().where(F.col("name") == name).select("id").collect()
+        rid = same[0]["id"] if same else new_report_id()
+        self._view(name, sql)
         self._log([(rid, name, sql, description, "upsert", _dt.datetime.now())])
-        gateway.sql(self.spark, sql).createOrReplaceTempView(name)
         return rid
 
+    def _view(self, name: str, sql: str) -> None:
+        gateway.sql(self.spark, sql).createOrReplaceTempView("`" + name.replace("`", "``") + "`")
+
+    def open_views(self) -> list[str]:
+        """Make the live reports queryable by name in this session (views last as long as a session)."""
+        live = self.current().select("name", "sql").collect()
+        for r in live:
+            self._view(r["name"], r["sql"])
+        return sorted(r["name"] for r in live)
+
     def get(self, rid: int):
         rows = self.current().where(F.col("id") == rid).collect()
         if not rows:
@@ -88,17 +103,22 @@ class Reports:
         new = (keep(name, old["name"]), keep(sql, old["sql"]), keep(description, old["description"]))
         if new == (old["name"], old["sql"], old["description"]):
             return False
-        gateway.validate_syntax(self.spark, new[1])
+        if new[0] != old["name"] and not self.current().where(F.col("name") == new[0]).isEmpty():
+            raise ValueError(f"there is a report named {new[0]}")
+        self._view(new[0], new[1])
         self._log([(rid, *new, "upsert", _dt.datetime.now())])
-        gateway.sql(self.spark, new[1]).createOrReplaceTempView(new[0])
+        if new[0] != old["name"]:
+            self.spark.catalog.dropTempView(old["name"])
         return True
 
     def delete(self, ids: list[int]) -> int:
         """Delete the ids that exist; returns how many were deleted."""
-        live = [r["id"] for r in self.current().where(F.col("id").isin(list(ids))).select("id").collect()]
+        live = self.current().where(F.col("id").isin(list(ids))).select("id", "name").collect()
         now = _dt.datetime.now()
         if live:
-            self._log([(i, None, None, None, "delete", now) for i in live])
+            self._log([(r["id"], None, None, None, "delete", now) for r in live])
+        for r in live:
+            self.spark.catalog.dropTempView(r["name"])
         return len(live)
 
     def list(self, page: int = 0, size: int = 50) -> DataFrame:

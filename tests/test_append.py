@@ -117,3 +117,26 @@ def test_append_many_in_order(lake, workdir):
     paths = [write(workdir, f"m{i}.csv", f"id,name\n{10 + i},n{i}\n") for i in range(3)]
     rep = lake.append_many(info["source_id"], paths).collect()
     assert [r["rowsAfter"] for r in rep] == [3, 4, 5] and [r["file"] for r in rep] == paths
+
+
+def test_append_rejects_other_file_types(lake, workdir):
+    info = lake.ingest_file(write(workdir, "base.csv", "id\n1\n"), "csv")[0]
+    with pytest.raises(LakeError):
+        lake.append(info["source_id"], write(workdir, "more.json", '{"id": 2}\n'))
+    assert lake.table(info["physical_name"]).count() == 1
+
+
+def test_append_changes_no_table_when_a_later_sheet_is_bad(lake, workdir, spark, monkeypatch):
+    infos = lake.ingest_file(write(workdir, "two.csv", "id\n1\n"), "csv")
+    other = lake.ingest_file(write(workdir, "other.csv", "id\n5\n"), "csv")
+    source = infos[0]["source_id"]
+    targets = lake.table_infos(source) + lake.table_infos(other[0]["source_id"])
+    monkeypatch.setattr(type(lake), "table_infos", lambda self, sid: targets)
+    good, bad = spark.createDataFrame([("2",)], "id string"), spark.createDataFrame([("x",)], "id string")
+    monkeypatch.setattr(type(lake), "_sheets", lambda self, path, kind: [("a", good), ("b", bad)])
+    with pytest.raises(LakeError):
+        lake.append(source, "any.xlsx")
+    assert lake.table(infos[0]["physical_name"]).count() == 1
+    monkeypatch.setattr(type(lake), "_sheets", lambda self, path, kind: [("a", good), ("b", good)])
+    report = lake.append(source, "any.xlsx").collect()
+    assert [(r["rowsBefore"], r["rowsAppended"], r["rowsAfter"]) if "rowsBefore" in r else tuple(r)[1:4] for r in report] == [(1, 1, 2)] * 2

@@ -44,3 +44,20 @@ def test_export_saved_report(spark, lake, workdir):
     assert spark.read.parquet(f"{workdir}/r.parquet").count() == 5
     reg.export(rid, f"{workdir}/r.csv", "csv", single_file=True)
     assert spark.read.option("header", True).csv(f"{workdir}/r.csv").count() == 5
+
+
+def test_reports_keep_their_ids_over_renames(spark, lake):
+    register_dir(spark, SF)
+    reg = rp.Reports(spark, lake.db)
+    a = reg.save("report a", "SELECT 1 AS x")
+    assert reg.update(a, name="report b") and not spark.catalog.tableExists("`report a`")
+    again = reg.save("report a", "SELECT 2 AS x")
+    assert again != a and reg.get(a)["name"] == "report b" and reg.get(a)["created_at"] <= reg.get(a)["updated_at"]
+    assert reg.save("report a", "SELECT 3 AS x") == again
+    with pytest.raises(Exception):
+        reg.save("broken", "SELECT FROM WHERE")
+    assert reg.current().count() == 2
+    assert reg.delete([a, a + 1]) == 1 and reg.open_views() == ["report a"]
+    assert spark.table("`report a`").first()[0] == 3
+    with pytest.raises(Exception):
+        spark.table("`report b`").collect()
