@@ -94,8 +94,8 @@ class WordBpe:
         for t, k in self.order.items():
             self.machine.add_word(t, k)
         self.machine.make_automaton()
-        self.fits = Kept(self._fits)
-        self.kept = Kept(self._word)
+        self.fits = Kept(self._fits, 200_000)
+        self.kept = Kept(self._word, 400_000)
         self.prefix = Kept(self._prefix)
         # decoding: every token's text and a space, one after another
         names = {i: t for t, i in vocab.items()} | {i: t for t, i in added.items()}

@@ -30,12 +30,12 @@ def pieces(text: str) -> Iterator[str]:
 class Kept(dict):
     """A bounded table of what ``make`` gives for a pre-token."""
 
-    def __init__(self, make):
+    def __init__(self, make, most: int = KEPT):
         super().__init__()
-        self.make = make
+        self.make, self.most = make, most
 
     def __missing__(self, token):
-        if len(self) >= KEPT:
+        if len(self) >= self.most:
             self.clear()
         got = self[token] = self.make(token)
         return got
