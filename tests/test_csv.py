@@ -87,6 +87,71 @@ def _raw_lines(folder):
 def test_quoted_newline_beyond_the_sample(spark, workdir):
     body = "".join(f"{i},plain{i}\n" for i in range(1500))
     path = write(workdir, "late.csv", "id,text\n" + body + '1500,"two\nlines"\n')
-    assert not C.sniff_csv(spark, path).multiline
+    assert C.sniff_csv(spark, path).multiline
     df = C.read_csv(spark, path)
     assert df.count() == 1501 and df.where("id = 1500").first()["text"] == "two\nlines"
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_quote_inside_a_field_keeps_the_file_split(spark, workdir):
+    path = write(workdir, "pipe.csv", 'id,t\n1,5" pipe\n2,x\n')
+    assert not C.sniff_csv(spark, path).multiline
+    assert _rows(C.read_csv(spark, path)) == [(1, '5" pipe'), (2, "x")]
+
+
+def test_surplus_fields_are_kept_apart_and_counted(spark, workdir):
+    from pyspark.sql import Observation
+
+    path = write(workdir, "s.csv", "id,t\n1,a\n2,y,EXTRA\n3\n")
+    seen = Observation()
+    df = C.read_csv(spark, path, rejected=seen)
+    assert _rows(df) == [(1, "a"), (3, None)] and seen.get["rows"] == 1
+    assert df.count() == 2 and [r[0] for r in C.csv_rejects(spark, path).collect()] == ["2,y,EXTRA"]
+
+
+def test_single_quotes_header_over_lines_and_never_closed(spark, workdir):
+    assert _rows(C.read_csv(spark, write(workdir, "q1.csv", "id,t\n'x,y',1\n'z',2\n"))) == [("x,y", 1), ("z", 2)]
+    assert C.read_csv(spark, write(workdir, "q2.csv", 'id,"a\nb"\n1,2\n')).columns == ["id", "a\nb"]
+    with pytest.raises(ValueError):
+        C.read_csv(spark, write(workdir, "q3.csv", 'id,t\n1,"abc\n2,x\n'))
+
+
+def test_other_date_forms(spark, workdir):
+    text = "a,b,c\n01/02/2020,2020/1/2,12/31/2020\n13.02.2020,2020.05.06,01/02/2020\n"
+    df = C.read_csv(spark, write(workdir, "dates.csv", text))
+    assert [[str(v) for v in r] for r in df.orderBy("b").collect()] == [
+        ["2020-02-01", "2020-01-02", "2020-12-31"], ["2020-02-13", "2020-05-06", "2020-01-02"]]
+
+
+def test_parts_are_matched_by_header_name(spark, workdir):
+    import os
+
+    os.makedirs(f"{workdir}/parts")
+    write(f"{workdir}/parts", "a.csv", "id,name\n1,x\n")
+    write(f"{workdir}/parts", "b.csv", "NAME,id,note\ny,2,n\n")
+    df = C.read_csv(spark, f"{workdir}/parts")
+    assert df.columns == ["id", "name", "note"] and _rows(df.fillna("")) == [(1, "x", ""), (2, "y", "n")]
+
+
+def test_records_over_many_splits(spark, workdir):
+    import csv
+    import io
+    import random
+
+    rnd = random.Random(1)
+    pieces = ["p", 'two\nli,"nes\n', '"', "\n\n,x", '5" pipe', ""]
+    rows = [(i, rnd.choice(pieces) + "z") for i in range(2000)]
+    buf = io.StringIO()
+    out = csv.writer(buf, lineterminator="\n")
+    out.writerow(["id", "t"])
+    out.writerows(rows)
+    path = write(workdir, "many.csv", buf.getvalue())
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        assert _rows(C.read_csv(spark, path)) == rows
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
