@@ -96,10 +96,11 @@ def xlsx_bytes(sheets: list[tuple[str, list[str], list[list]]], shared_strings:
 KEYS_PER_WORKBOOK = 50_000  # bounded workbook size (Excel itself stops at 1 048 576 rows)
 
 
-def write_customer_workbooks(customer: DataFrame, out_dir: str) -> None:
+def write_customer_workbooks(customer: DataFrame, out_dir: str, text_every: int = 0) -> None:
     """One workbook per market segment and block of 50 000 customer keys: sheet ``customers``
     (the rows) and sheet ``nations`` (customers per nation). Each pandas group is bounded
-    by the key block, whatever the skew of segments."""
+    by the key block, whatever the skew of segments. ``text_every``: the balances of keys divisible by it are
+    texts, but for a workbook's first."""
     from pyspark.sql import functions as F
 
     cols = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
@@ -112,6 +113,9 @@ def write_customer_workbooks(customer: DataFrame, out_dir: str) -> None:
         pdf = pdf.sort_values("c_custkey")
         rows = [[int(r.c_custkey), r.c_name, int(r.c_nationkey), float(r.c_acctbal), r.c_mktsegment]
                 for r in pdf.itertuples()]
+        for r in rows[1:] if text_every else ():
+            if r[0] % text_every == 0:
+                r[3] = "n/a"
         nat = pdf.groupby("c_nationkey").size().reset_index(name="n").sort_values("c_nationkey")
         data = xlsx_bytes([("customers", cols, rows),
                            ("nations", ["c_nationkey", "n_customers"],

@@ -7,8 +7,10 @@ Spark, then run the library on those files.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,13 +19,13 @@ from reportlake.conformance.registry import case, t
 from reportlake.operators import append as ap
 from reportlake.operators import chatlog, relational as rel
 from reportlake.plans import gateway, lake as lk, reports as rp
-from reportlake.plans.catalog import catalog_rows, column_table, preview, profile
+from reportlake.plans.catalog import catalog_rows, column_table, preview, profile, row_counts
 from reportlake.session import scratch_dir
 from reportlake.sinks import export as ex
 from reportlake.sources import csv as csv_src
 from reportlake.sources import workbook as wb
 from reportlake.sources.files import read_file
-from reportlake.sources.headers import sanitize_header
+from reportlake.sources.headers import dedupe_names, sanitize_header
 from reportlake.sources.parquet import TEST_TABLES, register_dir
 from reportlake.sources.route import route
 
@@ -100,33 +102,87 @@ def route_files(spark, d):
     return route(pages)
 
 
-_SANITIZE_SQL = """CASE WHEN {c} IS NULL OR trim({c}) = '' THEN 'COL'
-  ELSE coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(trim({c}), '[^\\p{{L}}\\p{{N}}_]', '_', 'g'),
-                                                     '_+', '_', 'g'), '^_|_$', '', 'g'), ''), 'COL') END"""
+_CSV_CASES = "SELECT c_custkey, c_name, c_acctbal FROM customer"
+
+
+@case("csv_surplus", """
+SELECT c_custkey, c_name, CASE WHEN c_custkey % 5 = 1 THEN NULL ELSE c_acctbal END AS c_acctbal,
+       (SELECT count(*) FROM customer WHERE c_custkey % 5 = 0) AS rejected
+FROM customer WHERE c_custkey % 5 <> 0""")
+def csv_surplus(spark, d):
+    c = t(spark, d, "customer")
+    line = F.concat_ws(",", "c_custkey", "c_name", F.when(F.col("c_custkey") % 5 != 1, F.col("c_acctbal")),
+                       F.when(F.col("c_custkey") % 5 == 0, F.lit("surplus")))
+    path = f"{scratch_dir(spark, 'upload')}/surplus.csv"
+    head = spark.createDataFrame([("c_custkey,c_name,c_acctbal",)], "value string")
+    head.unionByName(c.select(line.alias("value"))).coalesce(1).write.text(path)  # one file: header, then the rows
+    return csv_src.read_csv(spark, path).withColumn("rejected", F.lit(csv_src.csv_rejects(spark, path).count()))
+
+
+@case("csv_multiline", """
+SELECT c_custkey, c_name || chr(10) || '5" "pipe",' || c_mktsegment AS note, c_acctbal FROM customer""")
+def csv_multiline(spark, d):
+    note = F.concat("c_name", F.lit('\n5" "pipe",'), "c_mktsegment")
+    path = f"{scratch_dir(spark, 'upload')}/notes.csv"
+    (t(spark, d, "customer").select("c_custkey", note.alias("note"), "c_acctbal")
+     .write.option("header", True).option("escape", '"').csv(path))
+    return csv_src.read_csv(spark, path)
+
 
+@case("csv_mixed_parts", _CSV_CASES)
+def csv_mixed_parts(spark, d):
+    c = t(spark, d, "customer")
+    path = f"{scratch_dir(spark, 'upload')}/parts.csv"
+    c.where("c_custkey % 2 = 0").select("c_custkey", "c_name", "c_acctbal").write.option("header", True).csv(path)
+    (c.where("c_custkey % 2 = 1").select("c_acctbal", F.col("c_name").alias("C_NAME"), "c_custkey")
+     .write.mode("append").option("header", True).csv(path))
+    got = csv_src.read_csv(spark, path)
+    return got.select("c_custkey", F.col("c_name").alias("c_name"), "c_acctbal")
 
-def _dedupe_oracle(table: str, key: str, col: str) -> str:
-    return f"""
-WITH s AS (SELECT {key}, {_SANITIZE_SQL.format(c=col)} AS name FROM {table}),
-     r AS (SELECT *, row_number() OVER (PARTITION BY lower(name) ORDER BY {key}) AS rn FROM s)
-SELECT {key}, name, CASE WHEN rn = 1 THEN name ELSE name || '_' || CAST(rn - 1 AS VARCHAR) END AS unique_name FROM r"""
 
+@case("csv_dates", "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS dmy, CAST(o_orderdate AS DATE) AS ymd FROM orders")
+def csv_dates(spark, d):
+    path = f"{scratch_dir(spark, 'upload')}/dates.csv"
+    (t(spark, d, "orders").select("o_orderkey", F.date_format("o_orderdate", "dd.MM.yyyy").alias("dmy"),
+                                  F.date_format("o_orderdate", "yyyy/MM/dd").alias("ymd"))
+     .write.option("header", True).csv(path))
+    return csv_src.read_csv(spark, path)
 
-def _dedupe(df: DataFrame, key: str, col: str) -> DataFrame:
-    named = df.select(key, sanitize_header(col).alias("name"))
-    ranked = rel.ordinal_within(named, [F.lower("name")], key, "rn")
-    return ranked.select(key, "name", F.when(F.col("rn") == 1, F.col("name"))
-                         .otherwise(F.concat("name", F.lit("_"), (F.col("rn") - 1).cast("string"))).alias("unique_name"))
 
+@case("reingest", """
+SELECT 1 AS upload, s_suppkey, s_name FROM supplier UNION ALL SELECT 2, s_suppkey, s_name FROM supplier""")
+def reingest(spark, d):
+    lake = _lake(spark)
+    path = _write_csv(t(spark, d, "supplier"), f"{scratch_dir(spark, 'upload')}/supplier.csv")
+    made = [lake.ingest_file(path, "csv")[0]["physical_name"] for _ in range(2)]
+    return reduce(DataFrame.unionByName, [lake.table(n).select(F.lit(i).alias("upload"), "s_suppkey", "s_name")
+                                          for i, n in enumerate(made, 1)])
 
-@case("sanitize_header", _dedupe_oracle("pages", "page_id", "url"))
+
+_SANITIZE_SQL = """CASE WHEN {c} IS NULL OR trim({c}) = '' THEN 'COL'
+  ELSE coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(trim({c}), '[^\\p{{L}}\\p{{N}}_]', '_', 'g'),
+                                                     '_+', '_', 'g'), '^_|_$', '', 'g'), ''), 'COL') END"""
+
+
+@case("sanitize_header", f"SELECT page_id, {_SANITIZE_SQL.format(c='url')} AS name FROM pages")
 def sanitize_header_q(spark, d):
-    return _dedupe(t(spark, d, "pages"), "page_id", "url")
+    return t(spark, d, "pages").select("page_id", sanitize_header("url").alias("name"))
 
 
-@case("dedupe_header", _dedupe_oracle("part", "p_partkey", "p_name"))
+@case("dedupe_header", """
+WITH w AS (SELECT conv_id, turn, string_split(text, ' ') AS w FROM conversations WHERE text IS NOT NULL),
+     u AS (SELECT conv_id, turn, unnest(w) AS name, unnest(range(len(w))) AS i FROM w),
+     r AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn, lower(name) ORDER BY i) AS n FROM u)
+SELECT conv_id, turn, string_agg(CASE WHEN n = 1 THEN name ELSE name || '_' || (n - 1) END, ' ' ORDER BY i) AS header
+FROM r GROUP BY conv_id, turn""")
 def dedupe_header_q(spark, d):
-    return _dedupe(t(spark, d, "part"), "p_partkey", "p_name")
+    """Every message's words as a header list, through the function that file headers go through."""
+    @F.pandas_udf("string")
+    def unique(text: pd.Series) -> pd.Series:
+        return text.map(lambda v: " ".join(dedupe_names(v.split(" "))))
+
+    turns = t(spark, d, "conversations").where("text IS NOT NULL")
+    return turns.select("conv_id", "turn", unique("text").alias("header"))
 
 
 @case("scan_table", "SELECT s_suppkey, s_name FROM supplier WHERE s_nationkey = 1")
@@ -163,13 +219,32 @@ def _customer_workbooks(spark, d) -> str:
     return out
 
 
-@case("workbook_ingest", "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, "
-                         "c_mktsegment FROM customer")
+@case("workbook_ingest", """
+SELECT 'customers' AS sheet, c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment,
+       CAST(NULL AS BIGINT) AS n_customers FROM customer
+UNION ALL
+SELECT 'nations', NULL, NULL, c_nationkey, NULL, NULL, count(*) FROM customer
+GROUP BY c_mktsegment, c_custkey // 50000, c_nationkey""")
 def workbook_ingest(spark, d):
     folder = _customer_workbooks(spark, d)
     lake = _lake(spark)
-    man = lake.ingest_folder(folder).where(F.col("sheet") == "customers").select("physical_name").collect()
-    return reduce(DataFrame.unionByName, [lake.table(r["physical_name"]) for r in man])
+    man = lake.ingest_folder(folder).select("sheet", "physical_name").collect()
+    parts = [lake.table(r["physical_name"]).withColumn("sheet", F.lit(r["sheet"])) for r in man]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+@case("workbook_bad_cell", """
+WITH c AS (SELECT *, c_custkey % 7 = 0 AND c_custkey <> min(c_custkey) OVER (PARTITION BY c_mktsegment, c_custkey // 50000)
+                     AS bad FROM customer)
+SELECT c_custkey, CASE WHEN NOT bad THEN c_acctbal END AS c_acctbal,
+       CAST((SELECT count(*) FROM c WHERE bad) AS BIGINT) AS bad_cells FROM c""")
+def workbook_bad_cell(spark, d):
+    folder = scratch_dir(spark, "workbooks")
+    fixtures.write_customer_workbooks(t(spark, d, "customer"), folder, text_every=7)
+    lake = _lake(spark)
+    man = lake.ingest_folder(folder).where(F.col("sheet") == "customers").collect()
+    got = reduce(DataFrame.unionByName, [lake.table(r["physical_name"]) for r in man])
+    return got.select("c_custkey", "c_acctbal", F.lit(sum(r["bad_cells"] for r in man)).cast("long").alias("bad_cells"))
 
 
 @case("workbook_sheets", """
@@ -254,13 +329,15 @@ SELECT (SELECT string_agg(name, ',' ORDER BY o) FROM s WHERE lower(name) NOT IN
        (SELECT string_agg(name, ',' ORDER BY o) FROM s WHERE lower(name) IN (SELECT lower(name) FROM t))
          AS matched_columns,
        (SELECT string_agg(name, ',' ORDER BY o) FROM t WHERE lower(name) NOT IN (SELECT lower(name) FROM s))
-         AS missing_columns""")
+         AS missing_columns, (SELECT count(*) FROM supplier) AS rows_appended""")
 def append_diff(spark, d):
+    lake, info = _ingest_one(spark, t(spark, d, "customer"), "customer")
     sup = t(spark, d, "supplier")
-    src = column_table(spark, sup.toDF(*[c.replace("s_", "c_").upper() for c in sup.columns]))
-    tgt = column_table(spark, t(spark, d, "customer"))
-    diff = ap.column_diff_df(src, tgt)
-    return diff.select(*[F.array_join(c, ",").alias(c) for c in diff.columns])
+    path = _write_csv(sup.toDF(*[c.replace("s_", "c_").upper() for c in sup.columns]), f"{scratch_dir(spark, 'upload')}/s.csv")
+    rep = lake.append(info["source_id"], path)
+    return rep.select(F.array_join("newColumns", ",").alias("new_columns"),
+                      F.array_join("matchedColumns", ",").alias("matched_columns"),
+                      F.array_join("missingColumns", ",").alias("missing_columns"), F.col("rowsAppended").alias("rows_appended"))
 
 
 def _supplier_as_customer(spark, d) -> DataFrame:
@@ -295,17 +372,18 @@ def append_by_name(spark, d):
 
 
 @case("append_pairing", """
-WITH tb AS (SELECT c_name AS tbl, row_number() OVER (ORDER BY c_custkey) AS i FROM customer),
-     sh AS (SELECT s_name AS sheet, row_number() OVER (ORDER BY s_suppkey) AS i FROM supplier)
-SELECT tb.tbl AS "table", sh.sheet, sh.sheet IS NULL AS skipped,
-       CASE WHEN sh.sheet IS NULL THEN 'the new file has ' || (SELECT count(*) FROM supplier)
-            || ' sheets, fewer than the ' || (SELECT count(*) FROM customer) || ' target tables; skipped' END
-         AS skip_reason
-FROM tb LEFT JOIN sh ON tb.i = sh.i""")
+SELECT 0 AS position, 2 * count(*) AS rows_after, count(*) AS rows_appended, false AS skipped,
+       CAST(NULL AS VARCHAR) AS skip_reason FROM customer
+UNION ALL SELECT 1, 2 * count(*), count(*), false, NULL FROM supplier
+UNION ALL SELECT 2, count(*), 0, true, 'the new file has 2 sheets, fewer than the 3 target tables; skipped' FROM part""")
 def append_pairing(spark, d):
-    tables = t(spark, d, "customer").select(F.col("c_custkey").alias("position"), F.col("c_name").alias("table"))
-    sheets = t(spark, d, "supplier").select(F.col("s_suppkey").alias("position"), F.col("s_name").alias("sheet"))
-    return ap.pair_by_position(tables, sheets)
+    lake = _lake(spark)
+    sheets = [(n, t(spark, d, n)) for n in ("customer", "supplier", "part")]
+    info = lake.ingest_file(f"{scratch_dir(spark, 'upload')}/book.xlsx", "excel", sheets=sheets)
+    rep = lake.append(info[0]["source_id"], "more.xlsx", sheets=sheets[:2])
+    return rep.select(F.regexp_extract("tableName", "_([0-9]+)$", 1).cast("int").alias("position"),
+                      F.col("rowsAfter").alias("rows_after"), F.col("rowsAppended").alias("rows_appended"),
+                      "skipped", F.col("skipReason").alias("skip_reason"))
 
 
 @case("append_report", """
@@ -371,24 +449,28 @@ def table_columns(spark, d):
 
 @case("row_counts", " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}"
                                        for n in TEST_TABLES))
-def row_counts(spark, d):
-    parts = [t(spark, d, n).agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
-             for n in TEST_TABLES]
-    return reduce(DataFrame.unionByName, parts)
+def row_counts_q(spark, d):
+    return row_counts({n: t(spark, d, n) for n in TEST_TABLES})
 
 
 _STAR = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+_STAR_SOURCE = lk.source_id_of("/reports/tpch.xlsx")
+
+
+def _star_lake(spark, d) -> lk.Lake:
+    """A database of its own with one upload of seven tables."""
+    lake = lk.Lake(spark, f"{CONF_DB}_{uuid.uuid4().hex[:8]}")
+    lake.ingest_file("/reports/tpch.xlsx", "excel", sheets=[(n, t(spark, d, n)) for n in _STAR])
+    return lake
 
 
 @case("catalog_tree", " UNION ALL ".join(
-    f"""SELECT 'tpch' AS source, '{n}' AS table_name, (SELECT count(*) FROM {n}) AS row_count,
+    f"""SELECT '{_STAR_SOURCE}' AS source_id, '{n}' AS table_name, (SELECT count(*) FROM {n}) AS row_count,
        (SELECT string_agg(column_name || ' ' || data_type, ', ' ORDER BY ordinal_position)
         FROM information_schema.columns WHERE table_name = '{n}') AS columns""" for n in _STAR))
 def catalog_tree(spark, d):
-    rows = catalog_rows(spark, {n: t(spark, d, n) for n in _STAR}, source="tpch")
-    tree = rows.groupBy("source").agg(F.collect_list(F.struct("table_name", "row_count", "columns")).alias("tables"))
-    flat = tree.select("source", F.explode("tables").alias("x"))
-    return flat.select("source", "x.table_name", "x.row_count",
+    flat = _star_lake(spark, d).tree().select("source_id", F.explode("tables").alias("x"))
+    return flat.select("source_id", F.col("x.display_name").alias("table_name"), F.col("x.rows").alias("row_count"),
                        F.array_join(F.transform("x.columns", lambda c: F.concat_ws(" ", c["name"], c["type"])),
                                     ", ").alias("columns"))
 
@@ -404,10 +486,10 @@ def preview_small(spark, d):
 
 
 @case("table_listing", " UNION ALL ".join(
-    f"SELECT '{n}' AS display_name, 'v_{n}' AS physical_name, (SELECT count(*) FROM {n}) AS row_count" for n in _STAR))
+    f"SELECT '{n}' AS display_name, '{lk.physical_name(_STAR_SOURCE, i)}' AS physical_name, "
+    f"(SELECT count(*) FROM {n}) AS row_count" for i, n in enumerate(_STAR)))
 def table_listing(spark, d):
-    rows = catalog_rows(spark, {n: t(spark, d, n) for n in _STAR}, physical_prefix="v_")
-    return rows.select(F.col("table_name").alias("display_name"), "physical_name", "row_count")
+    return _star_lake(spark, d).listing().select("display_name", "physical_name", F.col("rows").alias("row_count"))
 
 
 @case("catalog_page", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 25 OFFSET 75")

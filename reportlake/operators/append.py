@@ -48,26 +48,6 @@ def column_diff(source: Sequence[str], target: Sequence[str]) -> ColumnDiff:
                       missing=[c for c in target if c.lower() not in sl])
 
 
-def column_diff_df(source_cols: DataFrame, target_cols: DataFrame) -> DataFrame:
-    """The same diff for schemas held as DataFrames ``(ordinal, name)``: a full outer join on
-    ``lower(name)`` and ordered ``collect_list``; one output row of three arrays."""
-    s = source_cols.select(F.col("ordinal").alias("s_ord"), F.col("name").alias("s_name"),
-                           F.lower("name").alias("k"))
-    t = target_cols.select(F.col("ordinal").alias("t_ord"), F.col("name").alias("t_name"),
-                           F.lower("name").alias("k"))
-    j = s.join(t, "k", "full_outer")
-
-    def ordered(cond, ord_col, name_col):
-        items = F.collect_list(F.when(cond, F.struct(F.col(ord_col).alias("o"), F.col(name_col).alias("n"))))
-        return F.transform(F.array_sort(items), lambda x: x["n"])
-
-    return j.agg(
-        ordered(F.col("t_ord").isNull(), "s_ord", "s_name").alias("new_columns"),
-        ordered(F.col("s_ord").isNotNull() & F.col("t_ord").isNotNull(), "s_ord", "s_name").alias("matched_columns"),
-        ordered(F.col("s_ord").isNull(), "t_ord", "t_name").alias("missing_columns"),
-    )
-
-
 def evolve(source: DataFrame, target_schema: T.StructType) -> tuple[DataFrame, ColumnDiff]:
     """Rows of ``source`` shaped as the evolved target: target columns in target order (cast to
     the target type, NULL when missing) followed by new columns as STRING."""
@@ -82,20 +62,3 @@ def evolve(source: DataFrame, target_schema: T.StructType) -> tuple[DataFrame, C
             sel.append(F.col(f"`{src}`").cast(f.dataType).alias(f.name))
     sel += [F.col(f"`{c}`").cast("string").alias(c) for c in diff.new]
     return source.select(*sel), diff
-
-
-def pair_by_position(tables: DataFrame, sheets: DataFrame) -> DataFrame:
-    """i-th sheet ↔ i-th table. ``tables(position, table)``, ``sheets(position, sheet)`` →
-    one row per table: ``table, sheet, skipped, skip_reason``; surplus sheets are dropped.
-
-    A positional left join: both sides are numbered in ``position`` order with the scalable
-    row index (range-partitioned sort, no single-partition window) and joined on it."""
-    from reportlake.operators.joins import row_index
-
-    n_sheets, n_tables = sheets.count(), tables.count()
-    t = row_index(tables.select("position", "table"), ["position"], "i")
-    s = row_index(sheets.select("position", "sheet"), ["position"], "i").select("i", "sheet")
-    j = t.join(s, "i", "left")
-    reason = F.lit(f"the new file has {n_sheets} sheets, fewer than the {n_tables} target tables; skipped")
-    return j.select("table", "sheet", F.col("sheet").isNull().alias("skipped"),
-                    F.when(F.col("sheet").isNull(), reason).alias("skip_reason"))

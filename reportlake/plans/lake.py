@@ -10,6 +10,7 @@ only metadata store. Row data only ever moves through Spark jobs.
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -51,14 +52,15 @@ def _path_hash(path: str) -> str:
     return xxhash.xxh3_128_hexdigest(path.encode())
 
 
-def physical_name(path: str, position: int) -> str:
-    """Reproducible table name ``t_<128-bit hash of the path>_<sheet position>``: the tables of
-    one upload share a name prefix, so they are found by one catalog lookup."""
-    return f"t_{_path_hash(path)}_{position}"
+def physical_name(source_id: str, position: int) -> str:
+    """Table name ``t_<source>_<sheet position>``: the tables of one upload share a name prefix, so they are
+    found by one catalog lookup."""
+    return f"t_{source_id[2:]}_{position}"
 
 
-def source_id_of(path: str) -> str:
-    return "s_" + _path_hash(path)
+def source_id_of(path: str, upload: int = 1) -> str:
+    """``s_<128-bit hash of the path>``; later uploads of the same path add ``u<number>``."""
+    return "s_" + _path_hash(path) + (f"u{upload}" if upload > 1 else "")
 
 
 def display_name_of(file_name: str) -> str:
@@ -77,6 +79,7 @@ class Lake:
         self.spark = configure(spark)
         self.db = database
         loc = location or scratch_dir(spark, f"lake-{database}")
+        self._lock, self._given = threading.Lock(), {}  # uploads per path that this lake has named
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{_esc(loc)}'")
 
     # ---- names and lookups ---------------------------------------------------------------------
@@ -110,9 +113,23 @@ class Lake:
                                  int(p.get("position", "0"))))
         return sorted(out, key=lambda t: (t.source_id, t.position))
 
+    def new_source_id(self, path: str) -> str:
+        """Every upload is a source of its own, also when a path is loaded again."""
+        stem = "t_" + _path_hash(path)
+        with self._lock:
+            taken = [self._given.get(path, 0)]
+            for t in self.spark.catalog.listTables(self.db, pattern=f"{stem}*"):
+                upload = t.name[len(stem):].split("_")[0]
+                taken.append(int(upload[1:]) if upload else 1)
+            self._given[path] = 1 + max(taken)
+            return source_id_of(path, self._given[path])
+
     # ---- ingest ---------------------------------------------------------------------------------
     def _write_table(self, df: DataFrame, physical: str, props: dict[str, str],
-                     partition_by: Sequence[str] | None = None) -> None:
+                     partition_by: Sequence[str] | None = None) -> int:
+        """Write a new table; returns its rows, counted while writing."""
+        written = Observation()
+        df = df.observe(written, F.count(F.lit(1)).alias("rows"))
         w = df.write.format("parquet").mode("errorifexists")
         cols = [c for c in (partition_by or []) if c in df.columns]
         if cols:  # e.g. a date column: reports filtering on it read only matching directories
@@ -121,40 +138,48 @@ class Lake:
         kv = ", ".join(f"'{P}{k}'='{_esc(str(v))}'" for k, v in props.items())
         self.spark.sql(f"ALTER TABLE {self.qualified(physical)} SET TBLPROPERTIES ({kv})")
         self.analyze(physical)
+        return int(written.get["rows"])
 
     def analyze(self, physical: str) -> None:
-        """Record row count and size in the catalog so join planning (broadcast threshold,
-        cost-based join order) sees the table's real size."""
-        self.spark.sql(f"ANALYZE TABLE {self.qualified(physical)} COMPUTE STATISTICS")
+        """Record the table's size in the catalog, where join planning (broadcast threshold) looks; NOSCAN lists
+        files and reads none, so an append doesn't grow with the table."""
+        self.spark.sql(f"ANALYZE TABLE {self.qualified(physical)} COMPUTE STATISTICS NOSCAN")
 
-    def _sheets(self, path: str, file_type: str) -> list[tuple[str | None, DataFrame]]:
+    def _sheets(self, path: str, file_type: str, rejected: list[int]) -> list[tuple[str | None, DataFrame]]:
         if file_type == "csv":
-            return [(None, csv_src.read_csv(self.spark, path))]
+            return [(None, csv_src.read_csv(self.spark, path, rejected=rejected))]
         from reportlake.sources.workbook import read_workbook
 
         return read_workbook(self.spark, path)
 
     def ingest_file(self, path: str, file_type: str, file_size: int = -1,
                     sheets: list[tuple[str | None, DataFrame]] | None = None,
-                    partition_by: Sequence[str] | None = None) -> list[dict]:
-        """Load one file; all its tables appear, or none do (tables made so far are dropped)."""
+                    partition_by: Sequence[str] | None = None, bad_cells: list[int] | None = None) -> list[dict]:
+        """Load one file as a new source; all its tables appear, or none do (tables made so far are dropped).
+        Sheets without cells make no table and say so in their row."""
         name = path.rstrip("/").rsplit("/", 1)[-1]
-        sid = source_id_of(path)
+        sid = self.new_source_id(path)
         created, out = [], []
+        rejected: list[int] = []
         try:
-            for pos, (sheet, df) in enumerate(sheets if sheets is not None else self._sheets(path, file_type)):
-                phys = physical_name(path, pos)
+            if sheets is None:
+                sheets = self._sheets(path, file_type, rejected)
+            for pos, (sheet, df) in enumerate(sheets):
+                row = {"source_id": sid, "file_name": name, "file_type": file_type, "file_size": file_size, "sheet": sheet}
+                if not df.columns:
+                    out.append({**row, "rejected_reason": "no cells"})
+                    continue
+                phys = physical_name(sid, pos)
                 display = sheet if sheet is not None else display_name_of(name)
-                self._write_table(df, phys, {
+                created.append(phys)
+                rows = self._write_table(df, phys, {
                     "source_id": sid, "source_file": name, "source_type": file_type,
                     "source_size": file_size, "display": display, "sheet": sheet or "",
                     "position": pos, "created_at": _dt.datetime.now(_dt.timezone.utc).isoformat(),
                 }, partition_by)
-                created.append(phys)
-                t = self.table(phys)
-                out.append({"source_id": sid, "file_name": name, "file_type": file_type,
-                            "file_size": file_size, "physical_name": phys, "display_name": display,
-                            "sheet": sheet, "rows": t.count(), "n_columns": len(t.columns)})
+                out.append({**row, "physical_name": phys, "display_name": display, "rows": rows,
+                            "n_columns": len(df.columns), "bad_cells": bad_cells[pos] if bad_cells else None,
+                            "rejected_rows": rejected[0] if rejected else None})
         except Exception as exc:
             for phys in created:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(phys)}")
@@ -165,29 +190,41 @@ class Lake:
                parallel: int = 4) -> DataFrame:
         """Bulk load: each given path (a file, or a folder of parts such as Spark writes) is one
         upload, routed by the extension of its name. Returns the manifest: one row per table
-        made, plus one row per rejected upload with its reason.
+        made, plus one row per rejected upload or empty sheet with its reason; an upload that fails leaves the
+        others as they are.
 
         Up to ``parallel`` uploads are loaded at once from driver threads (Spark runs their jobs
         concurrently), so many small files do not queue behind each other's job overheads."""
         paths = [paths] if isinstance(paths, str) else list(paths)
         files = list_files(self.spark, paths).select("path", "file_size").collect()  # listing: metadata only
+        sizes = dict.fromkeys((_norm(p) for p in paths), 0)
+        for f in files:
+            at = _norm(f["path"])
+            while at and at not in sizes:  # the upload is the file or one of the folders above it
+                at = at.rpartition("/")[0]
+            if at:
+                sizes[at] += f["file_size"]
         excel = [p for p in paths if route_name(_norm(p).rsplit("/", 1)[-1])[0] == "excel"]
-        books = {}
+        books, bad, failed = {}, {}, {}
         if excel:  # all workbooks parsed by one job, keyed by normalised path
             from reportlake.sources.workbook import read_workbooks
 
-            books = {_norm(k): v for k, v in read_workbooks(self.spark, excel).items()}
+            found = read_workbooks(self.spark, excel)
+            books, bad, failed = ({_norm(k): v for k, v in part.items()}
+                                  for part in (found.sheets, found.bad_cells, found.failures))
+
         def load(p: str) -> list[dict]:
             root = _norm(p)
-            size = sum(f["file_size"] for f in files if _norm(f["path"]) == root or _norm(f["path"]).startswith(root + "/"))
             name = root.rsplit("/", 1)[-1]
             ftype, reason = route_name(name)
-            if ftype is None:
-                return [{"source_id": None, "file_name": name, "file_type": None, "file_size": size,
-                         "physical_name": None, "display_name": None, "sheet": None, "rows": None,
-                         "n_columns": None, "rejected_reason": reason}]
-            made = self.ingest_file(p, ftype, size, books.get(root) if ftype == "excel" else None, partition_by)
-            return [{**r, "rejected_reason": None} for r in made]
+            if ftype is not None and root not in failed:
+                try:
+                    return self.ingest_file(p, ftype, sizes[root], books.get(root) if ftype == "excel" else None,
+                                            partition_by, bad.get(root))
+                except LakeError as exc:
+                    reason = str(exc)
+            return [{"file_name": name, "file_type": ftype, "file_size": sizes[root],
+                     "rejected_reason": failed.get(root, reason)}]
 
         if parallel > 1 and len(paths) > 1:
             from concurrent.futures import ThreadPoolExecutor
@@ -206,35 +243,43 @@ class Lake:
 
     # ---- append ---------------------------------------------------------------------------------
     def append(self, source_id: str, path: str, file_type: str | None = None,
-               skip: set[str] | None = None, on_table_done=None) -> DataFrame:
+               skip: set[str] | None = None, on_table_done=None,
+               sheets: list[tuple[str | None, DataFrame]] | None = None) -> DataFrame:
         """Append a new file to the tables of a source, pairing sheets with tables by position.
 
         Each paired table: the new rows are shaped to the evolved schema (target types, new
         columns as STRING). When a column changes type, those casts run first in a pass that
         writes nothing, so a bad value fails the append before anything changes; then the new
         columns are added and the rows inserted. Old data is never rewritten: the cost is
-        O(new rows). ``skip`` names tables to leave out (a replayed stream batch);
+        O(new rows). Rows with surplus fields stop the append. ``sheets`` gives the new rows directly. ``skip`` names tables to leave out (a replayed stream batch);
         ``on_table_done(physical)`` is called after each table's insert.
         """
         targets = self.table_infos(source_id)
         if not targets:
             raise LakeError(f"source {source_id} has no tables to append to")
-        if file_type is None:
+        if file_type is None and sheets is None:
             name = _norm(path).rsplit("/", 1)[-1]
             file_type, problem = route_name(name) if "." in name else ("csv", None)  # a folder of CSV parts
             if file_type not in ("csv", "excel"):
                 raise LakeError(f"cannot append {path}: {problem or 'file type not supported'}")
-        sheets = self._sheets(path, file_type)
+        rejected: list[int] = []
+        if sheets is None:
+            sheets = self._sheets(path, file_type, rejected)
+        if any(rejected):
+            raise LakeError(f"append of {path} failed, nothing changed: {rejected[0]} rows have surplus fields")
+        # by the sheet's place at load: an empty sheet made no table but keeps its place
+        own_place = len({t.position for t in targets}) == len(targets)
+        place = {t.physical_name: t.position if own_place else i for i, t in enumerate(targets)}
         # every table's new rows are shaped and their casts tried before any table changes
-        ready = {t.physical_name: self._prepare(t.physical_name, sheets[i][1]) for i, t in enumerate(targets)
-                 if i < len(sheets) and not (skip and t.physical_name in skip)}
+        ready = {t.physical_name: self._prepare(t.physical_name, sheets[place[t.physical_name]][1]) for t in targets
+                 if place[t.physical_name] < len(sheets) and not (skip and t.physical_name in skip)}
         reports = []
-        for i, info in enumerate(targets):
+        for info in targets:
             before = self.table(info.physical_name).count()
             if skip and info.physical_name in skip:
                 reports.append((info.physical_name, before, 0, before, [], [], [], True, "already applied"))
                 continue
-            if i >= len(sheets):
+            if place[info.physical_name] >= len(sheets):
                 reports.append((info.physical_name, before, 0, before, [], [], [], True,
                                 f"the new file has {len(sheets)} sheets, fewer than the "
                                 f"{len(targets)} target tables; skipped"))
@@ -352,6 +397,7 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("physical_name", T.StringType()), T.StructField("display_name", T.StringType()),
     T.StructField("sheet", T.StringType()), T.StructField("rows", T.LongType()),
     T.StructField("n_columns", T.LongType()), T.StructField("rejected_reason", T.StringType()),
+    T.StructField("rejected_rows", T.LongType()), T.StructField("bad_cells", T.LongType()),
 ])
 
 

@@ -21,7 +21,7 @@ import io
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -257,22 +257,27 @@ def fit_mask(c: Column) -> Column:
     return F.when(c.isNotNull(), boolean + number + temporal + other)
 
 
-def detect_types(df: DataFrame) -> dict[str, str]:
+def detect_types(df: DataFrame, rejected: list[int] | None = None) -> dict[str, str]:
     """One pass over all rows → the narrowest type per text column.
 
     Rows are unpivoted to ``(column index, text)`` so ONE mask expression (the bitmask of
     ladder types a cell parses as) serves every column; ``bit_and`` per column index then
     keeps the types every non-empty cell fits, and the first one still set wins. Partial
     aggregation leaves one row per column per task before the shuffle, and the generated
-    code stays the same size however wide the file is.
+    code stays the same size however wide the file is. Rows with a ``__bad_record`` have no say; their number is
+    added to ``rejected``.
     """
-    if not df.columns:
+    names = [n for n in df.columns if n != _BAD]
+    if not names:
         return {}
-    cells = df.select(F.posexplode(F.array(*[F.col(f"`{n}`") for n in df.columns])).alias("i", "v"))
+    bad = F.col(_BAD) if _BAD in df.columns else F.lit(None).cast("string")
+    cells = df.select(F.posexplode(F.array(*[F.when(bad.isNull(), F.col(f"`{n}`")) for n in names], bad)).alias("i", "v"))
     stats = cells.groupBy("i").agg(F.count("v").alias("n"), F.bit_and(fit_mask(F.col("v"))).alias("m")).collect()
     by_i = {r["i"]: r for r in stats}
+    if rejected is not None:
+        rejected.append(by_i[len(names)]["n"] if len(names) in by_i else 0)
     out = {}
-    for i, name in enumerate(df.columns):
+    for i, name in enumerate(names):
         chosen = "string"
         r = by_i.get(i)
         if r is not None and r["n"]:
@@ -341,18 +346,16 @@ def _all_text(spark: SparkSession, path, dialect: Dialect | None) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path, dialect: Dialect | None = None, types: dict[str, str] | None = None,
-             rejected: Observation | None = None) -> DataFrame:
+             rejected: list[int] | None = None) -> DataFrame:
     """CSV/TXT file (or a directory of parts, matched by header names) → typed DataFrame.
 
-    Rows with surplus fields are left out; ``rejected``, if given, then holds their number as ``rows`` once the
-    result has been written, and ``csv_rejects`` gives their texts.
+    Rows with surplus fields are left out: their number, counted in the pass that finds the types, is added to
+    ``rejected``, and ``csv_rejects`` gives their texts.
     """
     rows = _all_text(spark, path, dialect)
-    names = [c for c in rows.columns if c != _BAD]
-    good = rows.where(F.col(_BAD).isNull())
-    found = types or detect_types(good.select(*[F.col(f"`{n}`") for n in names]))
-    if rejected is not None:
-        rows = rows.observe(rejected, F.count(_BAD).alias("rows"))
+    found = types or detect_types(rows, rejected)
+    if types and rejected is not None:
+        rejected.append(csv_rejects(spark, path, dialect).count())
     return lenient_cast(rows.where(F.col(_BAD).isNull()).drop(_BAD), found)
 
 

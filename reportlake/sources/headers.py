@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,19 +20,6 @@ def sanitize_header(col: Column | str) -> Column:
         F.coalesce(F.nullif(cleaned, F.lit("")), F.lit(FALLBACK_NAME)))
 
 
-def sanitize_name(raw: str | None) -> str:
-    """Python twin of :func:`sanitize_header` for header lists handled on the driver."""
-    if raw is None:
-        return FALLBACK_NAME
-    t = raw.strip("".join(chr(i) for i in range(0x21)))
-    if not t:
-        return FALLBACK_NAME
-    t = re.sub(r"[^\w]", "_", t)
-    t = re.sub(r"_+", "_", t)
-    t = re.sub(r"^_|_$", "", t)
-    return t or FALLBACK_NAME
-
-
 def dedupe_names(names: list[str]) -> list[str]:
     """Make a header list unique, case-insensitively: ``a, a, A`` → ``a, a_1, A_2``."""
     seen: dict[str, int] = {}

@@ -85,16 +85,16 @@ def test_load_is_all_or_nothing(spark, lake, workdir, monkeypatch):
     real = type(lake)._write_table
     calls = []
 
-    def flaky(self, df, physical, props):
+    def flaky(self, df, physical, props, partition_by):
         calls.append(physical)
         if len(calls) == 2:
             raise RuntimeError("disk full")
-        return real(self, df, physical, props)
+        return real(self, df, physical, props, partition_by)
 
     before = set(lake.table_names())
     monkeypatch.setattr(type(lake), "_write_table", flaky)
-    with pytest.raises(LakeError):
-        lake.ingest([path])
+    (row,) = lake.ingest([path]).collect()
+    assert len(calls) == 2 and "disk full" in row["rejected_reason"] and row["rows"] is None
     assert set(lake.table_names()) == before  # the first sheet's table was dropped again
 
 
@@ -133,10 +133,35 @@ def test_append_changes_no_table_when_a_later_sheet_is_bad(lake, workdir, spark,
     targets = lake.table_infos(source) + lake.table_infos(other[0]["source_id"])
     monkeypatch.setattr(type(lake), "table_infos", lambda self, sid: targets)
     good, bad = spark.createDataFrame([("2",)], "id string"), spark.createDataFrame([("x",)], "id string")
-    monkeypatch.setattr(type(lake), "_sheets", lambda self, path, kind: [("a", good), ("b", bad)])
+    monkeypatch.setattr(type(lake), "_sheets", lambda self, path, kind, rejected: [("a", good), ("b", bad)])
     with pytest.raises(LakeError):
         lake.append(source, "any.xlsx")
     assert lake.table(infos[0]["physical_name"]).count() == 1
-    monkeypatch.setattr(type(lake), "_sheets", lambda self, path, kind: [("a", good), ("b", good)])
+    monkeypatch.setattr(type(lake), "_sheets", lambda self, path, kind, rejected: [("a", good), ("b", good)])
     report = lake.append(source, "any.xlsx").collect()
     assert [(r["rowsBefore"], r["rowsAppended"], r["rowsAfter"]) if "rowsBefore" in r else tuple(r)[1:4] for r in report] == [(1, 1, 2)] * 2
+
+
+def test_same_path_again_is_a_new_source(lake, workdir):
+    first, again = _load(lake, workdir), _load(lake, workdir, BASE + "3,c,30\n")
+    assert first["source_id"] != again["source_id"] and (first["rows"], again["rows"]) == (2, 3)
+    assert [t.physical_name for t in lake.table_infos(first["source_id"])] == [first["physical_name"]]
+    assert [t.physical_name for t in lake.table_infos(again["source_id"])] == [again["physical_name"]]
+    lake.append(again["source_id"], write(workdir, "m.csv", "id\n9\n")).collect()
+    assert lake.table(first["physical_name"]).count() == 2 and lake.table(again["physical_name"]).count() == 4
+
+
+def test_surplus_fields_are_counted_on_load_and_stop_an_append(lake, workdir):
+    info = _load(lake, workdir, BASE + "3,c,30,more\n")
+    assert (info["rows"], info["rejected_rows"]) == (2, 1)
+    with pytest.raises(LakeError):
+        lake.append(info["source_id"], write(workdir, "x.csv", "id,name\n1,a,b\n"))
+    assert lake.table(info["physical_name"]).count() == 2
+
+
+def test_empty_loads_and_appends(lake, workdir):
+    empty = lake.ingest_file(write(workdir, "none.csv", "id,name\n"), "csv")[0]
+    assert (empty["rows"], empty["rejected_rows"]) == (0, 0)
+    info = _load(lake, workdir)
+    rep = lake.append(info["source_id"], write(workdir, "head.csv", "id,name,amount\n")).first()
+    assert (rep["rowsBefore"], rep["rowsAppended"], rep["rowsAfter"]) == (2, 0, 2)
