@@ -116,7 +116,7 @@ def csv_surplus(spark, d):
     path = f"{scratch_dir(spark, 'upload')}/surplus.csv"
     head = spark.createDataFrame([("c_custkey,c_name,c_acctbal",)], "value string")
     head.unionByName(c.select(line.alias("value"))).coalesce(1).write.text(path)  # one file: header, then the rows
-    return csv_src.read_csv(spark, path).withColumn("rejected", F.lit(csv_src.csv_rejects(spark, path).count()))
+    return csv_src.read_csv(spark, path).withColumn("rejected", F.lit(csv_src.csv_rejects(spark, path).count()).cast("long"))
 
 
 @case("csv_multiline", """
@@ -414,12 +414,28 @@ def append_report(spark, d):
 
 
 # ---- D: maintenance ------------------------------------------------------------------------------
-@case("truncate_keep_schema", "SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, "
-                              "p_retailprice FROM part LIMIT 0")
+@case("truncate_keep_schema", """
+SELECT (SELECT count(*) FROM part) AS rows_before, CAST(0 AS BIGINT) AS rows_after,
+       (SELECT string_agg(column_name, ',' ORDER BY ordinal_position) FROM information_schema.columns
+        WHERE table_name = 'part') AS columns""")
 def truncate_keep_schema(spark, d):
     lake, info = _ingest_one(spark, t(spark, d, "part"), "part_trunc")
+    before = lake.table(info["physical_name"]).count()
     lake.truncate(info["source_id"], info["physical_name"])
-    return lake.table(info["physical_name"])
+    left = lake.table(info["physical_name"])
+    return left.agg(F.lit(before).cast("long").alias("rows_before"), F.count("*").alias("rows_after"),
+                    F.lit(",".join(left.columns)).alias("columns"))
+
+
+@case("drop_source", " UNION ALL ".join(
+    f"SELECT '{n}' AS display_name, count(*) AS rows FROM {n}" for n in ("orders", "part")))
+def drop_source(spark, d):
+    """Two sources; after one is dropped with all its tables only the other's are listed."""
+    lake = lk.Lake(spark, f"{CONF_DB}_{uuid.uuid4().hex[:8]}")
+    gone = lake.ingest_file("/reports/old.xlsx", "excel", sheets=[(n, t(spark, d, n)) for n in ("customer", "supplier")])
+    lake.ingest_file("/reports/new.xlsx", "excel", sheets=[(n, t(spark, d, n)) for n in ("orders", "part")])
+    lake.drop_source(gone[0]["source_id"])
+    return lake.listing().select("display_name", "rows")
 
 
 # ---- E: catalog / profile ------------------------------------------------------------------------
@@ -497,18 +513,29 @@ def catalog_page(spark, d):
     return gateway.page_of(t(spark, d, "orders").orderBy("o_orderkey"), page=3, size=25)
 
 
-_PROFILE_COLS = ["l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate"]
+_PROFILE_COLS = {"l_orderkey": "BIGINT", "l_partkey": "BIGINT", "l_suppkey": "BIGINT", "l_linenumber": "INTEGER",
+                 "l_quantity": "DOUBLE", "l_extendedprice": "DOUBLE", "l_discount": "DOUBLE", "l_tax": "DOUBLE",
+                 "l_returnflag": "VARCHAR", "l_linestatus": "VARCHAR", "l_shipdate": "TIMESTAMP"}
+_NUMBERS = ("BIGINT", "INTEGER", "DOUBLE")
 
 
 @case("profile_table", " UNION ALL ".join(
-    f"""SELECT '{c}' AS column_name, count({c}) AS non_null, count(*) - count({c}) AS nulls,
+    f"""SELECT '{c}' AS column_name, '{typ}' AS column_type, count({c}) AS non_null, count(*) - count({c}) AS nulls,
+       round(100.0 * (count(*) - count({c})) / count(*), 2)::DOUBLE AS null_pct,
        CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value,
-       {"round(avg(" + c + "), 4)" if c not in ("l_returnflag", "l_shipdate") else "CAST(NULL AS DOUBLE)"} AS mean
-       FROM lineitem""" for c in _PROFILE_COLS))
+       {f"round(avg({c}), 2)" if typ in _NUMBERS else "CAST(NULL AS DOUBLE)"} AS mean,
+       {f"round(stddev_samp({c}), 2)" if typ in _NUMBERS else "CAST(NULL AS DOUBLE)"} AS std, true AS distinct_ok
+       FROM lineitem""" for c, typ in _PROFILE_COLS.items()))
 def profile_table(spark, d):
-    p = profile(t(spark, d, "lineitem").select(*_PROFILE_COLS))
-    # a floating mean depends on summation order in its last bits: compared at 4 decimals
-    return p.select("column_name", "non_null", "nulls", "min_value", "max_value", F.round("mean", 4).alias("mean"))
+    lines = t(spark, d, "lineitem")
+    p = profile(lines)
+    # means depend on the order of summation in their last bits; the sketch is held against exact counts
+    exact = lines.agg(F.array(*[F.struct(F.lit(c).alias("column_name"), F.countDistinct(c).alias("n"))
+                                for c in lines.columns]).alias("x")).select(F.explode("x").alias("x")).select("x.*")
+    return p.join(exact, "column_name").select(
+        "column_name", "column_type", "non_null", "nulls", F.col("null_pct").cast("double").alias("null_pct"),
+        "min_value", "max_value", F.round("mean", 2).alias("mean"), F.round("std", 2).alias("std"),
+        (F.abs(F.col("approx_distinct") - F.col("n")) <= 0.2 * F.col("n")).alias("distinct_ok"))
 
 
 # ---- F: gateway screening ------------------------------------------------------------------------

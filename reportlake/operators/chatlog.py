@@ -15,15 +15,18 @@ MESSAGE_SCHEMA = ("array<struct<role:string,content:string,"
 
 def session_titles(turns: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
     """Title = first ``TITLE_CHARS`` characters of the first user message of each session.
-    ``min_by`` is a hash aggregate: a huge session is reduced map-side."""
+    ``min_by`` is reduced map-side, so a huge session sends one row per task."""
     users = turns.where(F.col("role") == "user")
     return users.groupBy(conv).agg(F.substring(F.min_by("text", turn), 1, TITLE_CHARS).alias("title"))
 
 
 def session_index(turns: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
-    """One row per session, newest first: title, message count, last turn."""
-    stats = turns.groupBy(conv).agg(F.count("*").alias("n_messages"), F.max(turn).alias("last_turn"))
-    return stats.join(session_titles(turns, conv, turn), conv, "left").orderBy(F.desc(conv))
+    """One row per session, newest first: title, message count, last turn. One pass: the title comes from the
+    first user message."""
+    user = F.col("role") == "user"
+    title = F.substring(F.min_by(F.when(user, F.col("text")), F.when(user, F.col(turn))), 1, TITLE_CHARS)
+    return (turns.groupBy(conv).agg(F.count("*").alias("n_messages"), F.max(turn).alias("last_turn"), title.alias("title"))
+            .orderBy(F.desc(conv)))
 
 
 def transcript_rows(turns: DataFrame) -> DataFrame:

@@ -54,7 +54,7 @@ def preview_small(df: DataFrame, n: int = SMALL_PREVIEW_DEFAULT, order_by=None)
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """One pass over the table: per column non-null and null counts, min, max (as text),
+    """One pass over the table: per column non-null and null counts, share of nulls, min, max (as text),
     mean and standard deviation for numbers, approximate distinct count (HyperLogLog)."""
     aggs = []
     for f in df.schema.fields:
@@ -64,6 +64,8 @@ def profile(df: DataFrame) -> DataFrame:
         aggs.append(F.struct(
             F.lit(f.name).alias("column_name"), F.lit(sql_type_name(f.dataType)).alias("column_type"),
             F.count(c).alias("non_null"), (F.count(F.lit(1)) - F.count(c)).alias("nulls"),
+            F.when(F.count(F.lit(1)) > 0, F.round(100.0 * (F.count(F.lit(1)) - F.count(c)) / F.count(F.lit(1)), 2))
+            .alias("null_pct"),
             (F.min(c).cast("string") if comparable else F.lit(None).cast("string")).alias("min_value"),
             (F.max(c).cast("string") if comparable else F.lit(None).cast("string")).alias("max_value"),
             (F.round(F.avg(c), 6) if numeric else F.lit(None).cast("double")).alias("mean"),

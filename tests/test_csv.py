@@ -152,3 +152,10 @@ def test_records_over_many_splits(spark, workdir):
         assert _rows(C.read_csv(spark, path)) == rows
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_export_of_repeated_labels(spark, workdir):
+    df = spark.createDataFrame([(1, 2), (3, 4)], "a bigint, b bigint").toDF("a", "a")
+    assert sorted(r[0] for r in csv_lines(df).collect()) == ["1,2", "3,4"]
+    export_csv(df, f"{workdir}/dup", single_file=True)
+    assert _raw_lines(f"{workdir}/dup") == ["\ufeffa,a_1", "1,2", "3,4"]
