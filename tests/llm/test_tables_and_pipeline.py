@@ -88,6 +88,27 @@ def test_near_vectors_recall_with_a_dense_group(spark):
     assert all(got[i] <= true[i] for i in got) and sum(got.values()) >= 0.99 * true.sum() and audit["recall"][-1] >= 0.99
 
 
+@pytest.mark.parametrize("links,rounds", [(300, 6), (20, 6), (20, 1)])
+def test_near_vectors_finds_every_lone_pair(spark, monkeypatch, links, rounds):
+    """Few pairs just over the threshold in a large label: by whole comparison, by the graph, by the last resort."""
+    for name, value in (("CELL", 16), ("BLOCK", 64), ("LARGE_BLOCK", 64), ("WHOLE", 1), ("LINKS", links), ("ROUNDS", rounds)):
+        monkeypatch.setattr(nndescent, name, value, raising=False)
+    rng = np.random.RandomState(4)
+    x = rng.randn(2000, 64)
+    side = rng.randn(40, 64)
+    for i in range(40):
+        side[i] -= side[i] @ x[i] / (x[i] @ x[i]) * x[i]
+        x[1000 + i] = x[i] / np.linalg.norm(x[i]) + 0.39 * side[i] / np.linalg.norm(side[i])
+    u = x.astype(np.float32).astype(np.float64)
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    near = u @ u.T >= 0.93
+    audit = {}
+    d = vectors(spark, [(i, r.tolist(), 1, 0, 0, "") for i, r in enumerate(x)]).repartition(4)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in nndescent.near_vectors(d, 0.93, audit=audit).collect()}
+    assert near.sum() == 2000 + 2 * 40 and got == {i: (int(near[i].sum()) - 1, int(np.flatnonzero(near[i])[0])) for i in got}
+    assert (links, rounds) == (20, 6) or audit["compared_whole"] == 1
+
+
 def test_warc_round_trip(spark):
     big = "é<html>\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n" + "z" * 1200
     rows = [(1, "http://a", big), (2, "http://b\r\nX: y", big), (3, None, "small"), (4, "u", "small"), (5, "u", None), (None, "n", big),
