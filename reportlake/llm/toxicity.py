@@ -7,8 +7,9 @@ silence the entries inside them. A document scores x / (x + tau), x being the we
 logarithm of its length.
 
 Entries, exceptions and tau are learned from a bounded sample of labelled rows (``SAMPLE_DOCS``) by
-sequential covering: an entry stays only if it explains toxic documents that no stronger entry explains,
-so words that merely occur in many copies of one toxic text don't enter.
+sequential covering: an entry stays only if it explains toxic documents that no stronger entry explains.
+Texts that fold alike are one document of the fit, however many copies there are, and every term that is
+precise enough is weighed.
 
 Nulls and ties: null and empty texts score 0; null labels teach nothing; several labels of one document
 count as toxic if one says so; without labels every score is 0; extra columns are ignored.
@@ -16,21 +17,24 @@ count as toxic if one says so; without labels every score is 0; extra columns ar
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections import Counter
 from dataclasses import dataclass, field
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reportlake.llm.common import documents, ready, stored
 
-#: Bounds of the fit: labelled documents looked at, candidate entries weighed, toxic documents an entry must add
-#: (a number and a share of them; one is enough for an entry found in the common share).
-SAMPLE_DOCS, CANDIDATES, MIN_ADDED, MIN_SHARE, COMMON_SHARE = 20_000, 5_000, 3, 0.005, 0.1
+#: Bounds of the fit: labelled documents looked at, distinct toxic texts an entry must add (one is enough for an
+#: entry found in the common share).
+SAMPLE_DOCS, MIN_ADDED, COMMON_SHARE = 20_000, 3, 0.1
 #: Letters of a word-start entry; least share of toxic documents among those with an entry, were both labels
 #: equally frequent.
 STEM_LETTERS, MIN_PRECISION = (4, 5, 6, 7, 8), 0.98
@@ -115,6 +119,13 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def _fold_keys(batches):
+    for b in batches:
+        keys = [xxhash.xxh3_128_digest(fold(x).encode("utf-8", "surrogatepass")) for x in b.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.binary())],
+                                         names=["text", "toxic", "key"])
+
+
 def _count_words(batches):
     """Documents of either label that hold a folded word, added up within the task."""
     toxic, clean = Counter(), Counter()
@@ -135,6 +146,12 @@ def _count_words(batches):
     yield out()
 
 
+def _terms(stem_if):
+    """" word " and the stems " wor" of a word; those of k letters are null unless ``stem_if(k)``."""
+    return F.array(F.concat(F.lit(" "), "word", F.lit(" ")),
+                   *[F.when(stem_if(k), F.concat(F.lit(" "), F.substring("word", 1, k))) for k in STEM_LETTERS])
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS,
           exceptions: tuple[str, ...] = ()) -> Lexicon:
     """Lexicon from the labelled documents that are not held out (``labels``: doc_id, toxic).
@@ -147,7 +164,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS,
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs))
     sample = stored(sample.select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic")), "labels")
     # bounded by sample_docs rows of two numbers
-    rows = stored(documents(docs).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic"), "labelled")
+    rows = documents(docs).join(F.broadcast(sample), "doc_id").select("text", "toxic")
+    rows = stored(rows.mapInArrow(_fold_keys, "text string, toxic int, key binary").groupBy("key")
+                  .agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic"), "labelled")
     size = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = size.get(1, 0), size.get(0, 0)
     if not n_toxic:
@@ -156,34 +175,34 @@ def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS,
     words = (rows.select("text", "toxic").mapInArrow(_count_words, "word string, toxic long, clean long")
              .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
     words = stored(words, "words")
-    stems = F.array(F.concat(F.lit(" "), "word", F.lit(" ")),
-                    *[F.when(F.length("word") > k, F.concat(F.lit(" "), F.substring("word", 1, k)))
-                      for k in STEM_LETTERS])
+    stems = _terms(lambda k: F.length("word") > k)
     terms = (words.filter("toxic > 0 OR clean > 0").select(F.explode(stems).alias("term"), "toxic", "clean")
              .filter("term IS NOT NULL").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
     share = n_clean / n_toxic if n_clean else 1.0  # precision as if both labels were equally frequent
     precise = F.col("toxic") * share / (F.col("toxic") * share + F.col("clean"))
-    chosen = (terms.filter((F.col("toxic") >= MIN_ADDED) & (precise >= MIN_PRECISION))
-              .orderBy(F.desc("toxic"), "clean", F.length("term"), "term").limit(CANDIDATES).collect())
-    weight = {r["term"]: math.log((r["toxic"] + .5) / (n_toxic + 1)) - math.log((r["clean"] + .5) / (n_clean + 1))
-              for r in chosen}
+    # bounded by the sample
+    chosen = terms.filter((F.col("toxic") >= MIN_ADDED) & (precise >= MIN_PRECISION)).toArrow()
+    weight = {t: math.log((toxic + .5) / (n_toxic + 1)) - math.log((clean + .5) / (n_clean + 1)) for t, toxic, clean in
+              zip(*(chosen.column(c).to_pylist() for c in ("term", "toxic", "clean")))}
     entries = _cover(rows, weight)
     if not entries:
         return Lexicon()
     # words that begin like an entry, yet are found more in clean documents
-    starts = F.lit(False)
-    for term in entries:
-        starts = starts | F.concat(F.lit(" "), "word", F.lit(" ")).startswith(term)
+    begun = docs.sparkSession.createDataFrame([(t,) for t in entries], "term string")
     benign = [f" {r['word']} " for r in
-              words.filter(starts & (F.col("clean") > F.col("toxic") * share)).select("word").collect()]
+              words.filter(F.col("clean") > F.col("toxic") * share)
+              .select("word", F.explode(_terms(lambda k: F.length("word") >= k)).alias("term"))
+              .join(F.broadcast(begun), "term", "left_semi").select("word").distinct().collect()]
     lexicon = Lexicon(entries, tuple(sorted({fold(x) for x in exceptions} | set(benign))))
     lexicon.tau = _threshold(rows, lexicon)
     return lexicon
 
 
 def _cover(rows: DataFrame, weight: dict[str, float]) -> dict[str, float]:
-    """Greedy covering of the sample's toxic documents; their candidate lists are bounded by the sample."""
-    terms = list(weight)
+    """Greedy covering of the sample's toxic documents; their candidate lists are bounded by the sample.
+
+    What a term adds only falls, so the best one is found on a heap of earlier values."""
+    terms = sorted(weight)
     number = {t: i for i, t in enumerate(terms)}
     if not terms:
         return {}
@@ -195,26 +214,34 @@ def _cover(rows: DataFrame, weight: dict[str, float]) -> dict[str, float]:
         machine.make_automaton()
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [pa.array([sorted({i for _, i in machine.iter(fold(x))}) for x in b.column(0).to_pylist()],
-                          pa.list_(pa.int32()))], names=["terms"])
-
-    held = [set(r["terms"]) for r in
-            rows.filter("toxic = 1").select("text").mapInArrow(present, "terms array<int>").collect()]
-    docs_of: dict[int, set[int]] = {}
-    for d, ts in enumerate(held):
-        for t in ts:
-            docs_of.setdefault(t, set()).add(d)
-    entries, open_docs, least = {}, set(range(len(held))), max(MIN_ADDED, MIN_SHARE * len(held))
-    while docs_of:
-        best = max(docs_of, key=lambda t: (len(docs_of[t] & open_docs) * weight[terms[t]], -len(terms[t]), terms[t]))
-        common = len(docs_of[best]) >= COMMON_SHARE * len(held)
-        gain = docs_of.pop(best) & open_docs
-        if not gain:
-            break
-        if len(gain) < least and not common:
+                [pa.array([np.unique([i for _, i in machine.iter(fold(x))]).astype(np.int32).tobytes()
+                           for x in b.column(0).to_pylist()], pa.binary())], names=["terms"])
+
+    held = [np.frombuffer(r["terms"], np.int32) for r in
+            rows.filter("toxic = 1").select("text").mapInArrow(present, "terms binary").collect()]
+    of_term = np.concatenate(held)
+    of_doc = np.repeat(np.arange(len(held), dtype=np.int32), [len(h) for h in held])[np.argsort(of_term, kind="stable")]
+    at = np.concatenate(([0], np.cumsum(np.bincount(of_term, minlength=len(terms)))))
+    is_open = np.ones(len(held), bool)
+
+    def rank(t, gain):  # the most first, then the shorter term
+        return -gain * weight[terms[t]], len(terms[t]), -t, gain
+
+    entries = {}
+    heap = [rank(t, int(at[t + 1] - at[t])) for t in range(len(terms)) if at[t + 1] > at[t]]
+    heapq.heapify(heap)
+    while heap:
+        _, _, t, gain = heapq.heappop(heap)
+        docs = of_doc[at[-t]: at[1 - t]]
+        now = int(is_open[docs].sum())
+        if now < gain:
+            if now:
+                heapq.heappush(heap, rank(-t, now))
+            continue
+        if gain < MIN_ADDED and len(docs) < COMMON_SHARE * len(held):
             continue
-        entries[terms[best]] = weight[terms[best]]
-        open_docs -= gain
+        entries[terms[-t]] = weight[terms[-t]]
+        is_open[docs] = False
     return entries
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import string
 import re
 import sys
 import zlib
@@ -280,6 +281,24 @@ def test_toxicity_folding_and_exceptions(spark, awkward, nothing):
     assert toxicity.score(nothing, lexicon).count() == 0
 
 
+@pytest.mark.parametrize("copies,tail", [(300, 60), (0, 300)])
+def test_toxicity_learns_every_toxic_word(spark, copies, tail):
+    """Copies of one long toxic text, or a long tail of rare toxic words, hide no other toxic word."""
+    rng = random.Random(8)
+    usual = ["".join(rng.choices(string.ascii_lowercase, k=6)) for _ in range(150)]
+    bad = ["".join(rng.choices(string.ascii_lowercase, k=10)) for _ in range(tail)]
+    long = " ".join("".join(rng.choices(string.ascii_lowercase, k=10)) for _ in range(1000))
+    plain = lambda *more: " ".join([*rng.choices(usual, k=20), *more])
+    texts = [(long.upper() if i % 2 else long, 1) for i in range(copies)]
+    texts += [(plain(w), 1) for w in bad for _ in range(4)] + [(plain(), 0) for _ in range(1500)]
+    ids = (i for i in itertools.count() if zlib.crc32(str(i).encode()) % 5)
+    rows = [(i, t, y) for i, (t, y) in zip(ids, texts)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(5)
+    m = toxicity.learn(d.select("doc_id", "text"), d.select("doc_id", "toxic")).matcher()
+    assert [w for w in bad if m.score(plain(w)) < 0.5] == []
+    assert sum(m.score(plain()) >= 0.5 for _ in range(200)) == 0
+
+
 # --- op9 ---------------------------------------------------------------------------------------------------
 
 def test_near_duplicates_equal_brute_force(spark):
