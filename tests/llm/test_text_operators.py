@@ -330,6 +330,25 @@ def test_near_duplicates_equal_brute_force(spark):
     assert all(r["n_shingles"] == len(sets[i]) and r["kept"] == (r["component_id"] == i) for i, r in got.items())
 
 
+def test_near_duplicates_paths_at_the_threshold(spark):
+    """Pairs that agree in four of five tokens, all frequent, stay together for eight levels of a tree."""
+    rng, n = random.Random(6), 3000
+    rows = [(i, [rng.random() < 0.8 for _ in range(nearset.COORDINATES)]) for i in range(n)]
+    pairs = spark.createDataFrame([(i, t, eq) for i, eq in rows for t in range(nearset.TREES)],
+                                  "pair int, tree int, equal array<boolean>")
+    # each pair has tokens of its own, so nodes of its own
+    level = pairs.withColumn("node", F.col("pair").cast("long")).withColumn("used", F.lit(0).cast("long"))
+    for depth in range(8):
+        step = level.withColumn("c", F.explode(nearset._choices(depth)))
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("c"))
+        if depth == 7:
+            assert step.filter(F.col("used").bitwiseAND(bit) != 0).isEmpty()  # none twice on a path
+        level = (step.filter(F.get("equal", F.col("tree") * nearset.POOL + F.col("c")))
+                 .select("pair", "tree", "equal", F.xxhash64("node", "tree", "c").alias("node"),
+                         F.col("used").bitwiseOR(bit).alias("used")))
+    assert level.select("pair").distinct().count() >= 0.998 * n  # one choice for all nodes of a level: 0.954
+
+
 def test_near_duplicates_awkward(awkward, nothing):
     got = nearset.near_duplicates(awkward, 4, 80).collect()
     by = {r["doc_id"]: r for r in got}
