@@ -1,4 +1,4 @@
-"""The ten operators as queries over whole tables, with production parameters, and their SQL where there is any."""
+"""The operators as queries over whole tables, with production parameters, and their SQL where there is any."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportlake.llm import bpe, licenses, nearset, nndescent, packing, pii, tokencount, topk, toxicity, warc
+from reportlake.llm import align, bpe, imatch, importance, licenses, nearset, nndescent, packing, pii, tokencount, topk, toxicity, warc
 from reportlake.llm.common import ready
 from reportlake.session import scratch_dir
 
@@ -75,9 +75,23 @@ def op10_warc(spark, sf_dir):
     return warc.read(spark, path).drop("url")
 
 
+def op11_importance_resampling(spark, sf_dir):
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_imatch_fingerprints(spark, sf_dir):
+    return imatch.fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark, sf_dir):
+    return align.score_links(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.path("piece_bpe_32k.model"), BYTE_PATTERN, BYTE_PATTERN_ASCII)
+
+
 def queries():
     return {f.__name__: f for f in (op1_voronoi_topk, op2_packing, op3_license_scan, op4_nn_descent, op5_pii, op6_bpe,
-                                    op7_token_counts, op8_toxicity, op9_near_duplicates, op10_warc)}
+                                    op7_token_counts, op8_toxicity, op9_near_duplicates, op10_warc,
+                                    op11_importance_resampling, op12_imatch_fingerprints, op13_token_alignment)}
 
 
 _USABLE = "{x} IS NOT NULL AND len(list_filter({x}, lambda a: a IS NULL OR NOT isfinite(a))) = 0"
@@ -128,6 +142,29 @@ ORACLE_SQL = {
         SELECT page_id, payload_bytes, payload_digest,
                CASE WHEN original <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN original <> page_id THEN original END AS refers_to FROM o""",
+    "op11_importance_resampling": r"""
+        WITH RECURSIVE crc(b, c, k) AS (SELECT b, b, 0 FROM range(256) r(b) UNION ALL
+                    SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc WHERE k < 8),
+             step AS (SELECT list(c ORDER BY b) AS t FROM crc WHERE k = 8),
+             texts AS (SELECT 0 AS side, doc_id AS id, text FROM documents UNION ALL SELECT 1, row_number() OVER (), text FROM benchmark),
+             w AS (SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+             g AS (SELECT side, id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: concat_ws(' ', w[i], w[i + 1])),
+                            list_transform(range(1, len(w) - 1), lambda i: concat_ws(' ', w[i], w[i + 1], w[i + 2])))) AS f FROM w),
+             f AS (SELECT side, id, f, count(*) AS n FROM g GROUP BY ALL),
+             d AS (SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM f)),
+             h AS (SELECT f, xor(list_reduce(list_transform(range(0, len(x) // 2), lambda i: CAST(concat('0x', substr(x, 2 * i + 1, 2)) AS BIGINT)),
+                            lambda c, y: xor(t[(xor(c, y) & 255) + 1], c >> 8), 4294967295), 4294967295) % 10000 AS bucket FROM d, step),
+             m AS (SELECT bucket, sum(n) FILTER (side = 0) AS s, sum(n) FILTER (side = 1) AS t FROM f JOIN h USING (f) GROUP BY bucket),
+             gain AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+                            / ((coalesce(s, 0) + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM m),
+             x AS (SELECT id, sum(n) AS n_features, sum(n * gain) AS weight FROM f JOIN h USING (f) JOIN gain USING (bucket) WHERE side = 0 GROUP BY id),
+             y AS (SELECT w.id AS doc_id, len(w.w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+                          CAST(concat('0x', substr(sha256(concat('42:', w.id)), 1, 8)) AS BIGINT)::DOUBLE AS h
+                   FROM w LEFT JOIN x ON x.id = w.id WHERE side = 0),
+             z AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296)))::BIGINT AS score FROM y),
+             r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM z WHERE n_words >= 20)
+        SELECT z.doc_id, n_words::BIGINT AS n_words, n_features, weight, score, CASE WHEN rank <= 5 * n // 100 THEN rank END AS rank FROM z LEFT JOIN r ON r.doc_id = z.doc_id""",
 }
 
 

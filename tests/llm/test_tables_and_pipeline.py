@@ -17,7 +17,7 @@ from reportlake.session import scratch_dir
 @pytest.mark.parametrize("key", sorted(queries.ORACLE_SQL))
 def test_matches_sql(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = queries.queries()[key](spark, SF)
     names = sorted(df.columns)
