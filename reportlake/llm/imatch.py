@@ -30,8 +30,8 @@ from reportlake.operators.joins import row_index
 LEAST, MOST, TERMS = 0.001, 0.4, 500_000
 #: Sub-lexicons keep 1/16 ... 1/1024 of the lexicon's terms, ``SUBSETS`` of them each; hashes of a level that count at least.
 LEVELS, SUBSETS, LEAST_HASHES = (16, 64, 256, 1024), 16, 4
-#: Ids of a range.
-WIDTH = 256
+#: Ids of a range; most ranges whose first ids are sent to every task (24 bytes each), more are joined by a shuffle.
+WIDTH, BROADCAST_ROWS = 256, 500_000
 
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _INFO = 0  # stands for a document itself among the hashes of its terms
@@ -60,7 +60,10 @@ def in_sequence(docs: DataFrame) -> DataFrame:
     first = stored(row_index(first, ["doc_id"], "place"), "firsts")
     n = first.count()
     before = first.select(F.expr(f"pmod(place + 1, {max(n, 1)})").alias("place"), F.col("range").alias("before"))
-    copies = base.drop("range").join(first.drop("range").join(before, "place").drop("place"), ["doc_id", "h"])
+    leading = first.drop("range").join(before, "place").drop("place")
+    if n <= BROADCAST_ROWS:  # else Spark plans the join
+        leading = F.broadcast(leading)
+    copies = base.drop("range").join(leading, ["doc_id", "h"])
     rows = (base.select("range", F.lit(False).alias("copied"), "doc_id", "h", "text")
             .unionByName(copies.select(F.col("before").alias("range"), F.lit(True).alias("copied"), "doc_id", "h", "text")))
     w = Window.partitionBy("range").orderBy("copied", "doc_id", "h")
