@@ -19,8 +19,10 @@ tokens written in a text are plain text; an empty table gives an empty result; e
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +33,14 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from reportlake.llm.common import documents, ready, stored
-from reportlake.llm.pretokens import Kept
 
-#: Characters aligned at once, chunks a worker keeps and their length, most pairs that are broadcast.
-PART_CHARS, KEPT, KEPT_CHARS, HOT = 1 << 21, 300_000, 200, 400_000
+#: Characters aligned at once, chunks a worker keeps from batch to batch and their length, most pairs that are broadcast.
+PART_CHARS, KEPT, KEPT_CHARS, HOT = 1 << 21, 500_000, 200, 400_000
 
 _CUT = regex.compile(r"(?<=\S) ")  # no token of either side runs from a visible character into the space behind it
 _SPACED = re.compile(" +[^ ]*")
 _ODD = 0xFFFFFFFF
+_ODD_BYTES = b"\xff" * 4
 
 
 def byte_letters() -> dict[str, int]:
@@ -48,39 +50,54 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class _Chunks(Kept):
-    def __missing__(self, chunk):
-        return super().__missing__(chunk) if len(chunk) <= KEPT_CHARS else self.make(chunk)
-
-
 class Side:
-    """One tokenizer: how a text is cut into chunks, a chunk's ids, every id's bytes."""
+    """One tokenizer: how a text is cut into chunks, the ids of many chunks, every id's bytes."""
 
     def __init__(self, cut, encode, token_bytes: list[bytes]):
         self.cut, self.encode, self.token_bytes = cut, encode, token_bytes
         self.lengths = np.array([len(t) for t in token_bytes], np.int64)
-        self.kept = _Chunks(self._make, KEPT)
-
-    def _whole(self, text: str):
-        ids = self.encode(text)
-        return ids if b"".join(map(self.token_bytes.__getitem__, ids)) == text.encode() else None
-
-    def _make(self, chunk: str) -> bytes:
-        ids = self._whole(chunk)
-        return np.array([_ODD] if ids is None else ids, "<u4").tobytes()
-
-    def ids(self, text: str) -> np.ndarray | None:
-        """Ids of ``text``, which begins with a space; None if their bytes don't give it back."""
-        ids = np.frombuffer(b"".join(map(self.kept.__getitem__, self.cut(text))), "<u4")
-        if (ids == _ODD).any():
-            ids = self._whole(text)
-            return None if ids is None else np.array(ids, "<u4")
-        return ids
+        self.kept: dict[str, bytes] = {}
+
+    def _learn(self, chunks: list[str]):
+        found = self.encode(chunks)
+        ends = np.cumsum([len(ids) for ids in found])
+        ids = np.fromiter(chain.from_iterable(found), "<u4", ends[-1])
+        reached = np.append(0, np.cumsum(self.lengths[ids]))[ends]
+        alike = (b"".join(map(self.token_bytes.__getitem__, ids.tolist())) == "".join(chunks).encode()
+                 and np.array_equal(reached, np.cumsum([len(c.encode()) for c in chunks])))
+        data, start = ids.tobytes(), 0
+        for chunk, own, end in zip(chunks, found, (4 * ends).tolist()):
+            self.kept[chunk] = data[start: end] if alike or self._spells(own, chunk) else _ODD_BYTES
+            start = end
+
+    def _spells(self, ids: list[int], text: str) -> bool:
+        return b"".join(map(self.token_bytes.__getitem__, ids)) == text.encode()
+
+    def ids(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of texts that begin with a space; None where their bytes don't give the text back."""
+        cuts = [self.cut(t) for t in texts]
+        if len(self.kept) > KEPT:
+            self.kept.clear()
+        missing = list(set().union(*cuts).difference(self.kept))
+        if missing:
+            self._learn(missing)
+        out = []
+        for text, cut in zip(texts, cuts):
+            ids = np.frombuffer(b"".join(map(self.kept.__getitem__, cut)), "<u4")
+            if (ids == _ODD).any():
+                whole = self.encode([text])[0]
+                ids = np.array(whole, "<u4") if self._spells(whole, text) else None
+            out.append(ids)
+        for chunk in missing:
+            if len(chunk) > KEPT_CHARS:
+                del self.kept[chunk]
+        return out
 
 
 @lru_cache(maxsize=2)
 def sides(a_path: str, b_path: str, pattern: str, ascii_pattern: str) -> tuple[Side, Side, list[str]]:
     """Both tokenizers of a worker, and what a token looks like in a group's text, followed by each separator."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     a_lib = Tokenizer.from_file(a_path)
     a_lib.encode_special_tokens = True
     letters = byte_letters()
@@ -89,7 +106,7 @@ def sides(a_path: str, b_path: str, pattern: str, ascii_pattern: str) -> tuple[S
                for i in range(a_lib.get_vocab_size())]
     find, find_ascii = regex.compile(pattern).findall, re.compile(ascii_pattern).findall
     a = Side(lambda text: find_ascii(text) if text.isascii() else find(text),
-             lambda text: a_lib.encode(text, add_special_tokens=False).ids, a_bytes)
+             lambda texts: [e.ids for e in a_lib.encode_batch(texts, add_special_tokens=False)], a_bytes)
 
     b_lib = sentencepiece.SentencePieceProcessor(model_file=b_path)
     pieces = [b_lib.id_to_piece(i) for i in range(b_lib.get_piece_size())]
@@ -98,7 +115,7 @@ def sides(a_path: str, b_path: str, pattern: str, ascii_pattern: str) -> tuple[S
         cut = lambda text: [text]
     else:
         cut = _SPACED.findall
-    b = Side(cut, lambda text: b_lib.encode(text[1:], num_threads=1), b_bytes)
+    b = Side(cut, lambda texts: b_lib.encode([t[1:] for t in texts], num_threads=1), b_bytes)
     names = [f"{i}{end}" for n, ends in ((len(a_bytes), ",|"), (len(b_bytes), ",;")) for end in ends for i in range(n)]
     return a, b, names
 
@@ -151,9 +168,18 @@ class _Batch:
         self.a, self.b, self.names = a, b, names
         self.n_a, self.n_b, self.n_groups, self.n_links = (np.zeros(rows, np.int64) for _ in range(4))
         self.digest = [None] * rows
+        self.odd: set[int] = set()
         self.keys, self.times = [], []  # row and pair in one number, and how often the row links it
 
-    def add(self, rows: list[int], a_ids: list[np.ndarray], b_ids: list[np.ndarray]):
+    def add(self, rows: list[int], texts: list[str]):
+        coded = list(zip(rows, self.a.ids(texts), self.b.ids(texts)))
+        for row in {r for r, a_ids, b_ids in coded if a_ids is None or b_ids is None}:
+            self.odd.add(row)
+            self._drop(row)
+        coded = [c for c in coded if c[0] not in self.odd]
+        if not coded:
+            return
+        rows, a_ids, b_ids = map(list, zip(*coded))
         a_parts, b_parts = np.array([len(x) for x in a_ids]), np.array([len(x) for x in b_ids])
         a_all, b_all = np.concatenate(a_ids).astype(np.int64), np.concatenate(b_ids).astype(np.int64)
         a_group, b_group, lo, hi = coalesce(self.a.lengths[a_all], self.b.lengths[b_all])
@@ -178,7 +204,7 @@ class _Batch:
             else:
                 self.digest[row].update(b";" + text)
 
-    def drop(self, row: int):
+    def _drop(self, row: int):
         """Take back what parts of a text have added before one of them turned out odd."""
         for total in (self.n_a, self.n_b, self.n_groups, self.n_links):
             total[row] = 0
@@ -212,21 +238,17 @@ def align(docs: DataFrame, a_path: str, b_path: str, pattern: str, ascii_pattern
         a, b, names = sides(a_path, b_path, pattern, ascii_pattern)
         for batch in batches:
             out = _Batch(a, b, names, batch.num_rows)
-            held, size = [], 0
+            rows, texts, size = [], [], 0
             for row, text in enumerate(batch.column(1).to_pylist()):
                 for part in parts(" " + text) if text else ():
-                    a_ids, b_ids = a.ids(part), b.ids(part)
-                    if a_ids is None or b_ids is None:
-                        held = [h for h in held if h[0] != row]
-                        out.drop(row)
-                        break
-                    held.append((row, a_ids, b_ids))
+                    rows.append(row)
+                    texts.append(part)
                     size += len(part)
                     if size >= PART_CHARS:
-                        out.add(*map(list, zip(*held)))
-                        held, size = [], 0
-            if held:
-                out.add(*map(list, zip(*held)))
+                        out.add(rows, texts)
+                        rows, texts, size = [], [], 0
+            if rows:
+                out.add(rows, texts)
             yield out.result(batch.column(0))
 
     return documents(docs, id_col, text_col).mapInArrow(
