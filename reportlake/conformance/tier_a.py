@@ -386,6 +386,53 @@ def append_pairing(spark, d):
                       "skipped", F.col("skipReason").alias("skip_reason"))
 
 
+@case("append_atomic", """
+SELECT 1 AS step, 'customer' AS display_name, count(*) AS rows, 5 AS n_columns FROM customer
+UNION ALL SELECT 1, 'supplier', count(*), 4 FROM supplier
+UNION ALL SELECT 2, 'customer', 2 * count(*), 6 FROM customer
+UNION ALL SELECT 2, 'supplier', 2 * count(*), 5 FROM supplier""")
+def append_atomic(spark, d):
+    """Step 1: the second sheet of an append fails while it is written; step 2: the same append with a whole second sheet."""
+    lake = _lake(spark)
+    sheets = [(n, t(spark, d, n)) for n in ("customer", "supplier")]
+    info = lake.ingest_file(f"{scratch_dir(spark, 'upload')}/pair.xlsx", "excel", sheets=sheets)
+    more = [(n, df.withColumn("origin", F.lit("second upload"))) for n, df in sheets]
+    last = more[1][1].agg(F.max("s_suppkey")).first()[0]
+    broken = more[1][1].withColumn("s_name", F.when(F.col("s_suppkey") < last, F.col("s_name")).otherwise(F.raise_error(F.lit("lost"))))
+    steps = []
+    for step, second in ((1, broken), (2, more[1][1])):
+        try:
+            lake.append(info[0]["source_id"], "pair2.xlsx", sheets=[more[0], ("supplier", second)])
+        except lk.LakeError:
+            if step == 2:
+                raise
+        for row in info:
+            now = lake.table(row["physical_name"])
+            steps.append((step, row["display_name"], now.count(), len(now.columns)))
+    return spark.createDataFrame(steps, "step int, display_name string, rows long, n_columns int")
+
+
+@case("append_replay", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       CASE WHEN o_orderstatus <> 'F' THEN 'later' END AS note FROM orders""")
+def append_replay(spark, d):
+    """A writer dies after its rows are written and before they are committed; the batch is replayed twice."""
+    class Dies(lk.Lake):
+        def _commit(self, source_id, batch, new_columns):
+            raise SystemError("killed before the commit")
+
+    o = t(spark, d, "orders")
+    lake, info = _ingest_one(spark, o.where(F.col("o_orderstatus") == "F"), "orders_replay")
+    rest = [(None, o.where(F.col("o_orderstatus") != "F").withColumn("note", F.lit("later")))]
+    try:
+        Dies(spark, lake.db).append(info["source_id"], "rest.csv", sheets=rest, batch="stream-0-0")
+    except SystemError:
+        pass
+    for _ in range(2):
+        lake.append(info["source_id"], "rest.csv", sheets=rest, batch="stream-0-0")
+    return lake.table(info["physical_name"])
+
+
 @case("append_report", """
 WITH c AS (SELECT o_orderstatus AS s, count(*) AS n FROM orders GROUP BY 1)
 SELECT 1 AS step, (SELECT n FROM c WHERE s = 'F') AS rows_before, (SELECT n FROM c WHERE s = 'O') AS rows_appended,

@@ -1,9 +1,11 @@
 """Managed report tables in the Spark catalog: ingest, append, truncate, drop, listing.
 
 Every uploaded file is a *source*; a CSV gives one table, a workbook one table per
-sheet. Tables are managed Parquet tables in one catalog database; what the reference
+sheet. The rows of a table lie in a managed Parquet table partitioned by batch (``r_...``), and users read it through a view of
+the table's name (``t_...``) that lists its columns and, once something was appended, keeps the batches in the commit
+log (``plans/commits.py``); so all tables of an append change together or not at all. What the reference
 keeps in a side database (display name, sheet, owning source, file name/type/size,
-position inside the source) is kept as table properties, so the Spark catalog is the
+position inside the source) is kept as view properties, so the Spark catalog is the
 only metadata store. Row data only ever moves through Spark jobs.
 """
 
@@ -11,6 +13,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import threading
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reportlake.operators.append import REPORT_SCHEMA, evolve
+from reportlake.plans.commits import BATCH, LOAD, LOG, CommitLog
 from reportlake.session import configure, scratch_dir
 from reportlake.sources import csv as csv_src
 from reportlake.sources.route import list_files, route_name
@@ -81,6 +85,8 @@ class Lake:
         loc = location or scratch_dir(spark, f"lake-{database}")
         self._lock, self._given = threading.Lock(), {}  # uploads per path that this lake has named
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{_esc(loc)}'")
+        self.log = CommitLog(spark, database)
+        self.recover()
 
     # ---- names and lookups ---------------------------------------------------------------------
     def qualified(self, physical: str) -> str:
@@ -94,8 +100,13 @@ class Lake:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.qualified(physical)}").collect()
         return {r["key"][len(P):]: r["value"] for r in rows if r["key"].startswith(P)}
 
+    def storage(self, physical: str) -> str:
+        """The table that holds the rows of a table, all batches of them."""
+        return self.qualified("r_" + physical[2:])
+
     def table_names(self) -> list[str]:
-        return sorted(t.name for t in self.spark.catalog.listTables(self.db) if not t.isTemporary)
+        return sorted(t.name for t in self.spark.catalog.listTables(self.db)
+                      if not t.isTemporary and t.name != LOG and not t.name.startswith("r_"))
 
     def table_infos(self, source_id: str | None = None) -> list[TableInfo]:
         """Tables of one source (one catalog lookup by name prefix) or of all sources."""
@@ -130,20 +141,30 @@ class Lake:
         """Write a new table; returns its rows, counted while writing."""
         written = Observation()
         df = df.observe(written, F.count(F.lit(1)).alias("rows"))
-        w = df.write.format("parquet").mode("errorifexists")
-        cols = [c for c in (partition_by or []) if c in df.columns]
-        if cols:  # e.g. a date column: reports filtering on it read only matching directories
-            w = w.partitionBy(*cols)
-        w.saveAsTable(self.qualified(physical))
+        cols = [c for c in (partition_by or []) if c in df.columns]  # e.g. a date column: reports read only matching folders
+        (df.withColumn(BATCH, F.lit(LOAD)).write.format("parquet").mode("errorifexists").partitionBy(BATCH, *cols)
+         .saveAsTable(self.storage(physical)))
+        shown = [c for c in df.columns if c not in cols] + cols
         kv = ", ".join(f"'{P}{k}'='{_esc(str(v))}'" for k, v in props.items())
-        self.spark.sql(f"ALTER TABLE {self.qualified(physical)} SET TBLPROPERTIES ({kv})")
+        self.spark.sql(f"CREATE VIEW {self.qualified(physical)} TBLPROPERTIES ({kv}) AS {self._select(physical, shown)}")
         self.analyze(physical)
         return int(written.get["rows"])
 
+    def _select(self, physical: str, columns: Sequence[str], source_id: str | None = None) -> str:
+        """What a table shows: all rows of a table that was only loaded, the committed batches of its source otherwise."""
+        names = ", ".join("`" + c.replace("`", "``") + "`" for c in columns)
+        text = f"SELECT {names} FROM {self.storage(physical)}"
+        if source_id is not None:
+            text += f" WHERE `{BATCH}` IN (SELECT batch FROM {self.log.name} WHERE source_id = '{_esc(source_id)}')"
+        return text
+
+    def _show(self, physical: str, columns: Sequence[str], source_id: str) -> None:
+        self.spark.sql(f"ALTER VIEW {self.qualified(physical)} AS {self._select(physical, columns, source_id)}")
+
     def analyze(self, physical: str) -> None:
         """Record the table's size in the catalog, where join planning (broadcast threshold) looks; NOSCAN lists
         files and reads none, so an append doesn't grow with the table."""
-        self.spark.sql(f"ANALYZE TABLE {self.qualified(physical)} COMPUTE STATISTICS NOSCAN")
+        self.spark.sql(f"ANALYZE TABLE {self.storage(physical)} COMPUTE STATISTICS NOSCAN")
 
     def _sheets(self, path: str, file_type: str, rejected: list[int]) -> list[tuple[str | None, DataFrame]]:
         if file_type == "csv":
@@ -182,7 +203,7 @@ class Lake:
                             "rejected_rows": rejected[0] if rejected else None})
         except Exception as exc:
             for phys in created:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(phys)}")
+                self.drop_table(phys)
             raise LakeError(f"load of {name} failed, nothing kept: {exc}") from exc
         return out
 
@@ -243,16 +264,15 @@ class Lake:
 
     # ---- append ---------------------------------------------------------------------------------
     def append(self, source_id: str, path: str, file_type: str | None = None,
-               skip: set[str] | None = None, on_table_done=None,
-               sheets: list[tuple[str | None, DataFrame]] | None = None) -> DataFrame:
+               sheets: list[tuple[str | None, DataFrame]] | None = None, batch: str | None = None) -> DataFrame:
         """Append a new file to the tables of a source, pairing sheets with tables by position.
 
-        Each paired table: the new rows are shaped to the evolved schema (target types, new
-        columns as STRING). When a column changes type, those casts run first in a pass that
-        writes nothing, so a bad value fails the append before anything changes; then the new
-        columns are added and the rows inserted. Old data is never rewritten: the cost is
-        O(new rows). Rows with surplus fields stop the append. ``sheets`` gives the new rows directly. ``skip`` names tables to leave out (a replayed stream batch);
-        ``on_table_done(physical)`` is called after each table's insert.
+        Two phases. First the new rows of every paired table, shaped to the evolved schema (target types, new
+        columns as STRING), are written as partition ``batch`` of its row table, which readers don't see; whatever fails there
+        (a bad value, surplus fields, a lost disk) leaves rows and columns of all tables as they were. Then one row in
+        the commit log makes them part of all tables at once, and the views show the new columns.
+        Old data is never rewritten: the cost is O(new rows). ``sheets`` gives the new rows directly. A ``batch``
+        that is in the log already is not applied again, and one that was left before its commit is replaced.
         """
         targets = self.table_infos(source_id)
         if not targets:
@@ -270,68 +290,115 @@ class Lake:
         # by the sheet's place at load: an empty sheet made no table but keeps its place
         own_place = len({t.position for t in targets}) == len(targets)
         place = {t.physical_name: t.position if own_place else i for i, t in enumerate(targets)}
-        # every table's new rows are shaped and their casts tried before any table changes
-        ready = {t.physical_name: self._prepare(t.physical_name, sheets[place[t.physical_name]][1]) for t in targets
-                 if place[t.physical_name] < len(sheets) and not (skip and t.physical_name in skip)}
+        batch = batch or uuid.uuid4().hex
+        if self.log.has(source_id, batch):
+            return self.spark.createDataFrame([self._skipped(t.physical_name, "already applied") for t in targets], REPORT_SCHEMA)
+        paired = [t.physical_name for t in targets if place[t.physical_name] < len(sheets)]
+        try:
+            self._open(source_id, targets)
+            staged = {p: self._stage(p, sheets[place[p]][1], batch) for p in paired}
+        except Exception as exc:
+            raise LakeError(f"append of {path} failed, nothing changed: {exc}") from exc
+        before = {t.physical_name: self.table(t.physical_name).count() for t in targets}
+        self._commit(source_id, batch, {p: diff.new for p, (_, diff) in staged.items() if diff.new})
+        self.recover({p: diff.new for p, (_, diff) in staged.items()})
         reports = []
-        for info in targets:
-            before = self.table(info.physical_name).count()
-            if skip and info.physical_name in skip:
-                reports.append((info.physical_name, before, 0, before, [], [], [], True, "already applied"))
-                continue
-            if place[info.physical_name] >= len(sheets):
-                reports.append((info.physical_name, before, 0, before, [], [], [], True,
-                                f"the new file has {len(sheets)} sheets, fewer than the "
-                                f"{len(targets)} target tables; skipped"))
-                continue
-            reports.append(self._publish(info.physical_name, *ready[info.physical_name], before))
-            if on_table_done is not None:
-                on_table_done(info.physical_name)
+        for p in (t.physical_name for t in targets):
+            if p in staged:
+                rows, diff = staged[p]
+                self.analyze(p)
+                reports.append((p, before[p], rows, before[p] + rows, diff.new, diff.matched, diff.missing, False, None))
+            else:
+                reports.append(self._skipped(p, f"the new file has {len(sheets)} sheets, fewer than the {len(targets)} "
+                                                "target tables; skipped", before[p]))
         return self.spark.createDataFrame(reports, REPORT_SCHEMA)
 
+    def _skipped(self, physical: str, reason: str, before: int | None = None) -> tuple:
+        before = self.table(physical).count() if before is None else before
+        return (physical, before, 0, before, [], [], [], True, reason)
+
     def append_many(self, source_id: str, paths: Sequence[str]) -> DataFrame:
         """Append several files in the given order; one report row per (file, table)."""
         reps = [self.append(source_id, p).withColumn("file", F.lit(p)) for p in paths]
         return reduce(DataFrame.unionByName, reps)
 
-    def _prepare(self, physical: str, new_rows: DataFrame):
-        """New rows in the table's shape and the column differences; a value that can't be cast stops here."""
-        target = self.table(physical)
-        shaped, diff = evolve(new_rows, target.schema)
-        src_types = {f.name.lower(): f.dataType for f in new_rows.schema.fields}
-        risky = [f.name for f in target.schema.fields
-                 if f.name.lower() in src_types and src_types[f.name.lower()] != f.dataType]
-        if risky:  # some values change type: run those casts first, a bad value stops here
-            try:
-                shaped.select(*risky).write.format("noop").mode("overwrite").save()
-            except Exception as exc:
-                raise LakeError(f"append to {physical} failed, nothing changed: {exc}") from exc
-        return shaped, diff
-
-    def _publish(self, physical: str, shaped: DataFrame, diff, before: int) -> tuple:
+    def _open(self, source_id: str, targets: list[TableInfo]) -> None:
+        """Before a source's first append its load goes into the log and its views begin to follow the log."""
+        if self.log.has(source_id, LOAD):
+            return
+        self.log.create()
+        self.log.add(source_id, LOAD)
+        for t in targets:
+            self._show(t.physical_name, self.table(t.physical_name).columns, source_id)
+
+    def _stage(self, physical: str, new_rows: DataFrame, batch: str):
+        """Write the new rows as a partition of their own, replacing what an earlier try left there; readers don't see them."""
+        shaped, diff = evolve(new_rows, self.table(physical).schema)
+        held = {c.lower() for c in self.spark.table(self.storage(physical)).columns}
+        fresh = [c for c in diff.new if c.lower() not in held]  # an append that failed may have left some
+        if fresh:
+            cols = ", ".join(f"`{c}` STRING" for c in fresh)
+            self.spark.sql(f"ALTER TABLE {self.storage(physical)} ADD COLUMNS ({cols})")
         written = Observation()
-        shaped = shaped.observe(written, F.count(F.lit(1)).alias("rows"))
-        if diff.new:
-            cols = ", ".join(f"`{c}` STRING" for c in diff.new)
-            self.spark.sql(f"ALTER TABLE {self.qualified(physical)} ADD COLUMNS ({cols})")
-        view = f"__append_{physical}"
-        shaped.createOrReplaceTempView(view)  # by name: partition columns may sit last in the table
-        self.spark.sql(f"INSERT INTO {self.qualified(physical)} BY NAME SELECT * FROM `{view}`")
-        self.spark.catalog.dropTempView(view)
-        self.analyze(physical)
-        appended = int(written.get["rows"])  # counted while writing: other appends don't enter
-        return (physical, before, appended, before + appended, diff.new, diff.matched, diff.missing, False, None)
+        by_name = {c.lower(): c for c in shaped.columns}
+        rows = shaped.observe(written, F.count(F.lit(1)).alias("rows")).select(*[
+            F.col(f"`{by_name[f.name.lower()]}`").alias(f.name) if f.name.lower() in by_name else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in self.spark.table(self.storage(physical)).schema.fields if f.name != BATCH])
+        self._overwrite(physical, batch, rows)
+        return int(written.get["rows"]), diff  # counted while writing
+
+    def _overwrite(self, physical: str, batch: str, rows: DataFrame) -> None:
+        """One batch's partition of the row table gets these rows; the other partitions stay."""
+        view = f"__batch_{uuid.uuid4().hex}"
+        rows.createOrReplaceTempView(view)
+        parts = [f"`{BATCH}`='{_esc(batch)}'"]  # the table's own partition columns stay dynamic and come last, as they lie
+        parts += [f"`{c.name}`" for c in self.spark.catalog.listColumns(self.storage(physical)) if c.isPartition and c.name != BATCH]
+        try:
+            self.spark.sql(f"INSERT OVERWRITE TABLE {self.storage(physical)} PARTITION ({', '.join(parts)}) SELECT * FROM `{view}`")
+        finally:
+            self.spark.catalog.dropTempView(view)
+
+    def _commit(self, source_id: str, batch: str, new_columns: dict[str, list[str]]) -> None:
+        self.log.add(source_id, batch, new_columns)
+
+    def recover(self, new_columns: dict[str, list[str]] | None = None) -> None:
+        """Let the views show the columns of committed appends (all of them when a database is opened: a writer may
+        have died right after its commit)."""
+        if new_columns is None:
+            new_columns = self.log.added_columns()
+        for physical, columns in new_columns.items():
+            if columns and self.spark.catalog.tableExists(f"{self.db}.{physical}"):
+                shown = self.table(physical).columns
+                held = {c.lower() for c in shown}
+                if any(c.lower() not in held for c in columns):
+                    self._show(physical, [*shown, *(c for c in columns if c.lower() not in held)],
+                               self.properties(physical)["source_id"])
+
+    def clear_left_batches(self, source_id: str) -> int:
+        """Remove partitions that no commit made part of the tables (their writer failed or died); not while appends run."""
+        cleared = 0
+        if not self.log.has(source_id, LOAD):
+            return cleared
+        for t in self.table_infos(source_id):
+            name = self.storage(t.physical_name)
+            left = (self.spark.table(name).select(BATCH).distinct()
+                    .join(self.log.of(source_id), F.col(BATCH) == F.col("batch"), "left_anti").collect())  # one row per failure
+            for r in left:
+                self._overwrite(t.physical_name, r[0], self.spark.createDataFrame([], self.spark.table(name).drop(BATCH).schema))
+                cleared += 1
+        return cleared
 
     # ---- maintenance ----------------------------------------------------------------------------
     def truncate(self, source_id: str, physical: str) -> None:
         """Delete all rows, keep the schema; the table must belong to the source."""
         if self.properties(physical).get("source_id") != source_id:
             raise LakeError(f"table {physical} does not belong to source {source_id}")
-        self.spark.sql(f"TRUNCATE TABLE {self.qualified(physical)}")
+        self.spark.sql(f"TRUNCATE TABLE {self.storage(physical)}")
         self.analyze(physical)
 
     def drop_table(self, physical: str) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(physical)}")
+        self.spark.sql(f"DROP VIEW IF EXISTS {self.qualified(physical)}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.storage(physical)}")
 
     def drop_source(self, source_id: str) -> int:
         """Cascade delete: every table of the source; returns how many were dropped."""

@@ -3,56 +3,44 @@
 A Structured Streaming query lists new files with the ``binaryFile`` source (only
 paths and sizes are selected, so contents are not read by the stream) and hands each
 micro-batch to ``foreachBatch``, which runs the normal schema-evolving append for every
-new file in path order. The streaming checkpoint remembers which files were seen; each
-table also records, right after its insert, the (batch id, file number) it has applied as
-a table property, so a batch replayed after a driver failure skips the table/file pairs
-already appended (only a crash between an insert and its marker can repeat that one insert).
+new file in path order. Exactly once: the streaming checkpoint remembers which files were seen, and every file's rows go
+into a batch named by checkpoint, micro-batch and place in it. A micro-batch replayed after a failure finds the
+batches that were committed in the commit log and skips them; one that was written but not committed is replaced.
 """
 
 from __future__ import annotations
 
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from reportlake.plans.lake import Lake, P
+from reportlake.plans.lake import Lake
 from reportlake.session import scratch_dir
 
-PROGRESS_PROP = "stream_progress"
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def _progress(lake: Lake, physical: str) -> tuple[int, int]:
-    raw = lake.properties(physical).get(PROGRESS_PROP, "-1:-1")
-    e, f = raw.split(":")
-    return int(e), int(f)
-
-
-def _mark(lake: Lake, physical: str, epoch: int, file_idx: int) -> None:
-    lake.spark.sql(f"ALTER TABLE {lake.qualified(physical)} "
-                   f"SET TBLPROPERTIES ('{P}{PROGRESS_PROP}'='{epoch}:{file_idx}')")
+def batch_name(checkpoint: str, epoch: int, place: int) -> str:
+    """The batch that holds a file's rows: the same on every replay of its micro-batch."""
+    return f"stream-{xxhash.xxh3_64_hexdigest(checkpoint.encode())}-{epoch}-{place}"
 
 
 def append_stream(lake: Lake, source_id: str, folder: str, checkpoint: str | None = None,
                   glob: str = "*.{csv,txt,xls,xlsx,CSV,TXT,XLS,XLSX}", available_now: bool = True,
-                  reports: list | None = None) -> StreamingQuery:
+                  reports: list | None = None, files_per_batch: int = 1000) -> StreamingQuery:
     """Start the drop-folder append. With ``available_now`` the query processes what is in
     the folder and stops; otherwise it keeps watching. Append reports are gathered into
     ``reports`` when a list is given."""
     spark = lake.spark
     ckpt = checkpoint or scratch_dir(spark, f"stream-{source_id}")
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob)
-             .load(folder).select("path", "length"))
+             .option("maxFilesPerTrigger", files_per_batch).load(folder).select("path", "length"))
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        tables = [t.physical_name for t in lake.table_infos(source_id)]
-        paths = [r["path"] for r in batch.select("path").orderBy("path").collect()]  # new file names only
-        for fi, path in enumerate(paths):
-            done = {t for t in tables if _progress(lake, t) >= (epoch_id, fi)}  # replayed batch
-            if done == set(tables):
-                continue
-            rep = lake.append(source_id, path, skip=done,
-                              on_table_done=lambda phys, fi=fi: _mark(lake, phys, epoch_id, fi))
+        paths = [r["path"] for r in batch.select("path").orderBy("path").collect()]  # at most files_per_batch names
+        for place, path in enumerate(paths):
+            rep = lake.append(source_id, path, batch=batch_name(ckpt, epoch_id, place))
             if reports is not None:
                 reports.append(rep.withColumn("file", F.lit(path)).collect())
 

@@ -165,3 +165,46 @@ def test_empty_loads_and_appends(lake, workdir):
     info = _load(lake, workdir)
     rep = lake.append(info["source_id"], write(workdir, "head.csv", "id,name,amount\n")).first()
     assert (rep["rowsBefore"], rep["rowsAppended"], rep["rowsAfter"]) == (2, 0, 2)
+
+
+def test_nothing_of_an_append_is_seen_before_all_of_it(spark, lake, workdir, monkeypatch):
+    """Sheet 2 fails while it is written: rows and columns of both tables stay, and the next append is whole."""
+    rows = [(None, spark.createDataFrame([(1, "a")], "k long, v string")), (None, spark.createDataFrame([(5, "b")], "k long, w string"))]
+    info = lake.ingest_file("/in/two.xlsx", "excel", sheets=rows)
+    sid, names = info[0]["source_id"], [i["physical_name"] for i in info]
+    more = spark.createDataFrame([(2, "c", "n")], "k long, v string, note string")
+    fails = more.select("k", F.when(F.raise_error(F.lit("disk full")).isNull(), "v").alias("w"), "note")
+
+    def state():
+        return [(lake.table(n).columns, sorted(map(tuple, lake.table(n).collect()))) for n in names]
+
+    before = state()
+    with pytest.raises(LakeError, match="disk full"):
+        lake.append(sid, "more.xlsx", sheets=[(None, more), (None, fails)])
+    assert state() == before and lake.clear_left_batches(sid) == 1 and state() == before
+    commit = type(lake)._commit
+    monkeypatch.setattr(type(lake), "_commit", lambda *a: (_ for _ in ()).throw(SystemError("killed")))
+    with pytest.raises(SystemError):
+        lake.append(sid, "more.xlsx", sheets=[(None, more), (None, more)], batch="b")
+    assert state() == before  # both sheets are written, neither is committed
+    monkeypatch.setattr(type(lake), "_commit", commit)
+    rep = lake.append(sid, "more.xlsx", sheets=[(None, more), (None, more)], batch="b").collect()
+    assert [(r["rowsBefore"], r["rowsAfter"], r["newColumns"]) for r in rep] == [(1, 2, ["note"]), (1, 2, ["v", "note"])]
+    assert state() == [(["k", "v", "note"], [(1, "a", None), (2, "c", "n")]),
+                       (["k", "w", "v", "note"], [(2, None, "c", "n"), (5, "b", None, None)])]
+    assert [r["skipReason"] for r in lake.append(sid, "more.xlsx", sheets=[(None, more), (None, more)], batch="b").collect()] == [
+        "already applied"] * 2
+    assert lake.table(names[0]).count() == 2 and lake.clear_left_batches(sid) == 0
+
+
+def test_a_writer_that_dies_after_its_commit_is_finished_by_the_next_opening(spark, lake, workdir, monkeypatch):
+    from reportlake.plans.lake import Lake
+
+    info = _load(lake, workdir)
+    recover = Lake.recover
+    monkeypatch.setattr(Lake, "recover", lambda self, new_columns=None: None)
+    lake.append(info["source_id"], write(workdir, "more.csv", "id,note\n3,hello\n"))
+    assert lake.table(info["physical_name"]).count() == 3 and "note" not in lake.table(info["physical_name"]).columns
+    monkeypatch.setattr(Lake, "recover", recover)
+    t = Lake(spark, lake.db).table(info["physical_name"])
+    assert t.columns == ["id", "name", "amount", "note"] and t.where("note = 'hello'").count() == 1

@@ -1,6 +1,9 @@
 import os
 
-from reportlake.streaming.dropfolder import append_stream
+import pytest
+
+from reportlake.plans.lake import Lake
+from reportlake.streaming.dropfolder import append_stream, batch_name
 from samples import write
 
 
@@ -21,15 +24,30 @@ def test_drop_folder_append(spark, lake, workdir):
     assert lake.table(base["physical_name"]).count() == 4
 
 
-def test_replayed_batch_skips_applied_tables(spark, lake, workdir):
-    from reportlake.streaming import dropfolder as D
-
+def test_replayed_micro_batch_leaves_one_copy(spark, lake, workdir, monkeypatch):
+    """The writer dies between the inserts and the commit, then right after the commit; the stream starts again both times."""
     base = lake.ingest_file(write(workdir, "base.csv", "id\n1\n"), "csv")[0]
-    phys = base["physical_name"]
-    f = write(workdir, "f.csv", "id\n2\n")
-    lake.append(base["source_id"], f, on_table_done=lambda p: D._mark(lake, p, 7, 0))
-    assert D._progress(lake, phys) == (7, 0)
-    done = {t for t in [phys] if D._progress(lake, t) >= (7, 0)}
-    rep = lake.append(base["source_id"], f, skip=done).first()  # the replay appends nothing
-    assert rep["skipped"] and rep["skipReason"] == "already applied"
-    assert lake.table(phys).count() == 2
+    drop, ckpt = f"{workdir}/drop", f"{workdir}/ckpt"
+    os.makedirs(drop)
+    write(drop, "f1.csv", "id,note\n2,x\n")
+    write(drop, "f2.csv", "id,note\n3,y\n")
+    real, calls = type(lake)._commit, []
+
+    def dies(self, source_id, batch, new_columns):
+        calls.append(batch)
+        if len(calls) == 2:
+            raise SystemError("killed before the commit")
+        real(self, source_id, batch, new_columns)
+        if len(calls) == 3:
+            raise SystemError("killed after the commit")
+
+    monkeypatch.setattr(type(lake), "_commit", dies)
+    for _ in range(2):
+        with pytest.raises(Exception):
+            append_stream(lake, base["source_id"], drop, ckpt).awaitTermination()
+    assert calls[1] == calls[2] == batch_name(ckpt, 0, 1)
+    monkeypatch.setattr(type(lake), "_commit", real)
+    again = Lake(spark, lake.db)
+    append_stream(again, base["source_id"], drop, ckpt).awaitTermination()
+    t = again.table(base["physical_name"])
+    assert sorted((r["id"], r["note"]) for r in t.collect()) == [(1, None), (2, "x"), (3, "y")]
