@@ -610,8 +610,8 @@ def screen_sql(spark, d):
 @case("strip_sql", f"""
 WITH q AS (SELECT doc_id, {_SQL_TEXT} AS sql FROM documents)
 SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(
-         regexp_replace(sql, '(''[^'']*(?:''''[^'']*)*''|"[^"]*(?:""[^"]*)*")|--[^\\n]*|/\\*[^*]*\\*+(?:[^/*][^*]*\\*+)*/',
-                        '\\1', 'g'),
+         regexp_replace(sql, '(''[^''\\\\]*(?:(?:''''|\\\\.)[^''\\\\]*)*''|"[^"\\\\]*(?:(?:""|\\\\.)[^"\\\\]*)*"|`[^`]*`|/\\*\\+)|--[^\\n]*|/\\*[^*]*\\*+(?:[^/*][^*]*\\*+)*/',
+                        '\\1', 'gs'),
          '\\s+$', ''), ';$', ''), '\\s+$', '') AS stripped
 FROM q""")
 def strip_sql(spark, d):

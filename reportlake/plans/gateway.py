@@ -11,9 +11,11 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reportlake.plans import lexer
 from reportlake.session import configure, scoped_conf
 
 # Fixed values that must equal the reference behaviour.
@@ -37,7 +39,17 @@ FORBIDDEN_RE = r"(?i)(^|[^\p{L}\p{N}_])(" + "|".join(FORBIDDEN_WORDS) + r")([^\p
 # comments match without a capture and vanish.
 # Written as "unrolled loops" (a character class repeated, then rare escapes) so Java's regex
 # engine matches long texts iteratively instead of recursing once per character.
-_LITERAL_OR_COMMENT = r"""('[^']*(?:''[^']*)*'|"[^"]*(?:""[^"]*)*")|--[^\n]*|/\*[^*]*\*+(?:[^/*][^*]*\*+)*/"""
+_LITERAL_OR_COMMENT = (r"""(?s)('[^'\\]*(?:(?:''|\\.)[^'\\]*)*'|"[^"\\]*(?:(?:""|\\.)[^"\\]*)*"|`[^`]*`|/\*\+)"""
+                       r"""|--[^\n]*|/\*[^*]*\*+(?:[^/*][^*]*\*+)*/""")
+
+#: Functions that call into the JVM, whatever way they are named.
+JVM_CALLS = ("java_method", "reflect", "try_reflect")
+#: Nodes of a parsed plan that change something or start a program.
+_CHANGES = re.compile(r"^[\s:|+-]*'?(?:\w*(?:Insert|Create|Drop|Truncate|Alter|Rename|Merge|Update|Delete|Replace(?!Null)|Append|Overwrite|"
+                      r"Load|Cache|Refresh|Analyze|Repair|Set(?:Catalog|Namespace|Variable|Command|Table)|AddJar|AddFile|Call)\w*"
+                      r"|ScriptTransformation|\w+Command)\b", re.M)
+#: Words that make it worth asking Spark's parser what a statement is.
+_DOUBTFUL = {*FORBIDDEN_WORDS, "TRANSFORM", "MAP", "REDUCE", "USING", "IDENTIFIER", "LOAD", "SET", "CALL", "EXECUTE"}
 
 
 class QueryRejected(ValueError):
@@ -56,37 +68,31 @@ def _py(pattern: str) -> re.Pattern:
 
 _ALLOWED_PY = _py(ALLOWED_RE)
 _FORBIDDEN_PY = _py(FORBIDDEN_RE)
-_SPARK_PREFIX_PY = re.compile(r"^\s*(" + "|".join(SPARK_READ_PREFIXES) + r")\b", re.I)
-_LITERAL_OR_COMMENT_PY = re.compile(_LITERAL_OR_COMMENT)
-_LITERAL_PY = re.compile(r"""'[^']*(?:''[^']*)*'|"[^"]*(?:""[^"]*)*\"""")
 
 
 def strip_sql(sql: str) -> str:
-    """Remove ``--`` and ``/* */`` comments (not inside literals) and one trailing ``;``."""
-    out = _LITERAL_OR_COMMENT_PY.sub(lambda m: m.group(1) or "", sql)
-    out = out.rstrip()
+    """Remove ``--`` and ``/* */`` comments (not inside literals, quoted names or hints) and one trailing ``;``."""
+    out = lexer.without_comments(sql).rstrip()
     return out[:-1].rstrip() if out.endswith(";") else out
 
 
 def strip_sql_col(col: Column | str) -> Column:
-    """Column form of :func:`strip_sql` for screening a table of query texts."""
+    """Column form of :func:`strip_sql` for screening a table of query texts. Comments inside comments, raw strings and
+    comments that alone part two words need the lexer."""
     c = F.col(col) if isinstance(col, str) else col
     no_comments = F.regexp_replace(c, _LITERAL_OR_COMMENT, "$1")
     trimmed = F.regexp_replace(no_comments, r"\s+$", "")
     return F.regexp_replace(F.regexp_replace(trimmed, r";$", ""), r"\s+$", "")
 
 
-_JVM_CALL_PY = re.compile(r"(?i)(?:\b|`)(?:java_method|reflect|try_reflect)`?\s*\(")
-
-
 def check_sql(sql: str | None, mode: str = "default") -> str:
     """Return the cleaned statement or raise :class:`QueryRejected`.
 
     ``compat`` reproduces the reference guard exactly: a prefix whitelist and a
     keyword blacklist anywhere in the text (so ``'delete'`` in a literal or a call
-    to ``replace()`` is rejected too). ``default`` strips comments, ignores
-    keywords inside literals, allows the ``replace(`` function and Spark's
-    read-only ``FROM``/``VALUES``/``TABLE`` starts.
+    to ``replace()`` is rejected too). ``default`` reads the text as Spark's lexer does: one statement that begins like a
+    read (behind its common table expressions too), calls no function of the JVM and starts no program. Words inside literals,
+    quoted names and columns named like a command don't matter.
     """
     if sql is None or not sql.strip():
         raise QueryRejected("SQL must not be blank")
@@ -100,19 +106,74 @@ def check_sql(sql: str | None, mode: str = "default") -> str:
     text = strip_sql(sql).strip()
     if not text:
         raise QueryRejected("SQL must not be blank")
-    if not (_ALLOWED_PY.match(text) or _SPARK_PREFIX_PY.match(text)):
-        raise QueryRejected("only read-only statements are allowed")
-    if text[:6].upper() == "PRAGMA":
-        raise QueryRejected("PRAGMA is not a Spark statement")
-    bare = _LITERAL_PY.sub("''", text)
-    bare = re.sub(r"(?i)\breplace\s*\(", "replace_fn(", bare)
-    if _JVM_CALL_PY.search(bare):
-        raise QueryRejected("calls into the JVM are not allowed")
-    if _FORBIDDEN_PY.search(bare):
-        raise QueryRejected("statement contains a forbidden keyword")
+    code = lexer.code(text)
+    if any(t.text == ";" and t.kind == "sign" for t in code):
+        raise QueryRejected("only one statement is allowed")
+    _check_start(code)
+    for i, t in enumerate(code[:-1]):
+        after = code[i + 1]
+        if after.text == "(" and t.called in JVM_CALLS:
+            raise QueryRejected("calls into the JVM are not allowed")
+        if after.text == "(" and t.upper == "IDENTIFIER":
+            end = _closing(code, i + 1)
+            if end + 1 < len(code) and code[end + 1].text == "(":
+                raise QueryRejected("functions must be called by their name")
+        if t.upper == "USING" and after.kind == "string":
+            raise QueryRejected("programs can't be started")
     return text
 
 
+def _closing(code: list[lexer.Token], at: int) -> int:
+    """Place of the parenthesis that closes the one at ``at`` (or the end)."""
+    depth = 0
+    for i in range(at, len(code)):
+        depth += {"(": 1, ")": -1}.get(code[i].text, 0) if code[i].kind == "sign" else 0
+        if depth == 0:
+            return i
+    return len(code)
+
+
+def _check_start(code: list[lexer.Token], query_only: bool = False) -> None:
+    """The statement is a read: its first word, that of an explained statement, and that behind ``WITH`` ..."""
+    first = code[0].upper if code else ""
+    if first == "PRAGMA":
+        raise QueryRejected("PRAGMA is not a Spark statement")
+    if query_only and code and code[0].text == "(":
+        return
+    allowed = {"SELECT", "WITH", *SPARK_READ_PREFIXES} | (set() if query_only else set(ALLOWED_PREFIXES))
+    if first not in allowed:
+        raise QueryRejected("only read-only statements are allowed")
+    if first == "EXPLAIN":
+        rest = code[1:]
+        while rest and rest[0].upper in ("EXTENDED", "CODEGEN", "COST", "FORMATTED", "LOGICAL"):
+            rest = rest[1:]
+        _check_start(rest, True)
+    elif first == "WITH":
+        at = 1
+        while at < len(code):  # name, column list, AS, query in parentheses; then a comma or the statement
+            while at < len(code) and code[at].upper != "AS":
+                at = _closing(code, at) + 1 if code[at].text == "(" else at + 1
+            at = _closing(code, at + 1) + 1
+            if at < len(code) and code[at].text == ",":
+                at += 1
+                continue
+            break
+        _check_start(code[at:], True)
+    elif first == "FROM" and any(t.upper == "INSERT" and code[i + 1].upper in ("INTO", "OVERWRITE") for i, t in enumerate(code[:-1])):
+        raise QueryRejected("only read-only statements are allowed")
+
+
+def _check_plan(spark: SparkSession, text: str) -> None:
+    """Second look, where words of the text leave a doubt: Spark's own parse of the statement, which runs nothing."""
+    words = {t.upper for t in lexer.code(text)}
+    if not words & _DOUBTFUL or lexer.code(text)[0].upper in ("EXPLAIN", "DESCRIBE", "SHOW"):
+        return
+    plan = spark.sql("EXPLAIN EXTENDED " + text).first()[0]
+    parsed = plan.partition("== Analyzed Logical Plan ==")[0].partition("== Parsed Logical Plan ==")[2]
+    if _CHANGES.search(parsed):
+        raise QueryRejected("the statement is not a read")
+
+
 def screen_sql_col(col: Column | str) -> Column:
     """Compat guard as a Column: struct(ok boolean, reason string) per query text."""
     c = F.col(col) if isinstance(col, str) else col
@@ -125,6 +186,24 @@ def screen_sql_col(col: Column | str) -> Column:
     return F.struct(reason.isNull().alias("ok"), reason.alias("reason"))
 
 
+def reason_of(text: str | None) -> str | None:
+    """Why the default mode rejects a text (without Spark's second look), or None."""
+    try:
+        check_sql(text)
+    except QueryRejected as exc:
+        return str(exc)
+    return None
+
+
+def screen_default_col(col: Column | str) -> Column:
+    """Default guard as a Column: the reason a query text is rejected for, null if it isn't (Arrow batches through the lexer)."""
+    @F.pandas_udf("string")
+    def reasons(texts: pd.Series) -> pd.Series:
+        return pd.Series([reason_of(x if isinstance(x, str) else None) for x in texts], dtype=object)
+
+    return reasons(F.col(col) if isinstance(col, str) else col)
+
+
 def sql(spark: SparkSession, text: str, mode: str = "default") -> DataFrame:
     """Screen, parse and analyse a read-only statement; the result is lazy."""
     configure(spark)
@@ -134,6 +213,8 @@ def sql(spark: SparkSession, text: str, mode: str = "default") -> DataFrame:
         # paths stays off, files come in through ``sources.files.read_file``
         with scoped_conf(spark, **{"spark.sql.ansi.doubleQuotedIdentifiers": "true",
                                    "spark.sql.runSQLOnFiles": "false"}):
+            if mode != "compat":
+                _check_plan(spark, clean)
             return spark.sql(clean)
     except Exception as exc:  # ParseException / AnalysisException
         if exc.__class__.__name__ in ("ParseException", "AnalysisException"):

@@ -140,3 +140,47 @@ def test_total_is_exact_unless_a_cap_is_asked_for(spark):
 def test_no_jvm_calls(text):
     with pytest.raises(g.QueryRejected):
         g.check_sql(text)
+
+
+@pytest.mark.parametrize("text", [
+    r"SELECT '\'', reflect('java.lang.System', 'getProperty', 'java.version'), ''", "SELECT reflect/* x */('a', 'b')",
+    "SELECT \"java_method\"('a', 'b')", "SELECT system.builtin.reflect('a', 'b')", "SELECT IDENTIFIER('ref' || 'lect')('a', 'b')",
+    r"SELECT r'\', reflect('a', 'b'), ''", "SELECT 1 /* a /* b */ c */, reflect('a', 'b')", "SELECT $$'$$, reflect('a', 'b'), ''",
+    "SELECT TRANSFORM(a) USING 'cat' AS b FROM t", "FROM t MAP a USING 'cat' AS b", "SELECT 1; SELECT 2",
+    "WITH a AS (SELECT 1 AS x) INSERT INTO t SELECT * FROM a", "WITH a(x) AS (SELECT (1)), b AS (SELECT 2) DELETE FROM t",
+    "FROM t INSERT OVERWRITE TABLE u SELECT *", "EXPLAIN EXTENDED DROP TABLE t", "EXPLAIN CREATE TABLE x (a INT)", "WITH"])
+def test_default_guard_rejects(text):
+    with pytest.raises(g.QueryRejected):
+        g.check_sql(text)
+
+
+def test_default_guard_lets_reads_through(spark):
+    spark.sql("SELECT 1 AS update, 'x' AS `drop`, 3 AS map").createOrReplaceTempView("odd_names")
+    for text, want in [("SELECT update, `drop`, map FROM odd_names", (1, "x", 3)), (r"SELECT 'it\'s -- here' AS a", ("it's -- here",)),
+                       ("SELECT replace('abc', 'b', 'x') AS r", ("axc",)), ("SELECT transform(array(1), x -> x + 1)[0] AS t", (2,)),
+                       ("WITH a(x) AS (SELECT (1)), b AS (SELECT x + 1 AS y FROM a) SELECT y FROM b", (2,)),
+                       ("SELECT /*+ broadcast(b) */ a.map FROM odd_names a JOIN odd_names b USING (update)", (3,)),
+                       ("SELECT/**/4 -- five", (4,)), ("SELECT 'reflect(1); DROP TABLE x' AS s;", ("reflect(1); DROP TABLE x",)),
+                       ("SELECT IDENTIFIER('update') FROM odd_names", (1,))]:
+        assert tuple(g.sql(spark, text).first()) == want, text
+    assert g.sql(spark, "EXPLAIN SELECT 1").count() == 1 and g.sql(spark, "SHOW TABLES").columns
+    assert g.strip_sql(r"SELECT 'it\'s -- here' AS a") == r"SELECT 'it\'s -- here' AS a"
+
+
+def test_spark_is_asked_about_doubtful_statements(spark):
+    """What the words alone don't tell is decided by the parsed plan, and nothing runs."""
+    for text in ("INSERT INTO t SELECT 1", "CREATE VIEW v AS SELECT 1", "SELECT TRANSFORM(1) USING 'cat'", "DROP TABLE IF EXISTS t"):
+        with pytest.raises(g.QueryRejected):
+            g._check_plan(spark, text)
+    g._check_plan(spark, "SELECT 1 AS update")
+
+
+def test_tokens_make_up_the_text():
+    from reportlake.plans import lexer
+
+    text = ("SELECT 'a''b\\'c', \"x\"\"y\", `k``l`, r'\\', 1.5e-3, $t$ ' $t$ /*+ hint */ -- end \\\nstill the comment\n"
+            "/* a /* b */ c */ FROM t /* open")
+    held = list(lexer.tokens(text))
+    assert "".join(t.text for t in held) == text
+    assert [t.text for t in held if t.kind == "string"] == ["'a''b\\'c'", "r'\\'", "$t$ ' $t$"]
+    assert [t.kind for t in held if t.kind in ("line", "comment")] == ["line", "comment", "comment"]
