@@ -53,13 +53,19 @@ def preview_small(df: DataFrame, n: int = SMALL_PREVIEW_DEFAULT, order_by=None)
     return preview(df, n, SMALL_PREVIEW_MAX, order_by)
 
 
+#: Rank error of the quartiles (a share of the rows is its inverse), frequent values kept per column and items tracked for them.
+QUANTILE_ACCURACY, TOP_VALUES, TOP_TRACKED = 1000, 5, 1000
+
+
 def profile(df: DataFrame) -> DataFrame:
     """One pass over the table: per column non-null and null counts, share of nulls, min, max (as text),
-    mean and standard deviation for numbers, approximate distinct count (HyperLogLog)."""
+    mean, standard deviation and quartiles for numbers (a mergeable quantile sketch), approximate distinct count (HyperLogLog) and the
+    most frequent values with their counts (a mergeable frequent-items sketch, exact up to ``TOP_TRACKED`` distinct values)."""
     aggs = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         numeric = isinstance(f.dataType, _NUMERIC)
+        quartiles = F.percentile_approx(c.cast("double"), [0.25, 0.5, 0.75], QUANTILE_ACCURACY) if numeric else F.lit(None).cast("array<double>")
         comparable = not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))
         aggs.append(F.struct(
             F.lit(f.name).alias("column_name"), F.lit(sql_type_name(f.dataType)).alias("column_type"),
@@ -71,5 +77,14 @@ def profile(df: DataFrame) -> DataFrame:
             (F.round(F.avg(c), 6) if numeric else F.lit(None).cast("double")).alias("mean"),
             (F.round(F.stddev_samp(c), 6) if numeric else F.lit(None).cast("double")).alias("std"),
             (F.approx_count_distinct(c) if comparable else F.lit(None).cast("bigint")).alias("approx_distinct"),
+            *[F.get(quartiles, F.lit(i)).alias(q) for i, q in enumerate(("q25", "q50", "q75"))],
+            (_top(f.name) if comparable else F.lit(None).cast("array<struct<value:string,n:bigint>>")).alias("top_values"),
         ))
     return df.agg(F.array(*aggs).alias("p")).select(F.explode("p").alias("p")).select("p.*")
+
+
+def _top(name: str) -> Column:
+    """The most frequent values of a column as text, most frequent first; NULLs don't count."""
+    quoted = "`" + name.replace("`", "``") + "`"
+    found = F.expr(f"approx_top_k(CAST({quoted} AS STRING), {TOP_VALUES}, {TOP_TRACKED}) FILTER (WHERE {quoted} IS NOT NULL)")
+    return F.transform(found, lambda x: F.struct(x["item"].alias("value"), x["count"].cast("bigint").alias("n")))

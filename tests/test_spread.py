@@ -87,3 +87,47 @@ def test_limits_and_plan(table):
     # rows go by (block, key); only tables of one row per key and block are windowed by key alone
     assert "SinglePartition" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert got.count() == 161
+
+
+@pytest.mark.parametrize("direction", ["backward", "forward", "nearest"])
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_asof_against_plain_search(spark, direction, keys):
+    from reportlake.operators.asof import asof
+
+    rnd = random.Random(9)
+    left = [(i, rnd.choice("ab") if rnd.random() < 0.9 else None, rnd.choice([None, *range(40)])) for i in range(60)]
+    right = [(rnd.choice("abc") if rnd.random() < 0.9 else None, rnd.choice([None, *range(40)]), i) for i in range(25)]
+    ldf = spark.createDataFrame(left, "id long, k string, t long").repartition(3)
+    rdf = spark.createDataFrame(right, "k string, t long, r long")
+    got = {r["id"]: (r["x_t"], r["x_r"]) for r in asof(ldf, rdf, keys or None, "t", "t", direction, ["r"], "x_", 5).collect()}
+    want = {}
+    for i, k, t in left:
+        able = [(x, r) for q, x, r in right if x is not None and t is not None and (not keys or (k is not None and q == k))]
+        before = max(((x, r) for x, r in able if x <= t), default=(None, None))
+        after = max(((-x, r) for x, r in able if x >= t), default=None)
+        after = (-after[0], after[1]) if after else (None, None)
+        near = after if before[0] is None or (after[0] is not None and after[0] - t < t - before[0]) else before
+        want[i] = {"backward": before, "forward": after, "nearest": near}[direction]
+    assert got == want
+    plan = plan_text(asof(ldf, rdf, keys or None, "t", "t", direction, ["r"], "x_", 5))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("closed", ["left", "both"])
+def test_intervals_of_all_lengths(spark, closed):
+    from reportlake.operators.intervals import dyadic_cells, interval_join
+
+    rnd = random.Random(4)
+    spans = [(i, rnd.choice(["a", "b", None]), s, rnd.choice([None, s - 1, s, s + 1, s + rnd.randrange(60), s + 10**rnd.randrange(12)]))
+             for i, s in enumerate(rnd.randrange(-500, 500) for _ in range(60))]
+    points = [(j, rnd.choice(["a", "b", None]), rnd.choice([None, *range(-510, 700)])) for j in range(120)]
+    left = spark.createDataFrame(spans, "id long, k string, s long, e long")
+    right = spark.createDataFrame(points, "id long, k string, p long")
+    for unit in (1.0, 7.0):
+        got = sorted((r["id"], r["id_right"]) for r in interval_join(left, right, "s", "e", "p", "k", unit, closed).collect())
+        assert got == sorted((i, j) for i, k, s, e in spans for j, q, p in points if k is not None and k == q and None not in (e, p)
+                             and s <= p and (p < e if closed == "left" else p <= e))
+    wide = spark.range(1).select(dyadic_cells(F.lit(-10**15 + 7), F.lit(10**17 + 5)).alias("c")).first()["c"]
+    assert len(wide) <= 2 * 63
+    assert sum(2**c["level"] for c in wide) == 10**17 + 5 + 10**15 - 7
+    assert interval_join(left.limit(0), right, "s", "e", "p", "k").count() == 0
