@@ -5,7 +5,7 @@ and returns a lazy DataFrame. Importing the submodules fills the registry.
 """
 
 from reportlake.conformance.registry import ORACLE, QUERIES  # noqa: F401
-from reportlake.conformance import edges, guard, reports, relational, scalars, spread, tier_a  # noqa: F401,E402
+from reportlake.conformance import edges, guard, reports, relational, scalars, shipped, spread, tier_a  # noqa: F401,E402
 
 
 def queries():

@@ -3,6 +3,7 @@ order, deterministic row sampling and GROUPS window frames."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -63,6 +64,23 @@ def order_nulls_last(df: DataFrame, *cols: Column | str, ascending: bool | Seque
     return df.orderBy(*keys)
 
 
+def limit_percent(df: DataFrame, percent: float, order: Sequence[Column | str]) -> DataFrame:
+    """``ORDER BY order LIMIT percent%``: the first ``floor(percent% of all rows)`` rows, told apart by their place in a
+    range-partitioned sort, so that a share of a large table never goes through one task or the driver."""
+    from reportlake.plans.pages import PageIndex
+
+    index = PageIndex(df, order)
+    return index.numbered("__place").where(F.col("__place") < int(index.total * percent / 100)).drop("__place")
+
+
+def select_matching(df: DataFrame, pattern: str) -> DataFrame:
+    """``COLUMNS('pattern')``: the columns whose name contains a match of a regular expression, in table order."""
+    found = [c for c in df.columns if re.search(pattern, c)]
+    if not found:
+        raise ValueError(f"no column matches {pattern}")
+    return df.select(*[F.col(f"`{c}`") for c in found])
+
+
 def sample_key(seed: int, *cols: Column | str) -> Column:
     """Stable per-row sort key: md5 of seed and key columns (same value in any SQL engine)."""
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[_col(c).cast("string") for c in cols]))

@@ -9,10 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reportlake.plans.lake import sql_type_name
+from reportlake.plans.lake import PREVIEW_DEFAULT, PREVIEW_MAX, sql_type_name
 
 # Fixed values that must equal the reference behaviour.
-PREVIEW_DEFAULT, PREVIEW_MAX = 20, 200
 SMALL_PREVIEW_DEFAULT, SMALL_PREVIEW_MAX = 5, 10
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)

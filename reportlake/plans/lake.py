@@ -36,6 +36,17 @@ class LakeError(ValueError):
     """A load or append could not be done; nothing visible was changed."""
 
 
+# Fixed values that must equal the reference behaviour.
+PREVIEW_DEFAULT, PREVIEW_MAX = 20, 200
+
+
+@dataclass
+class Preview:
+    rows: DataFrame
+    columns: list[tuple[str, str]]
+    total: int
+
+
 @dataclass
 class TableInfo:
     physical_name: str
@@ -407,6 +418,15 @@ class Lake:
             self.drop_table(t.physical_name)
         return len(infos)
 
+    # ---- preview ---------------------------------------------------------------------------------
+    def preview(self, source_id: str, physical: str, rows: int = PREVIEW_DEFAULT, order_by: Sequence[str] | None = None) -> Preview:
+        """The first rows of a table (200 at most), its columns and its number of rows; the table must belong to the source."""
+        if physical not in {t.physical_name for t in self.table_infos(source_id)}:
+            raise LakeError(f"table {physical} does not belong to source {source_id}")
+        table = self.table(physical)
+        shown = table.orderBy(*order_by) if order_by else table
+        return Preview(shown.limit(min(max(int(rows), 0), PREVIEW_MAX)), [(f.name, sql_type_name(f.dataType)) for f in table.schema.fields], table.count())
+
     # ---- listing --------------------------------------------------------------------------------
     def row_counts(self, physicals: Sequence[str] | None = None) -> DataFrame:
         """Exact row counts of many tables in one job (a union of per-table counts)."""
