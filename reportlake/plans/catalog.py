@@ -56,15 +56,16 @@ def preview_small(df: DataFrame, n: int = SMALL_PREVIEW_DEFAULT, order_by=None)
 QUANTILE_ACCURACY, TOP_VALUES, TOP_TRACKED = 1000, 5, 1000
 
 
-def profile(df: DataFrame) -> DataFrame:
+def profile(df: DataFrame, sketches: bool = True) -> DataFrame:
     """One pass over the table: per column non-null and null counts, share of nulls, min, max (as text),
     mean, standard deviation and quartiles for numbers (a mergeable quantile sketch), approximate distinct count (HyperLogLog) and the
-    most frequent values with their counts (a mergeable frequent-items sketch, exact up to ``TOP_TRACKED`` distinct values)."""
+    most frequent values with their counts (a mergeable frequent-items sketch, exact up to ``TOP_TRACKED`` distinct values).
+    Without ``sketches`` the quartiles and frequent values, which cost more than all the rest, are NULL."""
     aggs = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         numeric = isinstance(f.dataType, _NUMERIC)
-        quartiles = F.percentile_approx(c.cast("double"), [0.25, 0.5, 0.75], QUANTILE_ACCURACY) if numeric else F.lit(None).cast("array<double>")
+        quartiles = F.percentile_approx(c.cast("double"), [0.25, 0.5, 0.75], QUANTILE_ACCURACY) if numeric and sketches else F.lit(None).cast("array<double>")
         comparable = not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))
         aggs.append(F.struct(
             F.lit(f.name).alias("column_name"), F.lit(sql_type_name(f.dataType)).alias("column_type"),
@@ -77,7 +78,7 @@ def profile(df: DataFrame) -> DataFrame:
             (F.round(F.stddev_samp(c), 6) if numeric else F.lit(None).cast("double")).alias("std"),
             (F.approx_count_distinct(c) if comparable else F.lit(None).cast("bigint")).alias("approx_distinct"),
             *[F.get(quartiles, F.lit(i)).alias(q) for i, q in enumerate(("q25", "q50", "q75"))],
-            (_top(f.name) if comparable else F.lit(None).cast("array<struct<value:string,n:bigint>>")).alias("top_values"),
+            (_top(f.name) if comparable and sketches else F.lit(None).cast("array<struct<value:string,n:bigint>>")).alias("top_values"),
         ))
     return df.agg(F.array(*aggs).alias("p")).select(F.explode("p").alias("p")).select("p.*")
 
