@@ -3,13 +3,13 @@
 Equal vectors of a label are one class with a weight. A neighbour graph over the classes starts from random
 hyperplane cells and is refined by neighbours-of-neighbours joins: all that share a neighbour are compared
 with each other, and each keeps its best. A list whose members all reach the threshold is saturated and
-doubles; each round adds fresh hyperplane cells. Recall is audited per label: random blocks of its vectors are
-held against all of the label, more of them until they show ``LINKS`` links (a label of up to ``WHOLE * BLOCK``
-vectors or of few links is compared whole that way, and needs no graph). Rounds go on until the audited links lie inside the graph's
-components and no list is saturated; labels for which they don't after the last round are compared whole, block
-by block. The graph uses vectors rounded to bytes; the links that are returned are decided in double precision
-by comparing each component in blocks, which also counts the links of dense groups whatever their size, without
-writing down their pairs.
+doubles; each round adds fresh hyperplane cells. Labels of any size go through the graph. Its recall is audited per
+label: a random block of the label's vectors is held against all of the label, then more blocks until they show
+``LINKS`` links (so the audit sees all of a label that has fewer). Rounds go on until the audited links lie inside
+the graph's components and no list is saturated, unless the audit saw all of the label; labels for which they
+don't after the last round are compared whole, block by block. What the audit found is kept. The graph uses
+vectors rounded to bytes; the links that are returned are decided in double precision by comparing each component
+in blocks, which also counts the links of dense groups whatever their size, without writing down their pairs.
 
 Nulls and ties: vectors that are null, empty, zero or hold a null or non-finite component, rows with a null
 label and rows with a null id link with nothing; vectors of different length are compared as if padded with
@@ -32,9 +32,9 @@ NEIGHBOURS, TABLES, CELL = 10, 4, 128
 #: Rounds before a label is compared whole, audited links of a label (or all it has), recall that ends the
 #: rounds, slack of the rounded cosine and of the single-precision one.
 ROUNDS, LINKS, RECALL, SLACK, FLOAT_SLACK = 6, 300, 0.999, 0.02, 1e-4
-#: Vectors of a block of the audit and of the comparison of whole labels, blocks up to which a label is compared
-#: whole at once (it writes fewer rows than a round of the graph), vectors of a block of larger labels.
-BLOCK, WHOLE, LARGE_BLOCK = 1024, 16, 4096
+#: Vectors of a block of the audit and of the comparison of whole labels: at least and at most; between them a
+#: label has BLOCKS blocks.
+BLOCK, LARGE_BLOCK, BLOCKS = 1024, 4096, 16
 
 
 def _unpack(rows: list[bytes]) -> np.ndarray:
@@ -83,8 +83,10 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec
                  label_col: str = "label", neighbours: int = NEIGHBOURS, audit: dict | None = None) -> DataFrame:
     """One row per vector: ``vec_id, n_links, component_id, kept``.
 
-    Vectors of one label link when their cosine is at least ``threshold``. ``audit``, if given, receives the
-    graph's recall of the audited links after each round and the number of labels that were compared whole.
+    Vectors of one label link when their cosine is at least ``threshold``. ``audit``, if given, receives
+    ``recall`` (the graph's own recall of the audited links of the labels refined in each round, None without such
+    links), ``audited_whole`` (labels the audit saw all of) and ``compared_whole`` (labels that the rounds didn't
+    settle).
     """
     spark = ready(vectors.sparkSession)
     all_rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"),
@@ -110,8 +112,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec
     limit = threshold - SLACK
     truth, plan = _audit(base, threshold, d)
     links = truth.select("a", "b")
-    # labels that the audit has not compared whole
-    open_labels = stored(plan.filter("done < blocks").select("key", "label_n", "blocks", "done"), "open")
+    open_labels = stored(plan.filter("label_n > 1").select("key", "label_n", "blocks", "done"), "open")
     graph = None
     for step in range(ROUNDS + 1):
         if open_labels.isEmpty():
@@ -123,8 +124,9 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec
         graph = _refine(base.join(open_labels.select("key", "label_n"), "key"), graph, step, limit, d, neighbours)
         open_labels = _unsettled(base, graph, truth, open_labels, limit, audit)
     if audit is not None:
-        audit.setdefault("recall", [1.0])
-        audit["compared_whole"] = plan.filter("done = blocks").count() + open_labels.count()
+        audit.setdefault("recall", [])
+        audit["audited_whole"] = plan.filter("done = blocks").count()
+        audit["compared_whole"] = open_labels.count()
     if graph is not None:
         links = links.union(graph.filter(F.col("cos") >= limit).select("u", "v"))
     comp = components(links)
@@ -184,7 +186,8 @@ def _refine(rows: DataFrame, graph: DataFrame | None, step: int, limit: float, d
 
 def _unsettled(base: DataFrame, graph: DataFrame, truth: DataFrame, labels: DataFrame, limit: float,
                audit: dict | None) -> DataFrame:
-    """Those of ``labels`` with a saturated list or with too few audited links inside the graph's components."""
+    """Those of ``labels`` with too few audited links inside the graph's components or, where the audit hasn't seen
+    the whole label, with a saturated list."""
     comp = components(graph.filter(F.col("cos") >= limit).select(F.col("u").alias("a"), F.col("v").alias("b")))
     ca = comp.select(F.col("id").alias("a"), F.col("component").alias("ca"))
     cb = comp.select(F.col("id").alias("b"), F.col("component").alias("cb"))
@@ -194,13 +197,14 @@ def _unsettled(base: DataFrame, graph: DataFrame, truth: DataFrame, labels: Data
     found = stored(found, "recall")
     if audit is not None:
         hit, asked = found.agg(F.sum("hit"), F.sum("asked")).first()
-        audit.setdefault("recall", []).append(1.0 if not asked else hit / asked)
+        audit.setdefault("recall", []).append(hit / asked if asked else None)
     # a list that was full of links has twice the room since
     full = (graph.groupBy("u").agg(F.min("cos").alias("worst"), F.count("*").alias("held"), F.max("room").alias("room"))
             .filter((F.col("worst") >= limit) & (2 * F.col("held") == F.col("room"))).select(F.col("u").alias("id"))
             .join(base.select("id", "key"), "id").select("key").distinct().withColumn("full", F.lit(True)))
     return stored(labels.join(found, "key", "left").join(full, "key", "left")
-                  .filter(F.coalesce("full", F.lit(False)) | F.coalesce(F.col("hit") < RECALL * F.col("asked"), F.lit(True)))
+                  .filter((F.coalesce("full", F.lit(False)) & (F.col("done") < F.col("blocks")))
+                          | F.coalesce(F.col("hit") < RECALL * F.col("asked"), F.lit(False)))
                   .select(*labels.columns), "open")
 
 
@@ -233,10 +237,9 @@ def _audit(base: DataFrame, threshold: float, d: int) -> tuple[DataFrame, DataFr
     """True links ``(key, a, b)`` of random blocks of each label, and the labels with their number of blocks and of
     those that are done: more are taken until they show LINKS links or the label is compared whole."""
     plan = (base.groupBy("key").agg(F.count("*").alias("label_n"))
-            .withColumn("whole", F.col("label_n") <= WHOLE * BLOCK)
-            .withColumn("blocks", F.ceil(F.col("label_n") / F.when(F.col("whole"), BLOCK).otherwise(LARGE_BLOCK)).cast("long"))
-            .select("key", "label_n", "blocks", F.lit(0).cast("long").alias("done"),
-                    F.when(F.col("whole"), F.col("blocks")).otherwise(F.lit(1).cast("long")).alias("upto")))
+            .withColumn("rows", F.greatest(F.lit(BLOCK), F.least(F.lit(LARGE_BLOCK), F.ceil(F.col("label_n") / BLOCKS))))
+            .select("key", "label_n", F.ceil(F.col("label_n") / F.col("rows")).cast("long").alias("blocks"),
+                    F.lit(0).cast("long").alias("done"), F.lit(1).cast("long").alias("upto")))
     plan, truth = stored(plan, "plan"), None
     while True:
         found = stored(_compared(base, plan, threshold, d), "truth")

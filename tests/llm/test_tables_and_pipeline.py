@@ -90,9 +90,10 @@ def test_near_vectors_recall_with_a_dense_group(spark):
 
 @pytest.mark.parametrize("links,rounds", [(300, 6), (20, 6), (20, 1)])
 def test_near_vectors_finds_every_lone_pair(spark, monkeypatch, links, rounds):
-    """Few pairs just over the threshold in a large label: by whole comparison, by the graph, by the last resort."""
-    for name, value in (("CELL", 16), ("BLOCK", 64), ("LARGE_BLOCK", 64), ("WHOLE", 1), ("LINKS", links), ("ROUNDS", rounds)):
-        monkeypatch.setattr(nndescent, name, value, raising=False)
+    """Few pairs just over the threshold in a large label: by the graph with an audit of all of the label, by the graph
+    with a sample as audit, by the last resort."""
+    for name, value in (("CELL", 16), ("BLOCK", 64), ("LARGE_BLOCK", 64), ("LINKS", links), ("ROUNDS", rounds)):
+        monkeypatch.setattr(nndescent, name, value)
     rng = np.random.RandomState(4)
     x = rng.randn(2000, 64)
     side = rng.randn(40, 64)
@@ -106,7 +107,16 @@ def test_near_vectors_finds_every_lone_pair(spark, monkeypatch, links, rounds):
     d = vectors(spark, [(i, r.tolist(), 1, 0, 0, "") for i, r in enumerate(x)]).repartition(4)
     got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in nndescent.near_vectors(d, 0.93, audit=audit).collect()}
     assert near.sum() == 2000 + 2 * 40 and got == {i: (int(near[i].sum()) - 1, int(np.flatnonzero(near[i])[0])) for i in got}
-    assert (links, rounds) == (20, 6) or audit["compared_whole"] == 1
+    assert len(audit["recall"]) >= 1 and audit["audited_whole"] == int(links == 300)
+    assert rounds == 6 or audit["compared_whole"] == 1
+
+
+def test_near_vectors_of_the_table_come_through_the_graph(spark):
+    """Every label of the given table is refined, whatever its size, and the graph alone finds the audited links."""
+    audit = {}
+    nndescent.near_vectors(spark.read.parquet(f"{SF}/embeddings.parquet"), 0.93, audit=audit)
+    assert audit["recall"] and audit["compared_whole"] == 0
+    assert all(r is None or r >= 0.999 for r in audit["recall"][-1:])
 
 
 def test_warc_round_trip(spark):
