@@ -152,3 +152,22 @@ def test_excluded_frames_share_one_array_and_sort_none(spark):
     made = [i for i, x in enumerate(lines) if "Window [" in x and "collect_list" in x]
     assert len(made) == 1 and plan.count("collect_list(") == 1
     assert not any(" Sort [" in x for x in lines[:made[0]])
+
+
+def test_points_are_copied_once_for_each_of_few_levels(spark):
+    from reportlake.operators.intervals import interval_join, wide_cells
+
+    cells = spark.range(1).select(wide_cells(F.lit(-10**15 + 7), F.lit(10**17 + 5)).alias("c")).first()["c"]
+    assert sum(2**c["level"] for c in cells) == 10**17 + 5 + 10**15 - 7
+    assert all(c["level"] % 3 == 0 for c in cells)
+    rnd = random.Random(8)
+    ends = [(lo, lo + rnd.randrange(3000)) for lo in (rnd.randrange(-2000, 2000) for _ in range(80))] + [(5, 5), (-8, 8), (-64, 0), (7, 8)]
+    got = spark.createDataFrame(ends, "lo long, hi long").select("lo", "hi", wide_cells(F.col("lo"), F.col("hi")).alias("c")).collect()
+    for lo, hi, c in got:
+        assert sorted(x for q in c for x in range(q["cell"] << q["level"], (q["cell"] + 1) << q["level"])) == list(range(lo, hi))
+    long = spark.createDataFrame([(1, 0, 10**8)], "id long, s long, e long")
+    point = spark.createDataFrame([(2, 77), (3, 10**8)], "id long, p long")
+    found = interval_join(long, point, "s", "e", "p")
+    assert [r["id_right"] for r in found.collect()] == [2]
+    most = max(len(c.split(",")) for c in __import__("re").findall(r"explode\(\[([0-9,]*)\]\)", plan_text(found)))
+    assert most <= 10
