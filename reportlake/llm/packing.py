@@ -7,8 +7,8 @@ filled by cutting the pieces of the emptiest bins, so a group ends with one part
 under ``MIN_CUT`` tokens stay.
 
 Nulls and ties: a null or empty text is the end id alone; a null doc_id is packed like any other; repeated
-rows are documents of their own; very long texts fill sequences of their own and only their remainder
-travels; an empty table gives an empty result; extra columns are ignored.
+rows are documents of their own; whole sequences of long texts pass through a group one by one and only remainders
+are held; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,10 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from reportlake.llm.common import documents, grouped, ready
+from reportlake.llm.common import documents, ready
 from reportlake.llm.pretokens import Kept, pieces
 
 LENGTH, GROUP, MIN_CUT = 1024, 8192, 8
+#: Bytes of text of a group where texts are long, pieces of a batch between tasks.
+GROUP_BYTES, PIECES = 1 << 28, 1000
 
 
 class Encoder:
@@ -132,75 +134,87 @@ def pack(docs: DataFrame, tokenizer_path: str, pattern: str, length: int = LENGT
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids``.
 
-    ``ids`` holds the piece's ids (little-endian unsigned 32 bits) where it was packed with others and is null
-    for a piece that fills a sequence alone, which is ``doc tokens [start, start + length)`` as they stand.
+    ``ids`` holds the piece's ids (little-endian unsigned 32 bits).
     ``ascii_pattern``, if given, says for ASCII texts what ``pattern`` says for all, in terms that match faster.
     """
     ready(docs.sparkSession)
     docs = documents(docs, id_col, text_col)
+    n, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    groups = max(1, -(-n // group), -(-size // GROUP_BYTES))
+    dealt = (docs.withColumn("row", F.monotonically_increasing_id())
+             .withColumn("grp", F.pmod(F.xxhash64(F.lit(seed), "row"), F.lit(groups)))
+             .select("doc_id", "text", "grp", "row"))
 
     def encode(batches):
         enc = encoder(tokenizer_path, pattern, ascii_pattern)
         last = np.array([end_id], "<u4")
         for b in batches:
-            tokens, crcs, rest = [], [], []
-            for text in b.column(1).to_pylist():
+            out = {k: [] for k, _ in _CUT}
+            for doc, text, grp, row in zip(*(c.to_pylist() for c in b.columns)):
                 ids = np.concatenate((enc.encode(text), last))
-                whole = len(ids) // length
                 data = ids.tobytes()
-                tokens.append(len(ids))
-                crcs.append([zlib.crc32(data[4 * length * k: 4 * length * (k + 1)]) for k in range(whole)])
-                rest.append(data[4 * length * whole:])
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(tokens, pa.int64()), pa.array(crcs, pa.list_(pa.int64())), pa.array(rest, pa.binary())],
-                names=["doc_id", "doc_tokens", "crcs", "rest"])
-
-    groups = max(1, -(-docs.count() // group))
-    dealt = (docs.withColumn("row", F.monotonically_increasing_id())
-             .withColumn("grp", F.pmod(F.xxhash64(F.lit(seed), "row"), F.lit(groups)))
-             .select("doc_id", "text", "grp", "row"))
-
-    def encode_dealt(batches):
-        def plain():
-            for b in batches:
-                side.append((b.column(2), b.column(3)))
-                yield b
-        side: list = []
-        for out in encode(plain()):
-            grp, row = side.pop(0)
-            yield pa.RecordBatch.from_arrays([grp, row, *out.columns], names=["grp", "row", *out.schema.names])
-
-    rows = dealt.mapInArrow(encode_dealt, "grp long, row long, doc_id long, doc_tokens long, crcs array<long>, rest binary")
-
-    def pack_group(g):
+                for start in range(0, len(ids), length):
+                    piece = data[4 * start: 4 * (start + length)]
+                    for k, v in zip(out, (grp, len(piece) < 4 * length, row, start, doc, len(ids), piece)):
+                        out[k].append(v)
+                    if len(out["grp"]) >= PIECES:
+                        yield _batch(out, _CUT)
+                        out = {k: [] for k, _ in _CUT}
+            yield _batch(out, _CUT)
+
+    def pack_groups(batches):
+        """Whole sequences come first in a group and go on as they come; remainders are held and packed at its end."""
         out = {k: [] for k, _ in _PIECES}
+        current, sequence, held = None, 0, []
 
-        def put(doc, start, size, crc, sequence, offset, ids):
-            for k, v in zip(out, (g["doc_id"][doc], start, size, crc, g["doc_tokens"][doc],
-                                  (g["grp"][0] << 32) + sequence, offset, ids)):
+        def put(doc, start, ids, tokens, offset):
+            for k, v in zip(out, (doc, start, len(ids) // 4, zlib.crc32(ids), tokens, (current << 32) + sequence, offset, ids)):
                 out[k].append(v)
 
-        sequence = 0
-        for doc, crcs in enumerate(g["crcs"]):
-            for k, crc in enumerate(crcs):
-                put(doc, k * length, length, crc, sequence, 0, None)
+        def full():
+            nonlocal out
+            if len(out["doc_id"]) >= PIECES:
+                yield _batch(out, _PIECES)
+                out = {k: [] for k, _ in _PIECES}
+
+        def close():
+            nonlocal sequence, held
+            sizes = [len(h[3]) // 4 for h in held]
+            for b in fill(first_fit_decreasing(sizes, length), sizes, length, min_cut):
+                offset = 0
+                for item, lo, hi in b:
+                    doc, start, tokens, ids = held[item]
+                    put(doc, start + lo, ids[4 * lo: 4 * hi], tokens, offset)
+                    offset += hi - lo
                 sequence += 1
-        held = [d for d, r in enumerate(g["rest"]) if len(r)]
-        sizes = [len(g["rest"][d]) // 4 for d in held]
-        for b in fill(first_fit_decreasing(sizes, length), sizes, length, min_cut):
-            offset = 0
-            for item, lo, hi in b:
-                doc = held[item]
-                ids = g["rest"][doc][4 * lo: 4 * hi]
-                put(doc, len(g["crcs"][doc]) * length + lo, hi - lo, zlib.crc32(ids), sequence, offset, ids)
-                offset += hi - lo
-            sequence += 1
-        return out
-
-    return grouped(rows, ["grp"], pack_group, _PIECES,
-                   "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
-                   "offset long, ids binary", ["row"])
-
+                yield from full()
+            held = []
 
+        for b in batches:
+            for grp, partial, _, start, doc, tokens, ids in zip(*(c.to_pylist() for c in b.columns)):
+                if grp != current:
+                    yield from close()
+                    current, sequence = grp, 0
+                if partial:
+                    held.append((doc, start, tokens, ids))
+                else:
+                    put(doc, start, ids, tokens, 0)
+                    sequence += 1
+                    yield from full()
+        yield from close()
+        yield _batch(out, _PIECES)
+
+    cut = dealt.mapInArrow(encode, "grp long, partial boolean, row long, start long, doc_id long, doc_tokens long, ids binary")
+    return (cut.repartition("grp").sortWithinPartitions("grp", "partial", "row", "start")
+            .mapInArrow(pack_groups, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
+                                     "offset long, ids binary"))
+
+
+def _batch(rows: dict[str, list], fields: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(rows[k], t) for k, t in fields], schema=pa.schema(fields))
+
+
+_CUT = [("grp", pa.int64()), ("partial", pa.bool_()), ("row", pa.int64()), ("start", pa.int64()), ("doc_id", pa.int64()),
+        ("doc_tokens", pa.int64()), ("ids", pa.binary())]
 _PIECES = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
            ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())]

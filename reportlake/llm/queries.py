@@ -27,8 +27,9 @@ def op1_voronoi_topk(spark, sf_dir):
 
 
 def op2_packing(spark, sf_dir):
-    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
-                        BYTE_PATTERN, ascii_pattern=BYTE_PATTERN_ASCII).drop("ids")
+    packed = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                          BYTE_PATTERN, ascii_pattern=BYTE_PATTERN_ASCII)
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def op3_license_scan(spark, sf_dir):

@@ -77,6 +77,20 @@ def test_packing_awkward(awkward, nothing):
     assert packing.pack(nothing, P.path("byte_bpe_50k.json"), queries.BYTE_PATTERN).count() == 0
 
 
+def test_packing_returns_the_ids_of_every_piece(spark):
+    """Whole sequences too: put together, the pieces of a document are its ids."""
+    texts = {1: "lorem ipsum 17 " * 2500, 2: "short", 3: "", 4: "dolor sit amet " * 700}
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = packing.pack(df, P.path("byte_bpe_50k.json"), queries.BYTE_PATTERN).collect()
+    for doc, text in texts.items():
+        pieces = sorted((r for r in rows if r["doc_id"] == doc), key=lambda r: r["start"])
+        got = np.frombuffer(b"".join(bytes(r["ids"]) for r in pieces), "<u4").tolist()
+        assert got == library.encode(text, add_special_tokens=False).ids + [0]
+        assert all(4 * r["length"] == len(r["ids"]) and r["ids_crc32"] == zlib.crc32(r["ids"]) for r in pieces)
+    assert any(r["length"] == 1024 for r in rows)
+
+
 def test_packing_encoder_equals_library_on_every_letter():
     library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     enc = packing.Encoder(P.path("byte_bpe_50k.json"), queries.BYTE_PATTERN, queries.BYTE_PATTERN_ASCII)
