@@ -42,7 +42,7 @@ def _unpack(rows: list[bytes]) -> np.ndarray:
     return m / np.maximum(np.sqrt((m * m).sum(1)), 1e-9)[:, None]
 
 
-_GRAPH = [("u", pa.int64()), ("v", pa.int64()), ("cos", pa.float32())]
+_GRAPH = [("key", pa.int64()), ("u", pa.int64()), ("v", pa.int64()), ("cos", pa.float32())]
 
 
 def _best_pairs(keep: int):
@@ -62,21 +62,27 @@ def _best_pairs(keep: int):
         top = np.argpartition(-cos, k - 1, axis=1)[:, :k]
         value = np.take_along_axis(cos, top, 1)
         i, j = np.nonzero(value > worst[:, None])
-        return {"u": ids[i].tolist(), "v": ids[top[i, j]].tolist(), "cos": value[i, j].tolist()}
+        return {"key": [g["key"][0]] * len(i), "u": ids[i].tolist(), "v": ids[top[i, j]].tolist(), "cos": value[i, j].tolist()}
 
     return run
 
 
 def _merge(graph: DataFrame, limit: float, neighbours: int) -> DataFrame:
-    """Each class's best neighbours; a list that is all links is saturated and may be twice as long."""
+    """Each class's best neighbours, best first (``r``); a list that is all links is saturated and may be twice as long.
+    ``worst`` is what a new neighbour must beat, ``full`` says that the list was saturated before its room was doubled.
+    One shuffle by ``u`` serves the distinct pairs and the windows."""
     best = Window.partitionBy("u").orderBy(F.desc("cos"), "v")
-    g = graph.groupBy("u", "v").agg(F.max("cos").alias("cos"), F.max("room").alias("room"))
-    own = Window.partitionBy("u")
-    g = (g.withColumn("room", F.max("room").over(own)).withColumn("r", F.row_number().over(best))
-         .filter(F.col("r") <= F.col("room")))
-    links = F.sum((F.col("cos") >= limit).cast("int")).over(own)
-    return (g.withColumn("room", F.when(links >= F.col("room"), F.col("room") * 2).otherwise(F.col("room")))
-            .select("u", "v", "cos", "room"))
+    own = best.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    g = (graph.repartition("u").groupBy("key", "u", "v")
+         .agg(F.max("cos").alias("cos"), F.max("room").alias("room"))
+         .withColumn("room", F.coalesce(F.max("room").over(own), F.lit(neighbours)))
+         .withColumn("r", F.row_number().over(best)).filter(F.col("r") <= F.col("room")))
+    g = (g.withColumn("links", F.sum((F.col("cos") >= limit).cast("int")).over(own))
+         .withColumn("held", F.count("*").over(own)).withColumn("low", F.min("cos").over(own))
+         .withColumn("room", F.when(F.col("links") >= F.col("room"), F.col("room") * 2).otherwise(F.col("room"))))
+    return g.select("key", "u", "v", "cos", "room", "r",
+                    F.when(F.col("held") < F.col("room"), F.lit(-2.0)).otherwise(F.col("low")).cast("float").alias("worst"),
+                    ((F.col("low") >= limit) & (2 * F.col("held") == F.col("room"))).alias("full"))
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -122,7 +128,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec
                                 .select("a", "b"))
             break
         graph = _refine(base.join(open_labels.select("key", "label_n"), "key"), graph, step, limit, d, neighbours)
-        open_labels = _unsettled(base, graph, truth, open_labels, limit, audit)
+        open_labels = _unsettled(graph, truth, open_labels, limit, audit)
     if audit is not None:
         audit.setdefault("recall", [])
         audit["audited_whole"] = plan.filter("done = blocks").count()
@@ -167,57 +173,56 @@ def _start(rows: DataFrame, step: int, d: int) -> DataFrame:
 
 def _refine(rows: DataFrame, graph: DataFrame | None, step: int, limit: float, d: int, neighbours: int) -> DataFrame:
     """The graph after a round on ``rows``: fresh hyperplane cells and, from the second round on, all that share
-    a neighbour."""
-    fresh = _solve(_cells(_start(rows, step, d), ["key", "tab", "code"], F.lit(-2.0).cast("float"), step), neighbours)
-    if graph is None:
-        fresh = fresh.withColumn("room", F.lit(neighbours))
-        return stored(_merge(fresh, limit, neighbours), "graph")
-    lists = graph.groupBy("u").agg(F.min("cos").alias("worst"), F.count("*").alias("held"), F.max("room").alias("room"))
-    lists = lists.select(F.col("u").alias("id"), F.when(F.col("held") < F.col("room"), F.lit(-2.0)).otherwise(
-        F.col("worst")).cast("float").alias("worst"), "room")
-    both = (graph.select(F.col("u").alias("hub"), F.col("v").alias("id"))
-            .union(graph.select(F.col("v").alias("hub"), F.col("u").alias("id"))).distinct())
-    near = both.join(rows.select("id", "bytes"), "id").join(lists.select("id", "worst"), "id")
-    fresh = fresh.union(_solve(_cells(near, ["hub"], F.col("worst"), step), neighbours))
-    fresh = (fresh.join(lists.select(F.col("id").alias("u"), "room"), "u", "left")
-             .withColumn("room", F.coalesce("room", F.lit(neighbours))))
-    return stored(_merge(graph.unionByName(fresh), limit, neighbours), "graph")
-
-
-def _unsettled(base: DataFrame, graph: DataFrame, truth: DataFrame, labels: DataFrame, limit: float,
-               audit: dict | None) -> DataFrame:
-    """Those of ``labels`` with too few audited links inside the graph's components or, where the audit hasn't seen
-    the whole label, with a saturated list."""
-    comp = components(graph.filter(F.col("cos") >= limit).select(F.col("u").alias("a"), F.col("v").alias("b")))
+    a neighbour. All cells are dealt and solved together."""
+    members = _start(rows, step, d).select("key", F.xxhash64("key", "tab", "code").alias("at"), "id",
+                                           F.lit(-2.0).cast("float").alias("worst"), "bytes")
+    sizes = members.groupBy("key", "at").agg(F.count("*").alias("size"))
+    if graph is not None:
+        lists = graph.filter("r = 1").select(F.col("u").alias("id"), "worst")
+        both = (graph.select("key", F.col("v").alias("id"), F.col("u").alias("hub"))
+                .union(graph.select("key", F.col("u").alias("id"), F.col("v").alias("hub"))).repartition("id").distinct())
+        near = both.join(rows.select("id", "bytes"), "id").join(lists, "id")
+        # both ways, so a class has as many hubs as it has members as a hub
+        sizes = sizes.union(both.groupBy("key", "id").agg(F.count("*").alias("size"))
+                            .select("key", F.xxhash64("id").alias("at"), "size"))
+        members = members.union(near.select("key", F.xxhash64("hub").alias("at"), "id", "worst", "bytes"))
+    fresh = (grouped(_cells(members, sizes, step), ["key", "at", "cell"], _best_pairs(neighbours), _GRAPH,
+                     "key long, u long, v long, cos float").withColumn("room", F.lit(None).cast("int")))
+    if graph is not None:
+        fresh = graph.select(*fresh.columns).union(fresh)
+    return stored(_merge(fresh, limit, neighbours), "graph")
+
+
+def _unsettled(graph: DataFrame, truth: DataFrame, labels: DataFrame, limit: float, audit: dict | None) -> DataFrame:
+    """Those of ``labels`` with a saturated list, where the audit hasn't seen the whole label, or with too few audited
+    links inside the graph's components. What a saturated list keeps open is not audited unless ``audit`` asks for it."""
+    # a list that was full of links has twice the room since
+    full = graph.filter("r = 1 AND full").select("key").distinct().withColumn("full", F.lit(True))
+    state = stored(labels.join(full, "key", "left").select(
+        *labels.columns, (F.coalesce("full", F.lit(False)) & (F.col("done") < F.col("blocks"))).alias("open")), "open")
+    asked = (state if audit is not None else state.filter("NOT open")).select("key")
+    if asked.isEmpty():
+        return state.select(*labels.columns)
+    comp = components(graph.filter(F.col("cos") >= limit).join(asked, "key", "left_semi")
+                      .select(F.col("u").alias("a"), F.col("v").alias("b")))
     ca = comp.select(F.col("id").alias("a"), F.col("component").alias("ca"))
     cb = comp.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-    found = (truth.join(labels.select("key"), "key").join(ca, "a", "left").join(cb, "b", "left")
+    found = (truth.join(asked, "key").join(ca, "a", "left").join(cb, "b", "left")
              .groupBy("key").agg(F.sum((F.coalesce("ca", "a") == F.coalesce("cb", "b")).cast("long")).alias("hit"),
                                  F.count("*").alias("asked")))
     found = stored(found, "recall")
     if audit is not None:
-        hit, asked = found.agg(F.sum("hit"), F.sum("asked")).first()
-        audit.setdefault("recall", []).append(hit / asked if asked else None)
-    # a list that was full of links has twice the room since
-    full = (graph.groupBy("u").agg(F.min("cos").alias("worst"), F.count("*").alias("held"), F.max("room").alias("room"))
-            .filter((F.col("worst") >= limit) & (2 * F.col("held") == F.col("room"))).select(F.col("u").alias("id"))
-            .join(base.select("id", "key"), "id").select("key").distinct().withColumn("full", F.lit(True)))
-    return stored(labels.join(found, "key", "left").join(full, "key", "left")
-                  .filter((F.coalesce("full", F.lit(False)) & (F.col("done") < F.col("blocks")))
-                          | F.coalesce(F.col("hit") < RECALL * F.col("asked"), F.lit(False)))
+        hit, total = found.agg(F.sum("hit"), F.sum("asked")).first()
+        audit.setdefault("recall", []).append(hit / total if total else None)
+    return stored(state.join(found, "key", "left")
+                  .filter(F.col("open") | F.coalesce(F.col("hit") < RECALL * F.col("asked"), F.lit(False)))
                   .select(*labels.columns), "open")
 
 
-def _cells(members: DataFrame, keys: list[str], worst, salt: int = 0) -> DataFrame:
-    """Members of a key dealt at random into cells of about CELL rows; nothing is left out."""
-    sizes = members.groupBy(*keys).agg(F.count("*").alias("size")).filter("size > 1")
+def _cells(members: DataFrame, sizes: DataFrame, salt: int = 0) -> DataFrame:
+    """Members of a place dealt at random into cells of about CELL rows; nothing is left out but lone members."""
     cell = F.pmod(F.xxhash64("id", F.lit(salt)), F.ceil(F.col("size") / CELL).cast("long"))
-    return (members.withColumn("worst", worst).join(sizes, keys)
-            .select(F.xxhash64(*keys).alias("key"), cell.alias("cell"), "id", "worst", "bytes"))
-
-
-def _solve(cells: DataFrame, neighbours: int) -> DataFrame:
-    return grouped(cells, ["key", "cell"], _best_pairs(neighbours), _GRAPH, "u long, v long, cos float")
+    return members.join(sizes.filter("size > 1"), ["key", "at"]).select("key", "at", cell.alias("cell"), "id", "worst", "bytes")
 
 
 def _unit(column: pa.Array, d: int) -> np.ndarray:

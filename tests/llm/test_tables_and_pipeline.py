@@ -111,6 +111,24 @@ def test_near_vectors_finds_every_lone_pair(spark, monkeypatch, links, rounds):
     assert rounds == 6 or audit["compared_whole"] == 1
 
 
+def test_near_vectors_takes_few_jobs_while_lists_are_saturated(spark, monkeypatch):
+    """What every job leaves behind adds up in the driver; a group of near copies keeps its label open to the last round."""
+    for name, value in (("CELL", 16), ("BLOCK", 64), ("LARGE_BLOCK", 64), ("LINKS", 20)):
+        monkeypatch.setattr(nndescent, name, value)
+    rng = np.random.RandomState(5)
+    x = np.concatenate([rng.randn(400, 32), rng.randn(32) + 0.1 * rng.randn(300, 32)]).astype(np.float32)
+    d = vectors(spark, [(i, r.tolist(), 1, 0, 0, "") for i, r in enumerate(x)]).repartition(4)
+    sc = spark.sparkContext
+    sc.setJobGroup("saturated", "near_vectors")
+    try:
+        got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in nndescent.near_vectors(d, 0.93).collect()}
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+    assert got == {i: (299, 400) if i >= 400 else (0, i) for i in range(700)}
+    assert len(sc.statusTracker().getJobIdsForGroup("saturated")) <= 180
+
+
 def test_near_vectors_of_the_table_come_through_the_graph(spark):
     """Every label of the given table is refined, whatever its size, and the graph alone finds the audited links."""
     audit = {}
