@@ -7,13 +7,15 @@ tokens of the tree that the node's path has not used; trees have tokens of their
 follows at least one common path of a tree with the probability p = 1 - (1 - s*p')^2, whose fixed point at 0.8
 is 0.94, were all tokens fresh: four trees miss a pair at the threshold once in 65,000. With 32 tokens a tree,
 simulated, they miss it 2 times in 100,000 after 4 levels, 3 after 6 and 6 after 8 and after 12. Nodes of one class vanish; small nodes are
-compared exhaustively on sketches of 32 minwise bytes (a pair at the threshold agrees in fewer than 14 of
-them once in 200,000); a node that hardly shrinks any more holds texts that are alike, and is taken whole.
-What these comparisons connect is one candidate group, whichever and however many nodes found it. So every
-full set travels once, to its group, where links are confirmed exactly: groups of up to 64 classes whole,
-larger ones in random blocks, each with the group's pivot, and then, where several components are left, all
-classes outside the largest component against all blocks. Nothing is dropped, and no pairs are written down
-but those that join two components.
+compared exhaustively by the sizes of the sets and on sketches of 128 minwise bytes (a pair at the threshold
+agrees in too few of them, fewer than 79 for 0.8, less than once in a million); a node that hardly shrinks any more
+holds texts that are alike, and is taken whole.
+What these comparisons connect is one candidate group, whichever and however many nodes found it. Groups are
+chains, so a passage of very many documents makes a large one of texts that are not near each other. Links
+are confirmed exactly on full sets: groups of up to 64 classes whole, larger ones in random blocks, each with the
+group's pivot. Where several components are left, the classes outside the largest one meet all classes of the group of
+a size that allows a link, on sketches only; full sets travel to the blocks in which a sketch has found a partner.
+Nothing else is dropped, and no pairs are written down but those that join two components.
 
 Nulls and ties: a null text or one without words has the empty set (0 shingles) and links with nothing; a
 null id keeps its row, with a null component; rows that share an id count as one document; extra columns
@@ -22,6 +24,9 @@ are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -32,13 +37,14 @@ from reportlake.llm.common import documents, grouped, ready, stored
 from reportlake.llm.components import components
 
 #: Independent trees, levels of a tree at most, paths chosen at a node, minwise tokens of a class for a tree
-#: (more than levels) and in all, those of them a sketch takes a byte of.
-TREES, LEVELS, PATHS, POOL, SKETCH = 4, 12, 2, 32, 32
+#: (more than levels) and in all; a sketch takes a byte of each.
+TREES, LEVELS, PATHS, POOL = 4, 12, 2, 32
 COORDINATES = TREES * POOL
-#: Classes compared exhaustively, random passes over larger groups, classes of a block in the exact rest.
-SMALL, PASSES, BLOCK = 64, 2, 256
-#: Least number of equal sketch bytes of a candidate pair.
-AGREE = 14
+#: Classes compared exhaustively, random passes over larger groups, classes of a block in the exact rest and
+#: of one of sketches.
+SMALL, PASSES, BLOCK, SKETCHES = 64, 2, 256, 4096
+#: Share of pairs at the threshold whose sketches may agree too seldom.
+MISSED = 1e-6
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 _RNG = np.random.RandomState(20240501)
@@ -77,6 +83,16 @@ def shingles(text: str, width: int, seen: dict) -> np.ndarray:
     return np.unique(_mix(h + np.uint64(k)))
 
 
+def _agree(percent: int) -> int:
+    """Least number of equal sketch bytes of a candidate pair: the binomial tail below it is ``MISSED`` at most."""
+    p, below = min(max(percent / 100, 0.0), 1.0), 0.0
+    for k in range(COORDINATES):
+        below += math.comb(COORDINATES, k) * p**k * (1 - p) ** (COORDINATES - k)
+        if below > MISSED:
+            return k
+    return COORDINATES
+
+
 def _summaries(width: int):
     fields = [("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("sig", pa.list_(pa.int32())),
               ("sketch", pa.binary())]
@@ -97,7 +113,7 @@ def _summaries(width: int):
                         halves = _mix(flat * _MUL[c] + _ADD[c]).view(np.uint32)
                         sig[:, c] = np.minimum.reduceat(halves[::2], starts)
                         sig[:, c + COORDINATES // 2] = np.minimum.reduceat(halves[1::2], starts)
-                rows, sketches = iter(sig.view(np.int32)), iter(sig[:, :SKETCH].astype(np.uint8))
+                rows, sketches = iter(sig.view(np.int32)), iter(sig.astype(np.uint8))
                 yield pa.RecordBatch.from_arrays([
                     b.column(0).slice(i, 250), pa.array(n),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
@@ -134,16 +150,19 @@ def _choices(depth: int):
     return F.transform(F.array(first, second), lambda k: F.get(free, k.cast("int")))
 
 
-def _candidates(classes: DataFrame) -> DataFrame:
+def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) between classes that a node has together; they connect every candidate group."""
-    level, found = None, []
+    level, found, small = None, [], []
+    sigs = classes.select("rep", "sig")
     for depth in range(LEVELS):
         if depth == 0:
             roots = F.explode(F.array(*[F.lit(t) for t in range(TREES)])).alias("tree")
-            level = classes.select("rep", "sig", roots, F.lit(0).cast("long").alias("node"),
+            level = sigs.select("rep", "sig", roots, F.lit(0).cast("long").alias("node"),
                                    F.lit(0).cast("long").alias("used"), F.lit(0).cast("long").alias("size"))
         else:
-            level = level.join(classes.select("rep", "sig"), "rep")
+            if depth == 1:  # deeper levels hold no other classes
+                sigs = stored(sigs.join(level.select("rep").distinct(), "rep", "left_semi"), "sigs")
+            level = level.join(sigs, "rep")
         token = F.get("sig", F.col("tree") * POOL + F.col("c"))
         paths = (level.withColumn("c", F.explode(_choices(depth)))
                  .select("rep", F.col("size").alias("above"), "tree", F.xxhash64("node", "tree", "c", token).alias("node"),
@@ -151,10 +170,7 @@ def _candidates(classes: DataFrame) -> DataFrame:
         sizes = (paths.groupBy("tree", "node").agg(F.count("*").alias("size"), F.min("rep").alias("pivot"))
                  .filter("size > 1"))
         nodes = stored(paths.join(sizes, ["tree", "node"]), "paths")
-        small = nodes.filter(F.col("size") <= SMALL).select("tree", "node", "rep")
-        pairs = grouped(small.join(classes.select("rep", "sketch"), "rep").select("tree", "node", "rep", "sketch"),
-                        ["tree", "node"], _alike, _EDGE, "a long, b long")
-        found.append(stored(pairs.distinct(), "alike"))
+        small.append(nodes.filter(F.col("size") <= SMALL).select("tree", "node", "rep"))
         large = nodes.filter(F.col("size") > SMALL)
         if depth == LEVELS - 1:
             dense = F.lit(True)
@@ -167,24 +183,42 @@ def _candidates(classes: DataFrame) -> DataFrame:
         level = large.filter(~dense).select("rep", "tree", "node", "used", "size")
         if depth == LEVELS - 1 or level.isEmpty():
             break
-    edges = found[0]
-    for f in found[1:]:
-        edges = edges.union(f)
-    return edges
-
-
-def _alike(g):
-    """Classes of one node whose sketches agree, as a spanning forest."""
-    reps = g["rep"]
-    m = len(reps)
-    if m < 2:
-        return None
-    grid = np.frombuffer(b"".join(g["sketch"]), np.uint8).reshape(m, SKETCH)
-    if m == 2:
-        near = (grid[0] == grid[1]).sum() >= AGREE
-        return {"a": [reps[1]], "b": [reps[0]]} if near and reps[0] != reps[1] else None
-    ok = (grid[:, None, :] == grid[None, :, :]).sum(2) >= AGREE
-    return _forest(ok, reps, reps)
+    nodes = reduce(DataFrame.union, small).join(classes.select("rep", "n", "sketch"), "rep")
+    pairs = grouped(nodes.select("tree", "node", "rep", "n", "sketch"), ["tree", "node"], _alike(percent), _EDGE, "a long, b long")
+    return reduce(DataFrame.union, found, stored(pairs.distinct(), "alike"))
+
+
+def _alike(percent: int):
+    """Classes of one node whose sizes and sketches allow a link, as a spanning forest."""
+    least = _agree(percent)
+
+    def run(g):
+        reps = g["rep"]
+        if len(reps) < 2:
+            return None
+        grid, n = _sketches(g["sketch"]), np.array(g["n"], np.int64)
+        if len(reps) == 2:  # most nodes
+            near = 100 * n.min() >= percent * n.max() and np.count_nonzero(grid[0] == grid[1]) >= least
+            return {"a": [reps[1]], "b": [reps[0]]} if near and reps[0] != reps[1] else None
+        return _forest(_near(grid, n, grid, n, percent, least), reps, reps)
+
+    return run
+
+
+def _sketches(column: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint8).reshape(len(column), COORDINATES)
+
+
+def _near(x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray, percent: int, least: int) -> np.ndarray:
+    """Which sketches of ``x`` agree with which of ``y`` in ``least`` bytes or more, their sets being of sizes that allow a link."""
+    if len(x) * len(y) <= SMALL * SMALL:
+        equal = (x[:, None, :] == y[None, :, :]).sum(2)
+    else:
+        equal, columns = np.zeros((len(x), len(y)), np.uint8), np.ascontiguousarray(y.T)
+        for c in range(COORDINATES):
+            equal += x[:, c, None] == columns[c]
+    low, high = np.minimum(nx[:, None], ny), np.maximum(nx[:, None], ny)
+    return (equal >= least) & (100 * low >= percent * high)
 
 
 def _forest(ok: np.ndarray, reps: list, comps: list) -> dict:
@@ -257,10 +291,10 @@ def _with_components(members: DataFrame, comp: DataFrame) -> DataFrame:
 
 
 def _open_groups(members: DataFrame) -> DataFrame:
-    """Members of groups that still hold two components or more."""
-    still = (members.groupBy("grp").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .filter("lo < hi").select("grp"))
-    return members.join(still, "grp")
+    """Members of groups that still hold two components or more; their sets don't meet by group."""
+    facts = members.select("grp", "rep", "comp")
+    still = facts.groupBy("grp").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
+    return members.join(facts.join(still.select("grp"), "grp").select("rep"), "rep", "left_semi")
 
 
 def _compare(members: DataFrame, percent: int, salt: int) -> DataFrame:
@@ -274,25 +308,70 @@ def _compare(members: DataFrame, percent: int, salt: int) -> DataFrame:
     return grouped(rows, ["grp", "block"], _linker(percent), _EDGE, "a long, b long")
 
 
-def _compare_rest(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs across components of the groups given: blocks of the classes outside a group's largest
-    component meet every block of the group."""
-    by = members.groupBy("grp", "comp").agg(F.count("*").alias("k"))
-    main = by.groupBy("grp").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"),
-                                 (F.sum("k") - F.max("k")).alias("n_minor"))
-    m = members.join(main, "grp").withColumn("minor", F.col("comp") != F.col("main"))
-    zero = F.lit(0).cast("long")
-    cols = F.ceil(F.col("size") / BLOCK).cast("long")
-    rows = F.ceil(F.col("n_minor") / BLOCK).cast("long")
-    left = (m.filter("minor").withColumn("row", F.pmod(F.xxhash64("rep", F.lit(7)), rows))
-            .withColumn("col", F.explode(F.sequence(zero, cols - 1))))
-    right = (m.withColumn("col", F.pmod(F.xxhash64("rep", F.lit(11)), cols))
-             .withColumn("row", F.explode(F.sequence(zero, rows - 1))))
-    names = ["grp", "row", "col", "rep", "comp", "members"]
-    return grouped(left.select(*names).union(right.select(*names)), ["grp", "row", "col"], _linker(percent), _EDGE,
+def _compare_rest(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """All pairs across components of a group that sizes and sketches allow: the classes outside its largest
+    component and their partners meet in blocks of the partners."""
+    facts = _open_groups(members.drop("members"))
+    by = facts.groupBy("grp", "comp").agg(F.count("*").alias("k"))
+    main = by.groupBy("grp").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"))
+    parts = F.ceil(F.col("size") / BLOCK).cast("long")
+    m = (facts.join(main, "grp").join(classes.select("rep", "n", "sketch"), "rep")
+         .select("grp", "rep", "comp", "n", "sketch", (F.col("comp") != F.col("main")).alias("minor"),
+                 F.pmod(F.xxhash64("rep", F.lit(11)), parts).alias("part"), _band(percent).alias("band")))
+    hits = stored(_meet(stored(m, "sketches"), percent).distinct(), "hits")
+    blocks = (hits.filter("minor").groupBy("grp", "part").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("rows")))
+    hits = hits.join(blocks, ["grp", "part"])
+    row = F.pmod(F.xxhash64("rep", F.lit(7)), F.col("rows"))
+    placed = (hits.withColumn("row", F.explode(F.when(F.col("minor"), F.array(row)).otherwise(
+        F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)))).select("grp", "part", "row", "rep").distinct())
+    rows = placed.join(members.select("rep", "comp", "members"), "rep")
+    return grouped(rows.select("grp", "part", "row", "rep", "comp", "members"), ["grp", "part", "row"], _linker(percent), _EDGE,
                    "a long, b long")
 
 
+def _band(percent: int):
+    """Sizes in bands so wide that two sets which can link are in the same or in neighbouring ones."""
+    return F.floor(F.log("n") / math.log(max(100 / max(percent, 1), 1.05)) * 0.999999)
+
+
+def _meet(m: DataFrame, percent: int) -> DataFrame:
+    """``grp, part, minor, rep``: a minor class with each part that holds a partner of it, and those partners."""
+    near = F.explode(F.array(*[F.col("band") + i for i in (-1, 0, 1)])).alias("band")
+    minors = m.filter("minor").select("grp", "rep", "comp", "n", "sketch", near)
+    bands = (m.groupBy("grp", "band").agg(F.ceil(F.count("*") / SKETCHES).cast("long").alias("cols"))
+             .join(minors.groupBy("grp", "band").agg(F.ceil(F.count("*") / SKETCHES).cast("long").alias("rows")), ["grp", "band"]))
+    zero = F.lit(0).cast("long")
+    left = (minors.join(bands, ["grp", "band"]).withColumn("row", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("rows")))
+            .withColumn("col", F.explode(F.sequence(zero, F.col("cols") - 1))).withColumn("part", F.lit(None).cast("long")))
+    right = (m.join(bands, ["grp", "band"]).withColumn("col", F.pmod(F.xxhash64("rep", F.lit(13)), F.col("cols")))
+             .withColumn("row", F.explode(F.sequence(zero, F.col("rows") - 1))))
+    names = ["grp", "band", "row", "col", "rep", "comp", "n", "sketch", "part"]
+    return grouped(left.select(*names).union(right.select(*names)), ["grp", "band", "row", "col"], _partners(percent),
+                   [("grp", pa.int64()), ("part", pa.int64()), ("minor", pa.bool_()), ("rep", pa.int64())],
+                   "grp long, part long, minor boolean, rep long")
+
+
+def _partners(percent: int):
+    least = _agree(percent)
+
+    def run(g):
+        reps, comps, n = (np.array(g[k], np.int64) for k in ("rep", "comp", "n"))
+        minor = np.array([p is None for p in g["part"]], bool)
+        y = np.nonzero(~minor)[0]
+        part, grid = np.array([g["part"][i] for i in y], np.int64), _sketches(g["sketch"])
+        found, partner = set(), np.zeros(len(y), bool)
+        for i in np.array_split(np.nonzero(minor)[0], max(1, int(minor.sum()) // 256)):
+            ok = _near(grid[i], n[i], grid[y], n[y], percent, least) & (comps[i][:, None] != comps[y])
+            partner |= ok.any(0)
+            a, b = np.nonzero(ok)
+            found.update(zip(reps[i][a].tolist(), part[b].tolist()))
+        rows = [(p, True, r) for r, p in found] + [(p, False, r) for r, p in zip(reps[y][partner].tolist(), part[partner].tolist())]
+        return {"grp": [g["grp"][0]] * len(rows), "part": [r[0] for r in rows], "minor": [r[1] for r in rows],
+                "rep": [r[2] for r in rows]}
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
@@ -305,7 +384,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80,
     run, schema = _summaries(width)
     rows = stored(docs.mapInArrow(run, schema), "shingles")
     linked = rows.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = stored(linked.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"),
+    classes = stored(linked.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"),
                                                F.first("sketch").alias("sketch")), "classes")
     # rows that share an id are one document: their classes meet at it
     shared = (linked.groupBy("doc_id").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
@@ -313,7 +392,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80,
     same_id = stored(linked.join(shared, "doc_id", "left_semi").join(classes.select("rep", "key"), "key")
                      .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")), "same-id")
 
-    group = components(_candidates(classes.select("rep", "sig", "sketch")))
+    group = components(_candidates(classes.select("rep", "n", "sig", "sketch"), percent))
     group = group.union(group.select(F.col("component").alias("id"), "component").distinct())
     sizes = group.groupBy("component").agg(F.count("*").alias("size"))
     group = group.join(sizes, "component").select(
@@ -329,7 +408,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80,
         for salt in range(2, PASSES + 1):
             edges = stored(edges.union(_compare(_open_groups(_with_components(large, comp)), percent, salt)), "links")
             comp = components(edges)
-        comp = components(edges.union(_compare_rest(_open_groups(_with_components(large, comp)), percent)))
+        comp = components(edges.union(_compare_rest(_with_components(large, comp), classes, percent)))
 
     of_class = (_with_components(classes.select("rep", "key"), comp)
                 .select("key", F.col("comp").alias("component_id")))

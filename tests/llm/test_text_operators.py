@@ -466,6 +466,47 @@ def test_near_duplicates_paths_at_the_threshold(spark):
     assert level.select("pair").distinct().count() >= 0.998 * n  # one choice for all nodes of a level: 0.954
 
 
+def test_near_duplicates_of_a_passage_that_chains(spark, monkeypatch):
+    """A passage of very many texts makes one large group without links: sketches meet there, full sets only for
+    partners. Pairs of it that do link are found."""
+    rng, m = random.Random(8), 1200
+    passage = " ".join(f"p{i}" for i in range(27))
+    own = [[f"w{rng.randint(0, 10**9)}" for _ in range(17)] for _ in range(m)]
+    rows = [(i, f"{passage} {' '.join(w)}") for i, w in enumerate(own)]
+    rows += [(m + i, f"{passage} {' '.join(own[i][:-1])} x{i}") for i in range(60)]  # one word less in common
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    sent, plain = [], nearset.grouped
+
+    def counted(df, *args):
+        if "members" in df.columns:
+            sent.append(df.count())
+        return plain(df, *args)
+
+    monkeypatch.setattr(nearset, "grouped", counted)
+    got = {r["doc_id"]: r["component_id"] for r in nearset.near_duplicates(docs, 4, 80).collect()}
+    assert got == {i: i - m if i >= m else i for i, _ in rows}
+    assert len(sent) == nearset.PASSES + 1 and sent[0] > 1000  # the group is there
+    assert sent[-1] < 500, sent  # all classes against all blocks: 12,600
+
+
+@pytest.mark.parametrize("least", [60, 79])
+def test_near_duplicates_sketches_equal_plain_counts(least):
+    rng = np.random.RandomState(3)
+    x, y = (rng.randint(0, 2, (k, nearset.COORDINATES)).astype(np.uint8) for k in (90, 70))
+    nx, ny = rng.randint(1, 9, 90), rng.randint(1, 9, 70)
+    want = [[int((a == b).sum()) >= least and 100 * min(s, t) >= 80 * max(s, t) for b, t in zip(y, ny)] for a, s in zip(x, nx)]
+    assert nearset._near(x, nx, y, ny, 80, least).tolist() == want
+    assert nearset._near(x[:9], nx[:9], y, ny, 80, least).tolist() == want[:9]
+    assert [nearset._agree(p) for p in (0, 80, 100)] == [0, 79, 128]
+
+
+@pytest.mark.parametrize("percent", [1, 50, 80, 99, 100])
+def test_near_duplicates_bands_of_linkable_sizes_touch(spark, percent):
+    n = spark.range(1, 1500).select(F.col("id").alias("n")).withColumn("band", nearset._band(percent))
+    far = n.alias("a").join(n.alias("b"), F.expr(f"100 * a.n >= {percent} * b.n AND a.n < b.n AND b.band - a.band > 1"))
+    assert far.isEmpty()
+
+
 def test_near_duplicates_awkward(awkward, nothing):
     got = nearset.near_duplicates(awkward, 4, 80).collect()
     by = {r["doc_id"]: r for r in got}
