@@ -41,8 +41,8 @@ from reportlake.llm.components import components
 TREES, LEVELS, PATHS, POOL = 4, 12, 2, 32
 COORDINATES = TREES * POOL
 #: Classes compared exhaustively, random passes over larger groups, classes of a block in the exact rest and
-#: of one of sketches.
-SMALL, PASSES, BLOCK, SKETCHES = 64, 2, 256, 4096
+#: of one of sketches, tasks that share the rows of a group.
+SMALL, PASSES, BLOCK, SKETCHES, SALTS = 64, 2, 256, 4096, 16
 #: Share of pairs at the threshold whose sketches may agree too seldom.
 MISSED = 1e-6
 
@@ -290,11 +290,17 @@ def _with_components(members: DataFrame, comp: DataFrame) -> DataFrame:
             .withColumn("comp", F.coalesce("component", "rep")).drop("component"))
 
 
+def _told(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` joined with what holds for their keys; those of one key are dealt over ``SALTS`` tasks."""
+    facts = facts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.hash("rep"), F.lit(SALTS))).join(facts, [*keys, "salt"]).drop("salt")
+
+
 def _open_groups(members: DataFrame) -> DataFrame:
     """Members of groups that still hold two components or more; their sets don't meet by group."""
     facts = members.select("grp", "rep", "comp")
     still = facts.groupBy("grp").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-    return members.join(facts.join(still.select("grp"), "grp").select("rep"), "rep", "left_semi")
+    return members.join(_told(facts, still.select("grp"), ["grp"]).select("rep"), "rep", "left_semi")
 
 
 def _compare(members: DataFrame, percent: int, salt: int) -> DataFrame:
@@ -315,7 +321,7 @@ def _compare_rest(members: DataFrame, classes: DataFrame, percent: int) -> DataF
     by = facts.groupBy("grp", "comp").agg(F.count("*").alias("k"))
     main = by.groupBy("grp").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"))
     parts = F.ceil(F.col("size") / BLOCK).cast("long")
-    m = (facts.join(main, "grp").join(classes.select("rep", "n", "sketch"), "rep")
+    m = (_told(facts, main, ["grp"]).join(classes.select("rep", "n", "sketch"), "rep")
          .select("grp", "rep", "comp", "n", "sketch", (F.col("comp") != F.col("main")).alias("minor"),
                  F.pmod(F.xxhash64("rep", F.lit(11)), parts).alias("part"), _band(percent).alias("band")))
     hits = stored(_meet(stored(m, "sketches"), percent).distinct(), "hits")
@@ -341,9 +347,9 @@ def _meet(m: DataFrame, percent: int) -> DataFrame:
     bands = (m.groupBy("grp", "band").agg(F.ceil(F.count("*") / SKETCHES).cast("long").alias("cols"))
              .join(minors.groupBy("grp", "band").agg(F.ceil(F.count("*") / SKETCHES).cast("long").alias("rows")), ["grp", "band"]))
     zero = F.lit(0).cast("long")
-    left = (minors.join(bands, ["grp", "band"]).withColumn("row", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("rows")))
+    left = (_told(minors, bands, ["grp", "band"]).withColumn("row", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("rows")))
             .withColumn("col", F.explode(F.sequence(zero, F.col("cols") - 1))).withColumn("part", F.lit(None).cast("long")))
-    right = (m.join(bands, ["grp", "band"]).withColumn("col", F.pmod(F.xxhash64("rep", F.lit(13)), F.col("cols")))
+    right = (_told(m, bands, ["grp", "band"]).withColumn("col", F.pmod(F.xxhash64("rep", F.lit(13)), F.col("cols")))
              .withColumn("row", F.explode(F.sequence(zero, F.col("rows") - 1))))
     names = ["grp", "band", "row", "col", "rep", "comp", "n", "sketch", "part"]
     return grouped(left.select(*names).union(right.select(*names)), ["grp", "band", "row", "col"], _partners(percent),
